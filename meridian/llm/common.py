@@ -50,3 +50,11 @@ def text_bytes(name: str = "text") -> F.Column:
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return df.select(*columns) if columns else df
+
+
+def limited_broadcast(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``rows`` rows, else as it is: a shuffled join then.
+
+    ``df`` should be cheap to count, as a written table is.
+    """
+    return F.broadcast(df) if df.count() <= rows else df

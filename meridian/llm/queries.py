@@ -6,11 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meridian.llm import packing, token_files
+from meridian.llm import exact_dedup, packing, pii, secret_scan, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_exact_dedup": exact_dedup.query,
+    "op6_pii": pii.query,
     "op7_token_files": token_files.query,
+    "op9_secret_scan": secret_scan.query,
     "op10_best_fit_packing": packing.query,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_exact_dedup": exact_dedup.SQL,
+}
