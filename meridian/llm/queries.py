@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meridian.llm import exact_dedup, packing, pii, secret_scan, token_files
+from meridian.llm import exact_dedup, near_join, packing, pii, secret_scan, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": exact_dedup.query,
+    "op4_ngram_jaccard_join": near_join.query,
     "op6_pii": pii.query,
     "op7_token_files": token_files.query,
     "op9_secret_scan": secret_scan.query,
@@ -18,4 +19,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 SQL: dict[str, str] = {
     "op2_exact_dedup": exact_dedup.SQL,
+    "op4_ngram_jaccard_join": near_join.SQL,
 }
