@@ -58,3 +58,23 @@ def limited_broadcast(df: DataFrame, rows: int) -> DataFrame:
     ``df`` should be cheap to count, as a written table is.
     """
     return F.broadcast(df) if df.count() <= rows else df
+
+
+#: A row's mark beside its doc_id, so that null and repeated doc_ids are told apart by their texts.
+TEXT_HASH = "text_hash"
+
+
+def with_text_hash(docs: DataFrame) -> DataFrame:
+    return docs.withColumn(TEXT_HASH, F.xxhash64("text"))
+
+
+def drop_rows(docs: DataFrame, gone: DataFrame, rows: int = 500_000) -> DataFrame:
+    """``docs`` without the rows that ``gone`` (doc_id, text_hash) names, all columns kept.
+
+    ``gone`` is broadcast up to ``rows`` rows, beyond that the join is shuffled.
+    """
+    gone = materialise(gone.select("doc_id", TEXT_HASH).distinct(), "gone")
+    side = limited_broadcast(gone.select(F.col("doc_id").alias("__id"), F.col(TEXT_HASH).alias("__hash")), rows)
+    named = docs.withColumn("__text", F.xxhash64("text"))
+    on = (named["__text"] == side["__hash"]) & named["doc_id"].eqNullSafe(side["__id"])
+    return named.join(side, on, "left_anti").drop("__text")

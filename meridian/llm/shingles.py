@@ -11,7 +11,9 @@ WIDTH = 5
 #: Bytes hashed at a time; longer texts are hashed in pieces that end at white space.
 CHUNK = 1 << 20
 
-_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+#: Bytes that words are made of: all but white space, or letters, digits and anything beyond ASCII.
+SPACED = ~np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+ALPHANUMERIC = np.isin(np.arange(256), [*b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", *range(0x80, 0x100)])
 _LOWER = np.arange(256)
 _LOWER[65:91] += 32
 _rng = np.random.default_rng(20240229)
@@ -36,10 +38,10 @@ def _powers(n: int, table: list[np.ndarray] = [np.ones(1, "u8")]) -> np.ndarray:
     return table[0]
 
 
-def _hash_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+def _hash_words(data: bytes, made_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The start and the hash of each word of ``data``, A-Z as a-z."""
     raw = np.frombuffer(data, "u1")
-    inside = ~_SPACE[raw]
+    inside = made_of[raw]
     edge = np.diff(inside.astype("i1"), prepend=0, append=0)
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(starts):
@@ -62,7 +64,7 @@ def _pieces(text: bytes) -> Iterator[bytes]:
     yield text[at:]
 
 
-def words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def words(texts: list[bytes], made_of: np.ndarray = SPACED) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of all words of ``texts``, and how many each text has."""
     hashes, counts = [], np.zeros(len(texts), "i8")
     group: list[bytes] = []
@@ -73,7 +75,7 @@ def words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         nonlocal held
         if group:
             bounds = np.cumsum([len(g) + 1 for g in group])
-            starts, found = _hash_words(b"\n".join(group))
+            starts, found = _hash_words(b"\n".join(group), made_of)
             hashes.append(found)
             np.add.at(counts, np.array(of)[np.searchsorted(bounds, starts, side="right")], 1)
             group.clear()
