@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meridian.llm import decontamination, exact_dedup, near_join, packing, pii, secret_scan, token_files, toxicity
+from meridian.llm import decontamination, exact_dedup, near_join, packing, pii, quality, secret_scan, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontamination.query,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ngram_jaccard_join": near_join.query,
     "op6_pii": pii.query,
     "op7_token_files": token_files.query,
+    "op8_quality_classifier": quality.query,
     "op9_secret_scan": secret_scan.query,
     "op10_best_fit_packing": packing.query,
 }
