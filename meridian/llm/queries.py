@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meridian.llm import decontamination, exact_dedup, near_join, packing, pii, quality, secret_scan, token_files, toxicity
+from meridian.llm import decontamination, exact_dedup, licenses, near_join, packing, pii, quality, secret_scan, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontamination.query,
     "op2_exact_dedup": exact_dedup.query,
     "op3_toxicity": toxicity.query,
     "op4_ngram_jaccard_join": near_join.query,
+    "op5_license_scan": licenses.query,
     "op6_pii": pii.query,
     "op7_token_files": token_files.query,
     "op8_quality_classifier": quality.query,
