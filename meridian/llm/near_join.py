@@ -37,7 +37,7 @@ from meridian.llm.components import connected_components
 from meridian.llm.shingles import mix, shingle_sets, signature
 
 #: Shingle counters; their size in memory, and so of what is sent to tasks, is four bytes each.
-SKETCH_BITS = 20
+SKETCH_BITS = 22
 #: A token of more documents than this gives hubs and blocks instead of pairs.
 MANY = 32
 HUBS = 4
@@ -63,6 +63,8 @@ def linked(common, a, b):
 
 def _summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per document its set's size and signature; per task its counts of shingles."""
+    import zstandard
+
     counts = np.zeros(1 << SKETCH_BITS, "i8")
     for batch in batches:
         sets = shingle_sets(batch.column(1).to_pylist())
@@ -74,21 +76,25 @@ def _summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "doc_id": batch.column(0).cast(pa.int64()), "n": pa.array([len(s) for s in sets], pa.int64()), "sig": pa.array([s[0] for s in sigs], pa.int64()),
             "sig2": pa.array([s[1] for s in sigs], pa.int64()), "slot": pa.nulls(n, pa.int32()), "counts": pa.nulls(n, pa.binary()),
         })
+    pack = zstandard.ZstdCompressor(level=1)
     parts = np.minimum(counts, (1 << 32) - 1).astype("<u4").reshape(64, -1)
     slots = [k for k in range(64) if parts[k].any()]
     m = len(slots)
     yield pa.RecordBatch.from_pydict({
         "doc_id": pa.nulls(m, pa.int64()), "n": pa.nulls(m, pa.int64()), "sig": pa.nulls(m, pa.int64()), "sig2": pa.nulls(m, pa.int64()),
-        "slot": pa.array(slots, pa.int32()), "counts": pa.array([parts[k].tobytes() for k in slots], pa.binary()),
+        "slot": pa.array(slots, pa.int32()), "counts": pa.array([pack.compress(parts[k].tobytes()) for k in slots], pa.binary()),
     })
 
 
 def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adds the counts of each slot; holds one array per slot, however many tasks sent some."""
+    import zstandard
+
     total: dict[int, np.ndarray] = {}
+    unpack = zstandard.ZstdDecompressor()
     for batch in batches:
         for slot, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            own = np.frombuffer(raw, "<u4").astype("i8")
+            own = np.frombuffer(unpack.decompress(raw), "<u4").astype("i8")
             total[slot] = total[slot] + own if slot in total else own
     yield pa.RecordBatch.from_pydict({
         "slot": pa.array(list(total), pa.int32()),
@@ -98,7 +104,7 @@ def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _rank(tokens: np.ndarray, sketch: np.ndarray) -> np.ndarray:
     """The places of ``tokens`` in the first order: by the logarithm of their count, then scattered."""
-    level = np.log2(np.maximum(sketch[(tokens >> np.uint64(64 - SKETCH_BITS)).astype("i8")], 1)).astype("u8")
+    level = (2 * np.log2(np.maximum(sketch[(tokens >> np.uint64(64 - SKETCH_BITS)).astype("i8")], 1))).astype("u8")
     return np.argsort((level << np.uint64(58)) | (mix(tokens, 10) >> np.uint64(6)), kind="stable")
 
 
@@ -231,6 +237,18 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"sig": pa.array([signature(s)[0] for s in sets], pa.int64()), "shingles": pa.array([s.tobytes() for s in sets], pa.binary())})
 
 
+def _sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A document's set for each partner that it is to be compared with."""
+    for batch in batches:
+        a, b, t = [], [], []
+        for s, sig, partners in zip(shingle_sets(batch.column(0).to_pylist()), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            if signature(s)[0] == sig:  # else another text under a repeated doc_id
+                a += partners
+                b += [sig] * len(partners)
+                t += [s.tobytes()] * len(partners)
+        yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "t": pa.array(t, pa.binary())})
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs that meet in the prefixes of every further order and whose sets are similar."""
     for batch in batches:
@@ -299,12 +317,37 @@ def _compare(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
-def _fetch(docs: DataFrame, thin: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(sig, shingles) of the sets in ``wanted`` (sig), each from one document that has it."""
-    ids = materialise(thin.join(wanted, "sig", "left_semi").groupBy("sig").agg(F.min("doc_id").alias("doc_id")), "wanted")
-    texts = docs.join(limited_broadcast(ids.select("doc_id"), 1_000_000), "doc_id", "left_semi").select(text_bytes().alias("text"))
-    sets = texts.mapInArrow(_sets, "sig long, shingles binary")
-    return materialise(sets.join(ids.select("sig"), "sig", "left_semi").dropDuplicates(["sig"]), "sets")
+def _ids(thin: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(sig, doc_id): one document for each set in ``wanted`` (sig)."""
+    return materialise(thin.join(wanted, "sig", "left_semi").groupBy("sig").agg(F.min("doc_id").alias("doc_id")), "wanted")
+
+
+def _fetch(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(sig, shingles) of the sets in ``ids`` (sig, doc_id); where doc_ids repeat maybe some more, or twice."""
+    texts = docs.join(limited_broadcast(ids.select("doc_id").distinct(), 1_000_000), "doc_id", "left_semi").select(text_bytes().alias("text"))
+    return texts.mapInArrow(_sets, "sig long, shingles binary")
+
+
+def _verified(docs: DataFrame, thin: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The similar ones of the candidate ``pairs`` (a, b).
+
+    A pair's set of fewer partners travels, straight from the scan of its text, to
+    the one of more partners, so a hub's set is sent once.
+    """
+    ends = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig")))
+    ids = _ids(thin, ends.distinct())
+    degree = materialise(ends.groupBy("sig").agg(F.count("*").alias("n")), "degrees")
+    one, two = (degree.select(F.col("sig").alias(x), F.col("n").alias(f"n{x}")) for x in ("a", "b"))
+    turned = F.struct("na", "a") >= F.struct("nb", "b")
+    known = pairs.join(one, "a").join(two, "b").select(F.when(turned, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(turned, F.col("b")).otherwise(F.col("a")).alias("sig"))
+    known = materialise(known, "turned")
+    partners = known.groupBy("sig").agg(F.collect_list("hub").alias("partners")).join(ids, "sig")  # at most the square root of twice the pairs
+    partners = materialise(partners, "partners")
+    texts = docs.join(limited_broadcast(partners, 500_000), "doc_id").select(text_bytes().alias("text"), "sig", "partners")
+    sent = texts.mapInArrow(_sent, "a long, b long, t binary")
+    hubs = materialise(ids.join(known.select(F.col("hub").alias("sig")), "sig", "left_semi"), "hubs")
+    sets = _fetch(docs, hubs).select(F.col("sig").alias("a"), F.col("shingles").alias("s"))
+    return materialise(sent.join(sets, "a").select("a", "b", "s", "t").mapInArrow(_verify, "a long, b long").distinct(), "links")
 
 
 def _blocks(docs: DataFrame, thin: DataFrame, members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -334,7 +377,7 @@ def _blocks(docs: DataFrame, thin: DataFrame, members: DataFrame, roots: DataFra
     pairs = met.join(units, "cluster").join(second, "cluster2").where("(cluster < cluster2 or unit <= unit2) and not coalesce(one = one2, false)")
     pairs = materialise(pairs.select(F.xxhash64("unit", "unit2").alias("task"), "unit", "unit2"), "tasks")
     sides = pairs.select("task", "unit", F.lit(0).alias("side")).unionByName(pairs.where("unit <> unit2").select("task", F.col("unit2").alias("unit"), F.lit(1).alias("side")))
-    sets = _fetch(docs, thin, own.select("sig").distinct())
+    sets = _fetch(docs, _ids(thin, own.select("sig").distinct()))
     rows = sides.join(own.select("unit", "sig", "comp"), "unit").join(sets, "sig")
     return rows.select("task", "side", "sig", "comp", "shingles").groupBy("task").applyInPandas(_compare, "a long, b long")
 
@@ -368,10 +411,7 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = materialise(index.groupBy("bucket").applyInPandas(_meet(buckets), "token long, a long, b long"), "met")
 
     pairs = materialise(found.where("b is not null").select("a", "b").distinct(), "candidates")
-    sets = _fetch(docs, thin, pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct())
-    first = pairs.join(sets.select(F.col("sig").alias("a"), F.col("shingles").alias("s")), "a")
-    second = first.join(sets.select(F.col("sig").alias("b"), F.col("shingles").alias("t")), "b")
-    links = materialise(second.select("a", "b", "s", "t").mapInArrow(_verify, "a long, b long"), "links")
+    links = _verified(docs, thin, pairs)
     roots = materialise(connected_components(links), "roots")
     members = found.where("token is not null").select("token", F.col("a").alias("sig"))
     if not members.isEmpty():
