@@ -119,15 +119,15 @@ def minimise(value_and_slope, start: np.ndarray, steps: int = 60, memory: int =
     return x
 
 
-def fit(numbers: list[np.ndarray], ratings: list[int], penalty: float = 1e-5) -> OrdinalModel:
+def fit(numbers: list[np.ndarray], shares: list[np.ndarray], ratings: list[int], penalty: float = 1e-5) -> OrdinalModel:
+    """``numbers`` are a text's distinct features, ``shares`` their shares of its occurrences."""
     grades = sorted(set(ratings))
     width = 1 << BITS
     if len(grades) < 2:
         return OrdinalModel(grades or [0], np.zeros(width), np.zeros(0))
-    flat = np.concatenate(numbers).astype("i8")
-    lengths = np.array([len(x) for x in numbers])
-    row = np.repeat(np.arange(len(numbers)), lengths)
-    share = (SCALE / np.maximum(lengths, 1))[row]
+    flat = np.concatenate(numbers).astype("i4")
+    row = np.repeat(np.arange(len(numbers), dtype="i4"), [len(x) for x in numbers])
+    share = np.concatenate(shares).astype("f4") * np.float32(SCALE)
     level = np.searchsorted(grades, ratings)
     k, n = len(grades), len(ratings)
 
@@ -136,7 +136,7 @@ def fit(numbers: list[np.ndarray], ratings: list[int], penalty: float = 1e-5) ->
 
     def value_and_slope(p: np.ndarray) -> tuple[float, np.ndarray]:
         w, free = p[:width], p[width:]
-        s = np.bincount(row, w[flat] * share, minlength=n)
+        s = np.bincount(row, w.astype("f4")[flat] * share, minlength=n)
         bounds = np.concatenate([[-np.inf], cuts(free), [np.inf]])
         upper, lower = _sigmoid(bounds[level + 1] - s), _sigmoid(bounds[level] - s)
         likely = np.maximum(upper - lower, 1e-12)
@@ -144,7 +144,7 @@ def fit(numbers: list[np.ndarray], ratings: list[int], penalty: float = 1e-5) ->
         slope_s = (du - dl) / n
         slope_c = np.bincount(level, -du, minlength=k)[: k - 1] / n + np.bincount(level, dl, minlength=k)[1:] / n
         slope_f = np.concatenate([[slope_c.sum()], np.exp(free[1:]) * np.cumsum(slope_c[::-1])[::-1][1:]])
-        slope_w = np.bincount(flat, slope_s[row] * share, minlength=width) + 2 * penalty * w
+        slope_w = np.bincount(flat, slope_s.astype("f4")[row] * share, minlength=width) + 2 * penalty * w
         return float(-np.log(likely).mean() + penalty * (w @ w)), np.concatenate([slope_w, slope_f])
 
     p = minimise(value_and_slope, np.concatenate([np.zeros(width), [-1.0], np.zeros(k - 2)]))
@@ -153,7 +153,9 @@ def fit(numbers: list[np.ndarray], ratings: list[int], penalty: float = 1e-5) ->
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield pa.RecordBatch.from_pydict({"numbers": pa.array([hashed(x).tobytes() for x in batch.column(0).to_pylist()], pa.binary()), "rating": batch.column(1)})
+        own = [np.unique(hashed(x), return_counts=True) for x in batch.column(0).to_pylist()]
+        shares = [(c / max(c.sum(), 1)).astype("<f4").tobytes() for _, c in own]
+        yield pa.RecordBatch.from_pydict({"numbers": pa.array([k.tobytes() for k, _ in own], pa.binary()), "shares": pa.array(shares, pa.binary()), "rating": batch.column(1)})
 
 
 def learn(docs: DataFrame, labels: DataFrame, max_rated: int = MAX_RATED) -> OrdinalModel:
@@ -161,8 +163,8 @@ def learn(docs: DataFrame, labels: DataFrame, max_rated: int = MAX_RATED) -> Ord
     rated = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").cast("long").alias("rating"))
     rated = rated.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rated)
     rows = docs.join(F.broadcast(materialise(rated, "rated")), "doc_id").select(text_bytes().alias("text"), "rating")
-    found = materialise(rows.mapInArrow(_features, "numbers binary, rating long"), "rated-features").collect()  # at most max_rated rows
-    return fit([np.frombuffer(r["numbers"], "<u4") for r in found], [r["rating"] for r in found])
+    found = materialise(rows.mapInArrow(_features, "numbers binary, shares binary, rating long"), "rated-features").collect()  # at most max_rated rows
+    return fit([np.frombuffer(r["numbers"], "<u4") for r in found], [np.frombuffer(r["shares"], "<f4") for r in found], [r["rating"] for r in found])
 
 
 def grade(docs: DataFrame, model: OrdinalModel, keep: float = KEEP) -> DataFrame:
