@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,3 +80,10 @@ def drop_rows(docs: DataFrame, gone: DataFrame, rows: int = 500_000) -> DataFram
     named = docs.withColumn("__text", F.xxhash64("text"))
     on = (named["__text"] == side["__hash"]) & named["doc_id"].eqNullSafe(side["__id"])
     return named.join(side, on, "left_anti").drop("__text")
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that what a task computes for one batch stays small."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.llm.common import TEXT_HASH, documents, drop_rows, materialise, with_text_hash
+from meridian.llm.common import TEXT_HASH, documents, drop_rows, materialise, slices, with_text_hash
 from meridian.llm.shingles import ALPHANUMERIC, mix, words
 
 LEAST = 5
@@ -135,7 +135,7 @@ def tile(item: np.ndarray, text: np.ndarray, least: int = LEAST) -> list[tuple[i
 
 def _seed_rows(least: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             hashes, counts = words([plain(x) for x in batch.column(1).to_pylist()], ALPHANUMERIC)
             own = np.split(hashes, np.cumsum(counts)[:-1]) if len(counts) else []
             keep = [k for k, w in enumerate(own) if len(w) >= least]
@@ -171,7 +171,7 @@ def _hits(bits: np.ndarray, least: int):
         from pyspark import TaskContext
 
         part, nth = TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in slices(batches):
             hashes, counts = words([plain(x) for x in batch.column(1).to_pylist()], ALPHANUMERIC)
             ends = np.cumsum(counts)
             every = seeds(hashes, least)  # some run over the end of a document
@@ -194,7 +194,7 @@ def _hits(bits: np.ndarray, least: int):
 
 def _tiled(least: int, threshold: float):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for doc_id, text_hash, own, item_id, item in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
                 item = np.frombuffer(item, "<u8")

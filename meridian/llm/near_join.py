@@ -32,11 +32,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.llm.common import documents, limited_broadcast, materialise, text_bytes
+from meridian.llm.common import documents, limited_broadcast, materialise, slices, text_bytes
 from meridian.llm.components import connected_components
 from meridian.llm.shingles import mix, shingle_sets, signature
 
-#: Shingle counters; their size in memory, and so of what is sent to tasks, is four bytes each.
+#: Shingle counters. What is sent to tasks is one byte for each.
 SKETCH_BITS = 22
 #: A token of more documents than this gives hubs and blocks instead of pairs.
 MANY = 32
@@ -46,7 +46,9 @@ HOT = 200_000
 BLOCK = 512
 #: Seeds of the orders after the first.
 ORDERS = (11, 12)
-BATCH = 1_000_000
+#: Prefix entries that a task packs at a time, and signatures that it remembers so as not to send copies twice.
+BATCH = 250_000
+SEEN = 200_000
 
 THIN = "doc_id long, n long, sig long, sig2 long, slot int, counts binary"
 
@@ -65,19 +67,19 @@ def _summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per document its set's size and signature; per task its counts of shingles."""
     import zstandard
 
-    counts = np.zeros(1 << SKETCH_BITS, "i8")
-    for batch in batches:
+    counts = np.zeros(1 << SKETCH_BITS, "u4")
+    for batch in slices(batches):
         sets = shingle_sets(batch.column(1).to_pylist())
         sigs = [signature(s) for s in sets]
         n = len(sets)
-        if any(len(s) for s in sets):
-            counts += np.bincount((np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)).astype("i8"), minlength=1 << SKETCH_BITS)
+        slot, times = np.unique(_slot(np.concatenate(sets)), return_counts=True)
+        counts[slot] += times.astype("u4")
         yield pa.RecordBatch.from_pydict({
             "doc_id": batch.column(0).cast(pa.int64()), "n": pa.array([len(s) for s in sets], pa.int64()), "sig": pa.array([s[0] for s in sigs], pa.int64()),
             "sig2": pa.array([s[1] for s in sigs], pa.int64()), "slot": pa.nulls(n, pa.int32()), "counts": pa.nulls(n, pa.binary()),
         })
     pack = zstandard.ZstdCompressor(level=1)
-    parts = np.minimum(counts, (1 << 32) - 1).astype("<u4").reshape(64, -1)
+    parts = counts.astype("<u4").reshape(64, -1)
     slots = [k for k in range(64) if parts[k].any()]
     m = len(slots)
     yield pa.RecordBatch.from_pydict({
@@ -87,7 +89,7 @@ def _summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the counts of each slot; holds one array per slot, however many tasks sent some."""
+    """The levels of each slot from all its counts; holds one array per slot, however many tasks sent some."""
     import zstandard
 
     total: dict[int, np.ndarray] = {}
@@ -98,17 +100,25 @@ def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total[slot] = total[slot] + own if slot in total else own
     yield pa.RecordBatch.from_pydict({
         "slot": pa.array(list(total), pa.int32()),
-        "counts": pa.array([np.minimum(x, (1 << 32) - 1).astype("<u4").tobytes() for x in total.values()], pa.binary()),
+        "levels": pa.array([_levels(x).tobytes() for x in total.values()], pa.binary()),
     })
 
 
-def _rank(tokens: np.ndarray, sketch: np.ndarray) -> np.ndarray:
+def _levels(counts: np.ndarray) -> np.ndarray:
+    """Twice the logarithm of each count: a byte for each counter."""
+    return (2 * np.log2(np.maximum(counts, 1))).astype("u1")
+
+
+def _slot(tokens: np.ndarray) -> np.ndarray:
+    return (tokens >> np.uint64(64 - SKETCH_BITS)).astype("i8")
+
+
+def _rank(tokens: np.ndarray, levels: np.ndarray) -> np.ndarray:
     """The places of ``tokens`` in the first order: by the logarithm of their count, then scattered."""
-    level = (2 * np.log2(np.maximum(sketch[(tokens >> np.uint64(64 - SKETCH_BITS)).astype("i8")], 1))).astype("u8")
-    return np.argsort((level << np.uint64(58)) | (mix(tokens, 10) >> np.uint64(6)), kind="stable")
+    return np.argsort((levels[_slot(tokens)].astype("u8") << np.uint64(58)) | (mix(tokens, 10) >> np.uint64(6)), kind="stable")
 
 
-def _index(sketch: np.ndarray, buckets: int):
+def _index(levels: np.ndarray, buckets: int):
     """Prefix entries of a task's documents, packed by bucket of their token."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,9 +136,9 @@ def _index(sketch: np.ndarray, buckets: int):
             sig = np.array([h[1] for h in held], "i8")
             n = np.array([h[2] for h in held], "i4")
             bucket = ((mix(tokens, 20) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype("i8")
-            count = sketch[(tokens >> np.uint64(64 - SKETCH_BITS)).astype("i8")]
-            hot = np.flatnonzero(count > HOT)
-            salts = (-(-count[hot] // HOT)).astype("u8")
+            level = levels[_slot(tokens)]
+            hot = np.flatnonzero(level > _levels(np.array(HOT)))
+            salts = np.ceil(2.0 ** ((level[hot] + 1) / 2) / HOT).astype("u8")
             salt = mix(sig.view("u8")[doc[hot]], 21) % salts
             bucket[hot] = buckets + ((mix(tokens[hot] + salt, 22) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype("i8")
             order = np.argsort(bucket, kind="stable")
@@ -145,16 +155,16 @@ def _index(sketch: np.ndarray, buckets: int):
             held.clear()
             return pa.RecordBatch.from_pydict({"bucket": pa.array(ids, pa.int32()), "entries": pa.array(blobs, pa.binary())})
 
-        for batch in batches:
+        for batch in slices(batches):
             for s in shingle_sets(batch.column(0).to_pylist()):
                 if not len(s):
                     continue
                 sig = signature(s)[0]
                 if sig in seen:
                     continue
-                if len(seen) < BATCH:
+                if len(seen) < SEEN:
                     seen.add(sig)
-                first = s[_rank(s, sketch)[: prefix_length(len(s))]]
+                first = s[_rank(s, levels)[: prefix_length(len(s))]]
                 held.append((first, sig, len(s)))
                 size += len(first)
                 if size >= BATCH:
@@ -232,14 +242,14 @@ def _meet(buckets: int):
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         sets = shingle_sets(batch.column(0).to_pylist())
         yield pa.RecordBatch.from_pydict({"sig": pa.array([signature(s)[0] for s in sets], pa.int64()), "shingles": pa.array([s.tobytes() for s in sets], pa.binary())})
 
 
 def _sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A document's set for each partner that it is to be compared with."""
-    for batch in batches:
+    for batch in slices(batches):
         a, b, t = [], [], []
         for s, sig, partners in zip(shingle_sets(batch.column(0).to_pylist()), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
             if signature(s)[0] == sig:  # else another text under a repeated doc_id
@@ -251,7 +261,7 @@ def _sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs that meet in the prefixes of every further order and whose sets are similar."""
-    for batch in batches:
+    for batch in slices(batches):
         a, b = [], []
         for x, y, s, t in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
             s, t = np.frombuffer(s, "<u8"), np.frombuffer(t, "<u8")
@@ -393,11 +403,11 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     both = docs.select("doc_id", text_bytes().alias("text")).mapInArrow(_summarise, THIN)
     both = materialise(both, "sets-summary")
     thin = both.where("slot is null").select("doc_id", "n", "sig", "sig2")
-    sketch = np.zeros((64, (1 << SKETCH_BITS) // 64), "i8")
-    summed = both.where("slot is not null").select("slot", "counts").repartition(tasks, "slot").mapInArrow(_sum_counts, "slot int, counts binary")
+    levels = np.zeros((64, (1 << SKETCH_BITS) // 64), "u1")
+    summed = both.where("slot is not null").select("slot", "counts").repartition(tasks, "slot").mapInArrow(_sum_counts, "slot int, levels binary")
     for row in summed.collect():  # 64 rows of fixed size
-        sketch[row["slot"]] = np.frombuffer(row["counts"], "<u4")
-    sketch = sketch.reshape(-1)
+        levels[row["slot"]] = np.frombuffer(row["levels"], "u1")
+    levels = levels.reshape(-1)
 
     # 64 bits name a set; the other 64 prove that no two sets have one name
     named = thin.where("n > 0 and doc_id is not null")
@@ -407,7 +417,7 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     entries = named.agg(F.sum("n")).first()[0] or 0
     buckets = max(tasks, entries // 8_000_000 + 1)
-    index = docs.where("doc_id is not null").select(text_bytes().alias("text")).mapInArrow(_index(sketch, buckets), "bucket int, entries binary")
+    index = docs.where("doc_id is not null").select(text_bytes().alias("text")).mapInArrow(_index(levels, buckets), "bucket int, entries binary")
     found = materialise(index.groupBy("bucket").applyInPandas(_meet(buckets), "token long, a long, b long"), "met")
 
     pairs = materialise(found.where("b is not null").select("a", "b").distinct(), "candidates")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.llm.common import documents, materialise, text_bytes
+from meridian.llm.common import documents, materialise, slices, text_bytes
 from meridian.llm.shingles import _powers, mix
 
 MAX_RATED = 5_000
@@ -152,7 +152,7 @@ def fit(numbers: list[np.ndarray], shares: list[np.ndarray], ratings: list[int],
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         own = [np.unique(hashed(x), return_counts=True) for x in batch.column(0).to_pylist()]
         shares = [(c / max(c.sum(), 1)).astype("<f4").tobytes() for _, c in own]
         yield pa.RecordBatch.from_pydict({"numbers": pa.array([k.tobytes() for k, _ in own], pa.binary()), "shares": pa.array(shares, pa.binary()), "rating": batch.column(1)})
@@ -176,7 +176,7 @@ def grade(docs: DataFrame, model: OrdinalModel, keep: float = KEEP) -> DataFrame
     grades = np.array(model.grades, "f8")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             tails = model.tails(model.score([hashed(x) for x in batch.column(1).to_pylist()]))
             expected = grades[0] + tails @ np.diff(grades)
             half = tails[:, len(grades) // 2 - 1] if len(grades) > 1 else np.ones(len(tails))

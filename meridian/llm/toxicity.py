@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.llm.common import TEXT_HASH, documents, drop_rows, materialise, with_text_hash
+from meridian.llm.common import TEXT_HASH, documents, drop_rows, materialise, slices, with_text_hash
 
 MAX_LABELLED = 20_000
 MAX_LEARNED = 2_000
@@ -83,7 +83,7 @@ def features(text: str, learned: dict[str, float]) -> list[float]:
 
 def _compute(learned: dict[str, float]):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = np.array([features(x or "", learned) for x in batch.column(1).to_pylist()], "f8").reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array(c) for c in found.T)], ["doc_id", TEXT_HASH, *FEATURES])
 
@@ -93,7 +93,7 @@ def _compute(learned: dict[str, float]):
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many toxic documents, and how many of all, hold each word."""
     toxic, every = Counter(), Counter()
-    for batch in batches:
+    for batch in slices(batches):
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             own = set(WORD.findall((text or "").lower()))
             every.update(own)

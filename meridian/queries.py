@@ -411,19 +411,20 @@ SELECT f.provider, f.diagnostic, any_value(f.memory_source) AS memory_source, co
 FROM {FULL} f JOIN (SELECT provider, diagnostic, max_by(memory_source, (n, p)) AS memory_source FROM (SELECT provider, diagnostic, memory_source, count(*) AS n, CASE memory_source WHEN 'cgroup' THEN 0 ELSE -2 END AS p FROM {FULL} GROUP BY 1, 2, 3) GROUP BY 1, 2) d
   ON f.provider = d.provider AND f.diagnostic = d.diagnostic AND f.memory_source = d.memory_source GROUP BY 1, 2
 """
-ROUNDED = {c: F.round(c, 6) for c in ("wall_p95", "cpu_p95", "parallelism_p95")}
+def rounded(df: DataFrame, *names: str, places: int = 6) -> DataFrame:
+    return df.withColumns({c: F.round(c, places) for c in names})
 
 
 @query(PROFILE)
 def percentile_profile(spark, sf_dir):
     p = agg.resource_profile(measurements(spark, sf_dir)).where("n_samples > 0")
-    return p.withColumns(ROUNDED).select("provider", "diagnostic", "memory_source", "n_samples", "peak_p50", "peak_p95", "peak_max", "wall_p95", "cpu_p95", "parallelism_p95")
+    return rounded(p, "wall_p95", "cpu_p95", "parallelism_p95").select("provider", "diagnostic", "memory_source", "n_samples", "peak_p50", "peak_p95", "peak_max", "wall_p95", "cpu_p95", "parallelism_p95")
 
 
 @query(f"WITH p AS ({PROFILE}) SELECT provider, CAST(sum(n_samples) AS BIGINT) AS n_samples, max(peak_p95) AS peak_p95, max(peak_max) AS peak_max, max(wall_p95) AS wall_p95, max(cpu_p95) AS cpu_p95 FROM p GROUP BY 1")
 def profile_rollup(spark, sf_dir):
     p = agg.provider_profile(agg.resource_profile(measurements(spark, sf_dir)))
-    return p.withColumns({c: F.round(c, 6) for c in ("wall_p95", "cpu_p95")}).select("provider", "n_samples", "peak_p95", "peak_max", "wall_p95", "cpu_p95")
+    return rounded(p, "wall_p95", "cpu_p95").select("provider", "n_samples", "peak_p95", "peak_max", "wall_p95", "cpu_p95")
 
 
 @query(f"WITH p AS ({PROFILE}) SELECT provider, diagnostic, greatest(CAST(ceil(peak_p95 * 1.2 / 1073741824) AS BIGINT), 1) AS gib, greatest(CAST(ceil(parallelism_p95) AS BIGINT), 1) AS cpus, CASE WHEN n_samples < 10 THEN 'thin' ELSE 'good' END AS confidence, 20000000 / peak_p95 < 1 AS over_limit FROM p")

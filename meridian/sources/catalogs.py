@@ -100,7 +100,9 @@ def read_outputs(spark: SparkSession, path: str) -> DataFrame:
 
 def read_metric_tables(spark: SparkSession, path: str, key: Sequence[str] = ("source", "region", "analysis", "name")) -> DataFrame:
     """All CSV files of a folder in one; only ``NaN`` is missing, and of repeated rows the first file's stays."""
-    df = spark.read.option("header", "true").option("nullValue", "NaN").option("emptyValue", "").csv(path).withColumn("__file", F.input_file_name())
+    df = spark.read.option("header", "true").csv(path)
+    # Spark reads an empty field as null, whatever else is to be null
+    df = df.withColumns({c: F.nullif(F.coalesce(c, F.lit("")), F.lit("NaN")) for c in df.columns}).withColumn("__file", F.input_file_name())
     w = Window.partitionBy(*key).orderBy("__file", F.monotonically_increasing_id())
     return df.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n", "__file")
 
