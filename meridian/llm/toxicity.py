@@ -1,6 +1,7 @@
 """Toxicity: gradient-boosted trees over dense features of a text, calibrated by isotonic regression.
 
-Features: densities of a fixed and of a learned lexicon, hits near second-person
+Features: densities of a fixed lexicon, of a learned lexicon of words and of one of
+word beginnings (for words that are inflected or compounded), hits near second-person
 words, rates of capitals, punctuation, exclamation and obfuscated words. The learned
 lexicon, the trees and the calibration are fitted on at most ``max_labelled``
 labelled rows, those with the smallest hashes of their doc_id; rows whose
@@ -31,6 +32,8 @@ from meridian.llm.common import TEXT_HASH, documents, drop_rows, materialise, sl
 
 MAX_LABELLED = 20_000
 MAX_LEARNED = 2_000
+#: Letters of a word beginning; only longer words have one.
+STEM = 5
 #: A hit counts as aimed at somebody within so many words of a second-person word.
 NEAR = 6
 
@@ -49,7 +52,7 @@ WORD = re.compile(r"[^\W\d_]+")
 #: Letters with digits or marks between them.
 MASKED = re.compile(r"[^\W\d_]+(?:[0-9@$!*+_.\-]{1,3}[^\W\d_]+)+")
 
-FEATURES = ("insults", "learned", "hits", "aimed", "capitals", "shouted", "punctuation", "exclamations", "masked", "masked_hits", "length")
+FEATURES = ("insults", "learned", "stems", "hits", "aimed", "capitals", "shouted", "punctuation", "exclamations", "masked", "masked_hits", "length")
 ROWS = f"doc_id long, {TEXT_HASH} long, " + ", ".join(f"{f} double" for f in FEATURES)
 
 #: Classes of bytes: 1 capital, 2 small letter or beyond ASCII, 3 digit, 4 mark, 0 space.
@@ -58,7 +61,7 @@ _CLASS[[*range(0x00, 0x21)]] = 0
 _CLASS[65:91], _CLASS[97:123], _CLASS[48:58], _CLASS[0x80:] = 1, 2, 3, 2
 
 
-def features(text: str, learned: dict[str, float]) -> list[float]:
+def features(text: str, learned: dict[str, float], stems: dict[str, float]) -> list[float]:
     words = WORD.findall(text.lower())
     n = max(len(words), 1)
     hits = [k for k, w in enumerate(words) if w in INSULTS or w in learned]
@@ -76,26 +79,27 @@ def features(text: str, learned: dict[str, float]) -> list[float]:
     capital = kind == 1
     shouted = int((capital[:-2] & capital[1:-1] & capital[2:]).sum()) if len(raw) > 2 else 0
     return [
-        sum(words[k] in INSULTS for k in hits) / n, sum(learned.get(words[k], 0.0) for k in hits) / n, float(np.log1p(len(hits))), aimed / n,
+        sum(words[k] in INSULTS for k in hits) / n, sum(learned.get(words[k], 0.0) for k in hits) / n, sum(stems[w[:STEM]] for w in words if w[:STEM] in stems and len(w) > STEM) / n, float(np.log1p(len(hits))), aimed / n,
         count[1] / letters, shouted / letters, count[4] / size, text.count("!") / size, masked / n, float(np.log1p(masked_hits)), float(np.log1p(len(words))),
     ]
 
 
-def _compute(learned: dict[str, float]):
+def _compute(learned: dict[str, float], stems: dict[str, float]):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = np.array([features(x or "", learned) for x in batch.column(1).to_pylist()], "f8").reshape(-1, len(FEATURES))
+            found = np.array([features(x or "", learned, stems) for x in batch.column(1).to_pylist()], "f8").reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array(c) for c in found.T)], ["doc_id", TEXT_HASH, *FEATURES])
 
     return rows
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many toxic documents, and how many of all, hold each word."""
+    """How many toxic documents, and how many of all, hold each word and each word beginning (marked by a star)."""
     toxic, every = Counter(), Counter()
     for batch in slices(batches):
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             own = set(WORD.findall((text or "").lower()))
+            own |= {w[:STEM] + "*" for w in own if len(w) > STEM}
             every.update(own)
             if label:
                 toxic.update(own)
@@ -113,20 +117,22 @@ def training_labels(labels: DataFrame, max_labelled: int) -> DataFrame:
     return known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
 
 
-def learn_lexicon(docs: DataFrame, training: DataFrame) -> dict[str, float]:
-    """Words that toxic training rows hold far oftener than the others, with the logarithm of how much oftener.
+def learn_lexicon(docs: DataFrame, training: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
+    """Words, and beginnings of words, that toxic training rows hold far oftener than the others.
 
-    A word needs 5 toxic documents and 2 % of them.
+    Each with the logarithm of how much oftener, 8 times for words and 6 for beginnings
+    at least; it needs 5 toxic documents and 2 % of them.
     """
     rows = docs.join(F.broadcast(training.select("doc_id", "toxic")), "doc_id").select("text", "toxic")  # at most max_labelled rows
     counts = materialise(rows.mapInArrow(_count_words, "word string, toxic long, n long"), "words").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
     total = training.agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")).first()
     if not total["toxic"] or total["toxic"] == total["n"]:
-        return {}
+        return {}, {}
     least = max(5, total["toxic"] * 0.02)
     ratio = ((F.col("toxic") + 0.5) / (total["toxic"] + 1)) / ((F.col("n") - F.col("toxic") + 0.5) / (total["n"] - total["toxic"] + 1))
-    found = counts.where(F.col("toxic") >= least).withColumn("ratio", ratio).where("ratio >= 8").orderBy(F.desc("toxic"), "word").limit(MAX_LEARNED)
-    return {r["word"]: float(np.log(r["ratio"])) for r in found.collect()}
+    found = counts.where(F.col("toxic") >= least).withColumn("ratio", ratio).where(F.col("ratio") >= F.when(F.col("word").endswith("*"), 6).otherwise(8))
+    found = {r["word"]: float(np.log(r["ratio"])) for r in found.orderBy(F.desc("toxic"), "word").limit(MAX_LEARNED).collect()}
+    return {w: v for w, v in found.items() if w[-1] != "*"}, {w[:-1]: v for w, v in found.items() if w[-1] == "*"}
 
 
 def score(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
@@ -141,8 +147,8 @@ def score(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     training = materialise(training_labels(labels, max_labelled), "training-labels")
-    learned = learn_lexicon(docs, training)
-    dense = materialise(with_text_hash(docs).mapInArrow(_compute(learned), ROWS), "features")
+    learned, stems = learn_lexicon(docs, training)
+    dense = materialise(with_text_hash(docs).mapInArrow(_compute(learned, stems), ROWS), "features")
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(dense)
     rows = vectors.join(F.broadcast(training), "doc_id").select("features", F.col("toxic").cast("double").alias("label"), "fold")
     rows = materialise(rows.coalesce(4), "training-rows")
