@@ -3,7 +3,8 @@
 1. The benchmark's seeds, runs of ``least`` words, set the bits of a filter of fixed
    size. Documents are scanned once; those with a seed in the filter go on.
 2. Shared seeds join documents to items; pairs that could not reach the threshold
-   even if each seed covered ``least`` words of its own are left out.
+   even if each place of a shared seed in the item covered ``least`` words of its own
+   are left out. A tile of n words holds n - least + 1 places, so none is lost.
 3. Each pair is tiled: the longest matches that overlap no tile so far are marked,
    again and again, with running Karp-Rabin hashes of shrinking window lengths.
    An item counts as leaked when tiles cover ``threshold`` of its words, in
@@ -39,6 +40,7 @@ FILTER_BITS = 23
 _MARKS = re.compile("[\u0080-¿×÷ -⁯　-〿﻿]+")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
+ITEMS = "item_id long, item_words binary, seeds array<long>, places array<long>"
 HITS = f"doc_id long, {TEXT_HASH} long, part int, nth int, words binary, seeds array<long>"
 TILED = f"doc_id long, {TEXT_HASH} long, item_id long, coverage double, n_tiles int, longest_tile int, item_words int"
 
@@ -139,10 +141,12 @@ def _seed_rows(least: int):
             hashes, counts = words([plain(x) for x in batch.column(1).to_pylist()], ALPHANUMERIC)
             own = np.split(hashes, np.cumsum(counts)[:-1]) if len(counts) else []
             keep = [k for k, w in enumerate(own) if len(w) >= least]
+            found = [np.unique(seeds(own[k], least), return_counts=True) for k in keep]
             yield pa.RecordBatch.from_pydict({
                 "item_id": batch.column(0).cast(pa.int64()).take(pa.array(keep, pa.int64())),
                 "item_words": pa.array([own[k].tobytes() for k in keep], pa.binary()),
-                "seeds": pa.array([np.unique(seeds(own[k], least)).view("i8").tolist() for k in keep], pa.list_(pa.int64())),
+                "seeds": pa.array([s.view("i8").tolist() for s, _ in found], pa.list_(pa.int64())),
+                "places": pa.array([n.tolist() for _, n in found], pa.list_(pa.int64())),
             })
 
     return emit
@@ -216,7 +220,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, thresh
     text_hash, item_id, coverage, n_tiles, longest_tile, item_words.
     """
     spark = docs.sparkSession
-    items = materialise(benchmark.select("item_id", "text").mapInArrow(_seed_rows(least), "item_id long, item_words binary, seeds array<long>"), "items")
+    items = materialise(benchmark.select("item_id", "text").mapInArrow(_seed_rows(least), ITEMS), "items")
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bits = np.zeros((64, (1 << FILTER_BITS) // 512), "u1")
     for row in items.select("seeds").mapInArrow(_bits, "slot int, bits binary").repartition(tasks, "slot").mapInArrow(_or, "slot int, bits binary").collect():
@@ -227,8 +231,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, thresh
     hits = materialise(scanned, "seed-hits")
     seed = hits.select("part", "nth", F.explode("seeds").alias("seed"))
     item = items.withColumn("item", F.xxhash64("item_id", "item_words"))
-    of_item = item.select("item", (F.octet_length("item_words") / 8).alias("n"), F.explode("seeds").alias("seed")).distinct()
-    shared = seed.join(of_item, "seed").groupBy("part", "nth", "item", "n").agg(F.count("*").alias("shared"))
+    of_item = item.select("item", (F.octet_length("item_words") / 8).alias("n"), F.explode(F.arrays_zip("seeds", "places")).alias("s"))
+    of_item = of_item.select("item", "n", F.col("s.seeds").alias("seed"), F.col("s.places").alias("places")).distinct()
+    shared = seed.join(of_item, "seed").groupBy("part", "nth", "item", "n").agg(F.sum("places").alias("shared"))
     pairs = shared.where(F.col("shared") * least >= F.col("n") * threshold).select("part", "nth", "item")
     rows = pairs.join(hits.select("part", "nth", "doc_id", TEXT_HASH, "words"), ["part", "nth"]).join(item.select("item", "item_id", "item_words"), "item")
     return rows.select("doc_id", TEXT_HASH, "words", "item_id", "item_words").mapInArrow(_tiled(least, threshold), TILED)

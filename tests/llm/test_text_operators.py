@@ -254,6 +254,14 @@ def test_reordered_and_changed_passages(spark):
     assert all(r.coverage == 1.0 for r in rows.values())
 
 
+def test_items_that_repeat_themselves_are_found(spark):
+    item = "one two three four five six " * 11
+    rest = " ".join(f"x{k}" for k in range(30))
+    items = spark.createDataFrame([(1, item), (1, item), (2, "yes no " * 40)], "item_id long, text string")
+    found = decontamination.find_leaks(frame(spark, [f"{rest} {item} {rest}", rest, "yes no " * 40, "one two three four five six seven"]), items).collect()
+    assert {(r.doc_id, r.item_id, r.coverage) for r in found} == {(0, 1, 1.0), (2, 2, 1.0)}
+
+
 # --------------------------------------------------------------- classifiers
 
 
