@@ -1,15 +1,17 @@
 """License scan: a trained paragraph classifier, calibrated, and confirmed against templates.
 
-A text's paragraphs are its lines, long ones cut into sentences. A multinomial
-logistic regression over hashed words, word pairs and triples tells the families of
+A text's paragraphs are its lines. Each is judged whole, by sentence, and by every run
+of as many words as a template has, so that a notice is found whatever shares its line.
+A multinomial logistic regression over hashed words, word pairs and triples tells the families of
 ``TEMPLATES`` and an unknown class apart. It is trained on variations of the
 templates and on at most ``max_unknown`` paragraphs of the corpus that resemble no
 template; a temperature fitted on held-out variations calibrates its probabilities.
-A prediction counts only if the paragraph's words are those of a template of its
-family.
+A prediction counts only if the words judged are those of a template of its family.
+Where findings of one family overlap, the line counts before its sentences, and these
+before runs of words.
 
-Most paragraphs are dismissed by a bound: no family can beat the unknown class when
-the sum, over the paragraph's features, of the best family's lead does not.
+Most lines and sentences are dismissed by a bound: no family can beat the unknown
+class when the sum, over the features, of the best family's lead does not.
 
 Edge cases: null and blank texts have no paragraphs; null and repeated doc_ids give
 rows of their own; an empty table gives no rows, and the classifier then knows only
@@ -36,6 +38,9 @@ UNKNOWN = "unknown"
 #: A finding needs this calibrated probability and this share of its word pairs in a template of the family.
 LEAST_PROBABILITY = 0.5
 LEAST_SIMILARITY = 0.6
+#: Runs of words have no ends of their own, so more of their word pairs must be the template's.
+RUN_SIMILARITY = 0.75
+#: Characters of a corpus line that are taken as an unknown paragraph.
 MAX_PARAGRAPH = 400
 SCALE = 8.0
 
@@ -102,20 +107,20 @@ ROWS = "doc_id long, paragraph int, start int, end int, family string, probabili
 
 
 def paragraphs(text: str) -> list[tuple[int, int]]:
-    """(start, end) of each paragraph that is not blank: lines, those over ``MAX_PARAGRAPH`` characters by sentence."""
+    """(start, end) of each line that is not blank."""
     found, at = [], 0
     for line in text.split("\n"):
-        end = at + len(line)
-        if len(line) <= MAX_PARAGRAPH:
-            found.append((at, end))
-        else:
-            low = at
-            for m in _CUT.finditer(text, at, end):
-                found.append((low, m.start()))
-                low = m.end()
-            found.append((low, end))
-        at = end + 1
-    return [(a, b) for a, b in found if b > a and not text[a:b].isspace()]
+        if line and not line.isspace():
+            found.append((at, at + len(line)))
+        at += len(line) + 1
+    return found
+
+
+def sentences(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """(start, end) of the sentences of a line, none if it is only one."""
+    cuts = list(_CUT.finditer(text, start, end))
+    lows, highs = [start, *(m.end() for m in cuts)], [*(m.start() for m in cuts), end]
+    return [(a, b) for a, b in zip(lows, highs, strict=True) if b > a] if cuts else []
 
 
 def numbers(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -134,8 +139,11 @@ def numbers(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(found) >> np.uint64(64 - BITS)).astype("i8"), np.concatenate(rows)
 
 
+_WORD = re.compile(r"[^\W_]+")
+
+
 def _words(text: str) -> list[str]:
-    return ["#" if w.isdigit() else w for w in re.findall(r"[^\W_]+", text.lower())]
+    return ["#" if w.isdigit() else w for w in _WORD.findall(text.lower())]
 
 
 def _pairs(text: str) -> set[tuple[str, ...]]:
@@ -150,6 +158,65 @@ def similarity(text: str, family: str) -> float:
 
 
 _TEMPLATE_PAIRS = {family: [_pairs(t) for t in texts] for family, texts in TEMPLATES.items()}
+#: Word pair -> the templates that have it, and each template's number of words.
+_LENGTHS = [len(_words(t)) for texts in TEMPLATES.values() for t in texts]
+_TEMPLATES_OF: dict[tuple[str, str], list[int]] = {}
+for _k, _own in enumerate(p for pairs in _TEMPLATE_PAIRS.values() for p in pairs):
+    for _pair in _own:
+        _TEMPLATES_OF.setdefault(_pair, []).append(_k)
+
+
+def _keys(template: set[tuple[str, str]]) -> list[str]:
+    """Long words of a template, so many that no run without any of them has ``RUN_SIMILARITY`` of its pairs."""
+    found: list[str] = []
+    for w in sorted({x for pair in template for x in pair if x not in ("", "#")}, key=lambda x: (-len(x), x)):
+        if sum(not set(pair) & set(found) for pair in template) < RUN_SIMILARITY * len(template):
+            break
+        found.append(w)
+    return found
+
+
+_PAIRS_OF = [pairs for family in _TEMPLATE_PAIRS.values() for pairs in family]
+#: Key word -> the templates that it may show.
+_KEYS: dict[str, set[int]] = {}
+for _k, _own in enumerate(_PAIRS_OF):
+    for _key in _keys(_own):
+        _KEYS.setdefault(_key, set()).add(_k)
+
+
+def runs(text: str, start: int, end: int, keys: list[str]) -> list[tuple[int, int]]:
+    """(start, end) of the runs of a template's number of words that have ``RUN_SIMILARITY`` of its pairs, the best first.
+
+    ``keys`` are the key words that the text has.
+    """
+    line = text[start:end].lower()
+    wanted = set().union(*(_KEYS[w] for w in keys if w in line))
+    if not wanted:
+        return []
+    spans = [m.span() for m in _WORD.finditer(text, start, end)]
+    own = ["#" if w.isdigit() else w for w in (text[a:b].lower() for a, b in spans)]
+    places: dict[int, list[int]] = {}
+    for i, pair in enumerate(zip(own, own[1:], strict=False)):
+        for k in _TEMPLATES_OF.get(pair, ()):
+            if k in wanted:
+                places.setdefault(k, []).append(i)
+    found = {}
+    for k, at in places.items():
+        m, template = _LENGTHS[k], _PAIRS_OF[k]
+        least = max(RUN_SIMILARITY * len(template) - 2, 1)  # the two ends may be the template's as well
+        if len(at) < least:
+            continue
+        hit = np.zeros(len(own) + 1, "i8")
+        hit[np.array(at) + 1] = 1
+        total = np.cumsum(hit)
+        low = np.arange(max(len(own) - m + 1, 0))
+        for i in low[total[low + m - 1] - total[low] >= least].tolist():
+            pairs = set(zip(["", *own[i : i + m]], [*own[i : i + m], ""], strict=True))
+            share = len(pairs & template) / max(len(pairs), len(template))
+            if share >= RUN_SIMILARITY:
+                span = (spans[i][0], spans[i + m - 1][1])
+                found[span] = max(found.get(span, (0, 0)), (share, m))
+    return sorted(found, key=lambda x: (-found[x][0], -found[x][1], x))
 
 
 @dataclass(frozen=True)
@@ -235,9 +302,10 @@ def unknown_sample(docs: DataFrame, bound: int = MAX_UNKNOWN) -> list[str]:
 
 
 def find_licenses(docs: DataFrame, model: LicenseModel | None = None) -> DataFrame:
-    """One row for each paragraph of ``docs`` (doc_id, text) that is a licence notice.
+    """One row for each licence notice in ``docs`` (doc_id, text).
 
-    Returns doc_id, paragraph, start, end (code points), family, probability, similarity.
+    Returns doc_id, paragraph (its line's number among those not blank), start, end (code
+    points), family, probability, similarity.
     """
     model = model or train(unknown_sample(docs))
 
@@ -248,7 +316,12 @@ def find_licenses(docs: DataFrame, model: LicenseModel | None = None) -> DataFra
             ids, texts = batch.column(0).to_pylist(), [x or "" for x in batch.column(1).to_pylist()]
             rows = []
             for low in range(0, len(texts), 200):
-                where = [(d, k, a, b) for d in range(low, min(low + 200, len(texts))) for k, (a, b) in enumerate(paragraphs(texts[d]))]
+                lines = [(d, k, a, b) for d in range(low, min(low + 200, len(texts))) for k, (a, b) in enumerate(paragraphs(texts[d]))]
+                cut = [(d, k, a, b) for d, k, *line in lines for a, b in sentences(texts[d], *line)]
+                keys = {d: [w for w in _KEYS if w in small] for d in {x[0] for x in lines} for small in (texts[d].lower(),)}
+                rest = [(d, k, a, b) for d, k, *line in lines if keys[d] for a, b in runs(texts[d], *line, keys[d])]
+                where = [*lines, *cut, *rest]
+                least = np.repeat([LEAST_SIMILARITY, LEAST_SIMILARITY, RUN_SIMILARITY], [len(lines), len(cut), len(rest)])
                 own = [texts[d][a:b] for d, _, a, b in where]
                 feature, row = numbers(own)
                 n = len(own)
@@ -259,11 +332,15 @@ def find_licenses(docs: DataFrame, model: LicenseModel | None = None) -> DataFra
                     continue
                 inside = np.isin(row, maybe)
                 p = model.probabilities(model.logits(feature[inside], np.searchsorted(maybe, row[inside]), len(maybe)))
+                taken: dict[tuple[int, int, str], list[tuple[int, int]]] = {}
                 for m, q in zip(maybe.tolist(), p, strict=True):
                     family = FAMILIES[int(q.argmax())]
-                    if family != UNKNOWN and q.max() >= LEAST_PROBABILITY and (s := similarity(own[m], family)) >= LEAST_SIMILARITY:
+                    if family != UNKNOWN and q.max() >= LEAST_PROBABILITY and (s := similarity(own[m], family)) >= least[m]:
                         d, k, a, b = where[m]
-                        rows.append((ids[d], k, a, b, family, float(q.max()), s))
+                        others = taken.setdefault((d, k, family), [])
+                        if all(b <= x or y <= a for x, y in others):
+                            others.append((a, b))
+                            rows.append((ids[d], k, a, b, family, float(q.max()), s))
             kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.float64(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate(kinds)], [c.split()[0] for c in ROWS.split(", ")])
 

@@ -308,3 +308,15 @@ def test_license_notices(spark):
     rows = licenses.find_licenses(frame(spark, texts)).collect()
     assert {(r.doc_id, r.family) for r in rows} == set(enumerate(notices))
     assert all(texts[r.doc_id][r.start : r.end] == list(notices.values())[r.doc_id] for r in rows)
+
+
+def test_license_notices_that_share_a_line(spark):
+    mit = "Licensed under the MIT License."
+    long = "the river bends north of the old mill and carries small boats " * 8
+    texts = {
+        f"Copyright (c) 2021 Jane Smith. {mit}": "mit", "Copyright (c) 2019 Acme Inc. All rights reserved.": "proprietary", f"We walked home along the river that evening. {mit}": "mit",
+        f"{long}{mit[:-1].lower()} {long}": "mit", f"the code of this tool is {mit[:-1].lower()} as before": "mit", f"{long}. {mit} {long}": "mit",
+    }
+    rows = licenses.find_licenses(frame(spark, [*texts, long, f"{long}released under the {long}", f"{mit} Licensed under CC BY-NC 4.0."])).collect()
+    found = {(r.doc_id, r.family) for r in rows}
+    assert found == {*enumerate(texts.values()), (8, "mit"), (8, "cc-by-nc")}, sorted(found)
