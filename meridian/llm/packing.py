@@ -2,9 +2,10 @@
 
 Documents are tokenized in place; only (length, count) pairs, at most one per
 length up to the capacity, reach the planner. It fills one sequence at a time
-around the longest piece left, looking by branch and bound for the undominated
-filling that wastes least, and applies a filling to as many sequences as the
-counts allow. The plan, a list of fillings with ranges of ranks, is as bounded as
+around the longest piece left and applies a filling to as many sequences as the
+counts allow. While the plan is above the lower bound, it branches over the
+undominated fillings of each longest piece and over how often each is applied, and
+undoes a choice once the waste so far leaves nothing to gain. The plan, a list of fillings with ranges of ranks, is as bounded as
 the histogram. Each piece finds its place from its rank among the pieces of its
 length, which is a running count within its task plus an offset per task.
 
@@ -163,12 +164,117 @@ def _complete(histogram: dict[int, int], capacity: int, nodes: int, slack: int |
     return plan
 
 
+#: Steps after which the search for a shorter plan ends, and those of one list of fillings.
+STEPS, STEPS_OF_ONE = 1_000_000, 20_000
+#: Fillings of one list that are compared; the search knows that it is not complete where there are more.
+MOST = 200
+
+
+def _alternatives(room: int, waste: int, counts: Counter, lengths: list[int], steps: int) -> tuple[list[tuple[int, ...]], int, bool]:
+    """All undominated fillings of ``room`` that waste at most ``waste``, the steps taken, and whether ``steps`` sufficed."""
+    ends = [0]  # what all pieces of the shortest lengths sum up to
+    for n in lengths:
+        ends.append(ends[-1] + n * counts[n])
+    found: list[tuple[int, ...]] = []
+    taken = 0
+    stack: list[tuple[int, int, tuple[int, ...]]] = [(len(lengths), room, ())]
+    while stack and taken < steps:
+        taken += 1
+        top, left, filling = stack.pop()
+        top = bisect_right(lengths, left, 0, top)
+        if left - ends[top] > waste:
+            continue
+        if not top:
+            found.append(filling)
+            continue
+        n = lengths[top - 1]
+        for k in range(min(counts[n], left // n) + 1):  # the most pieces are looked at first
+            stack.append((top - 1, left - n * k, filling + (n,) * k))
+    whole = not stack and len(found) <= MOST
+    found = sorted(set(found), key=lambda f: (-sum(f), len(f)))[:MOST]
+    return [f for f in found if not any(dominated(f, g) and not (dominated(g, f) and f < g) for g in found)], taken + len(found) ** 2, whole
+
+
+def _branch(histogram: dict[int, int], capacity: int, used: int, bound: int, steps: int = STEPS) -> list[tuple[tuple[int, ...], int]] | None:
+    """The best plan of fewer than ``used`` sequences that the search finds in ``steps`` steps, None if there is none.
+
+    Depth first with undo. A round may leave the first choice only so many times, and
+    the next round twice as many: early choices are revised before late ones are used up.
+    """
+    total = sum(n * c for n, c in histogram.items())
+    best, spent, leaves = None, 0, 1
+    while spent < steps and used > bound:
+        counts = Counter({n: c for n, c in histogram.items() if c > 0})
+        cut = False
+        path: list[tuple[tuple[int, ...], int]] = []
+        wasted, left_first = 0, [0]
+        frames: list[Iterator[tuple[int, tuple[int, ...], int]]] = []
+
+        def options(allowed: int, last: tuple[int, ...] | None) -> Iterator[tuple[int, tuple[int, ...], int]]:
+            nonlocal spent, cut
+            lengths = sorted(n for n, c in counts.items() if c)
+            top = lengths[-1]
+            counts[top] -= 1
+            fillings, taken, whole = _alternatives(capacity - top, allowed, counts, [n for n in lengths if counts[n]], min(STEPS_OF_ONE, steps - spent))
+            counts[top] += 1
+            spent += taken + len(lengths)
+            cut |= not whole
+            choices = []
+            for f in fillings:
+                waste, most = capacity - top - sum(f), min(counts[n] // k for n, k in Counter((top, *f)).items())
+                most = min(most, allowed // waste) if waste else most
+                if most and (top, *f) != last:
+                    choices.append(((top, *f), most))
+            rank = 0
+            for fewer in range(max((most for _, most in choices), default=0)):  # every filling as often as can be, then less often
+                for filling, most in choices:
+                    if most > fewer:
+                        yield rank, filling, most - fewer
+                        rank += 1
+
+        frames.append(options((used - 1) * capacity - total, None))
+        while frames and spent < steps:
+            if len(path) == len(frames):
+                filling, times = path.pop()
+                wasted -= (capacity - sum(filling)) * times
+                left_first.pop()
+                for n in filling:
+                    counts[n] += times
+            choice = next(frames[-1], None)
+            if choice is not None and left_first[-1] + choice[0] > leaves:
+                choice, cut = None, True
+            if choice is None:
+                frames.pop()
+                continue
+            spent += 1
+            rank, filling, times = choice
+            waste = (capacity - sum(filling)) * times
+            allowed = (used - 1) * capacity - total - wasted - waste
+            path.append((filling, times))
+            left_first.append(left_first[-1] + rank)
+            wasted += waste
+            for n in filling:
+                counts[n] -= times
+            if allowed < 0:
+                continue
+            if not any(counts.values()):
+                best, used = list(path), sum(t for _, t in path)
+                if used <= bound:
+                    return best
+                continue
+            frames.append(options(allowed, filling))
+        if not cut:
+            break
+        leaves *= 2
+    return best
+
+
 def plan_packing(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
     """Bin completion over a histogram of lengths.
 
-    Best-fit decreasing is the first incumbent. Wider searches follow while the
-    incumbent is above the lower bound; each gives up as soon as its waste would
-    need as many sequences as the incumbent has.
+    Best-fit decreasing is the first incumbent. While the incumbent is above the lower
+    bound, two wider passes follow, which give up as soon as their waste would need as
+    many sequences as the incumbent has, and then the search that undoes choices.
     """
     incumbent = best_fit(histogram, capacity)
     used = sum(t for _, t in incumbent)
@@ -179,7 +285,7 @@ def plan_packing(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[i
         found = _complete(histogram, capacity, nodes, slack=(used - 1) * capacity - total)
         if found is not None and sum(t for _, t in found) < used:
             incumbent, used = found, sum(t for _, t in found)
-    return incumbent
+    return incumbent if used <= bound else _branch(histogram, capacity, used, bound) or incumbent
 
 
 def places(plan: list[tuple[tuple[int, ...], int]]) -> tuple[np.ndarray, ...]:

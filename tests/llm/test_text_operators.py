@@ -180,6 +180,20 @@ def test_plans_are_as_short_as_can_be():
     assert over <= 2
 
 
+def test_plans_revise_early_choices():
+    lengths = (65, 60, 53, 30, 25, 22, 20, 15, 10)
+    for copies in (1, 60):
+        plan = packing.plan_packing(dict.fromkeys(lengths, copies), 100)
+        assert sum(t for _, t in plan) == 3 * copies
+        assert all(sum(t * f.count(n) for f, t in plan) == copies for n in lengths) and all(sum(f) <= 100 for f, _ in plan)
+    rng = random.Random(12)
+    for _ in range(60):
+        items = [rng.randrange(10, 70) for _ in range(rng.randrange(5, 11))]
+        plan = packing.plan_packing({n: items.count(n) for n in items}, 100)
+        assert sum(t for _, t in plan) == exact_bins(items, 100), items
+        assert sorted(n for f, t in plan for n in f * t) == sorted(items)
+
+
 def test_dominance():
     assert packing.dominated((3, 3), (7,)) and not packing.dominated((7,), (3, 3)) and not packing.dominated((3,), (3,))
 
