@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -17,10 +19,13 @@ WHITE = r"[\x20\x09-\x0D]"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
-    Taken from ``spark.checkpoint.dir``; only where that is unset (local tests)
-    a fresh temporary folder is used and remembered in the session.
+    Taken from ``spark.checkpoint.dir``; only where that is unset and Spark runs in
+    this one machine a fresh temporary folder is used and remembered in the session.
+    On a cluster a missing setting is an error: executors do not see each other's disks.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("meridian.shared.dir", None)
+    if not found and spark.sparkContext.master.partition("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not found:
         found = "file://" + tempfile.mkdtemp(prefix="meridian-")
         spark.conf.set("meridian.shared.dir", found)
@@ -87,3 +92,11 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.Re
     for batch in batches:
         for low in range(0, batch.num_rows, rows):
             yield batch.slice(low, rows)
+    release_memory()
+
+
+def release_memory() -> None:
+    """Give back what a task has freed: its worker lives on beside those of later stages."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)

@@ -8,11 +8,13 @@ Two sets whose Jaccard similarity is at least t share a token among the first
 2. gathers the prefixes under that order by token. A token of few documents gives
    the pairs that pass the size and position bounds. A token of many gives pairs
    with a few hubs, and its documents are remembered;
-3. lets a pair through only if its prefixes also meet under every other order, and
-   verifies those left on the whole sets;
-4. compares, in blocks of documents, the remembered documents that are not yet in
-   one component. A block comparison is exact and counts all intersections at
-   once, so no pairs are written; within a component nothing is compared.
+3. writes, for the documents of these pairs, the set and its prefix under each
+   further order. The prefixes alone are read first: a pair goes on only if they meet
+   under every order. Only the sets of the pairs left are then read and compared;
+4. compares, in blocks of documents of like sizes, the remembered documents that are
+   not yet in one component: a block drops the pairs whose prefixes do not meet under
+   every further order, then counts the intersections of the others at once. No
+   pairs are written, and within a component nothing is compared.
 
 Documents are joined as their shingle sets, so any number of copies is one set.
 
@@ -32,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.llm.common import documents, limited_broadcast, materialise, slices, text_bytes
+from meridian.llm.common import TEXT_HASH, documents, drop_rows, limited_broadcast, materialise, slices, text_bytes
 from meridian.llm.components import connected_components
 from meridian.llm.shingles import mix, shingle_sets, signature
 
@@ -48,9 +50,11 @@ BLOCK = 512
 ORDERS = (11, 12)
 #: Prefix entries that a task packs at a time, and signatures that it remembers so as not to send copies twice.
 BATCH = 250_000
-SEEN = 200_000
+SEEN = 100_000
+#: Sets that may share 64 bits of their signature; some 70 are expected among 5 * 10**10.
+MOST_CLASHES = 100_000
 
-THIN = "doc_id long, n long, sig long, sig2 long, slot int, counts binary"
+THIN = f"doc_id long, {TEXT_HASH} long, n long, sig long, sig2 long, slot int, part int, counts binary"
 
 
 def prefix_length(n: np.ndarray | int):
@@ -63,9 +67,16 @@ def linked(common, a, b):
     return 7 * common >= 3 * (a + b)
 
 
+def name(s: np.ndarray, clashes: frozenset[int]) -> int:
+    """A set's name: the first 64 bits of its signature or, where two sets share these, the other 64."""
+    one, two = signature(s)
+    return two if one in clashes else one
+
+
 def _summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per document its set's size and signature; per task its counts of shingles."""
     import zstandard
+    from pyspark import TaskContext
 
     counts = np.zeros(1 << SKETCH_BITS, "u4")
     for batch in slices(batches):
@@ -75,33 +86,47 @@ def _summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slot, times = np.unique(_slot(np.concatenate(sets)), return_counts=True)
         counts[slot] += times.astype("u4")
         yield pa.RecordBatch.from_pydict({
-            "doc_id": batch.column(0).cast(pa.int64()), "n": pa.array([len(s) for s in sets], pa.int64()), "sig": pa.array([s[0] for s in sigs], pa.int64()),
-            "sig2": pa.array([s[1] for s in sigs], pa.int64()), "slot": pa.nulls(n, pa.int32()), "counts": pa.nulls(n, pa.binary()),
+            "doc_id": batch.column(0).cast(pa.int64()), TEXT_HASH: batch.column(2), "n": pa.array([len(s) for s in sets], pa.int64()), "sig": pa.array([s[0] for s in sigs], pa.int64()),
+            "sig2": pa.array([s[1] for s in sigs], pa.int64()), "slot": pa.nulls(n, pa.int32()), "part": pa.nulls(n, pa.int32()), "counts": pa.nulls(n, pa.binary()),
         })
+    part = TaskContext.get().partitionId()
     pack = zstandard.ZstdCompressor(level=1)
     parts = counts.astype("<u4").reshape(64, -1)
     slots = [k for k in range(64) if parts[k].any()]
     m = len(slots)
     yield pa.RecordBatch.from_pydict({
-        "doc_id": pa.nulls(m, pa.int64()), "n": pa.nulls(m, pa.int64()), "sig": pa.nulls(m, pa.int64()), "sig2": pa.nulls(m, pa.int64()),
-        "slot": pa.array(slots, pa.int32()), "counts": pa.array([pack.compress(parts[k].tobytes()) for k in slots], pa.binary()),
+        "doc_id": pa.nulls(m, pa.int64()), TEXT_HASH: pa.nulls(m, pa.int64()), "n": pa.nulls(m, pa.int64()), "sig": pa.nulls(m, pa.int64()), "sig2": pa.nulls(m, pa.int64()),
+        "slot": pa.array(slots, pa.int32()), "part": pa.array([part] * m, pa.int32()), "counts": pa.array([pack.compress(parts[k].tobytes()) for k in slots], pa.binary()),
     })
 
 
-def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The levels of each slot from all its counts; holds one array per slot, however many tasks sent some."""
-    import zstandard
+def _sum_counts(as_levels: bool):
+    """The sums of each slot's counts; holds one array per slot, however many tasks sent some."""
 
-    total: dict[int, np.ndarray] = {}
-    unpack = zstandard.ZstdDecompressor()
-    for batch in batches:
-        for slot, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            own = np.frombuffer(unpack.decompress(raw), "<u4").astype("i8")
-            total[slot] = total[slot] + own if slot in total else own
-    yield pa.RecordBatch.from_pydict({
-        "slot": pa.array(list(total), pa.int32()),
-        "levels": pa.array([_levels(x).tobytes() for x in total.values()], pa.binary()),
-    })
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        total: dict[int, np.ndarray] = {}
+        unpack, pack = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            for slot, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                own = np.frombuffer(unpack.decompress(raw), "<u4").astype("u8")
+                total[slot] = np.minimum(total.get(slot, 0) + own, 0xFFFFFFFF)  # beyond that a token is as frequent as it gets
+        out = [_levels(x).tobytes() if as_levels else pack.compress(x.astype("<u4").tobytes()) for x in total.values()]
+        yield pa.RecordBatch.from_pydict({"slot": pa.array(list(total), pa.int32()), "counts": pa.array(out, pa.binary())})
+
+    return add
+
+
+def _shingle_levels(counts: DataFrame, tasks: int) -> np.ndarray:
+    """The level of every counter; a slot's counts are summed in groups of tasks first, then over the groups."""
+    kinds = "slot int, counts binary"
+    partly = counts.repartition(tasks, "slot", F.pmod("part", F.lit(64))).select("slot", "counts").mapInArrow(_sum_counts(False), kinds)
+    summed = materialise(partly, "counts").repartition(min(tasks, 64), "slot").mapInArrow(_sum_counts(True), kinds)
+    levels = np.zeros((64, (1 << SKETCH_BITS) // 64), "u1")
+    for row in summed.collect():  # 64 rows of fixed size
+        levels[row["slot"]] = np.frombuffer(row["counts"], "u1")
+    return levels.reshape(-1)
 
 
 def _levels(counts: np.ndarray) -> np.ndarray:
@@ -118,7 +143,7 @@ def _rank(tokens: np.ndarray, levels: np.ndarray) -> np.ndarray:
     return np.argsort((levels[_slot(tokens)].astype("u8") << np.uint64(58)) | (mix(tokens, 10) >> np.uint64(6)), kind="stable")
 
 
-def _index(levels: np.ndarray, buckets: int):
+def _index(levels: np.ndarray, buckets: int, clashes: frozenset[int]):
     """Prefix entries of a task's documents, packed by bucket of their token."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,7 +184,7 @@ def _index(levels: np.ndarray, buckets: int):
             for s in shingle_sets(batch.column(0).to_pylist()):
                 if not len(s):
                     continue
-                sig = signature(s)[0]
+                sig = name(s, clashes)
                 if sig in seen:
                     continue
                 if len(seen) < SEEN:
@@ -234,55 +259,83 @@ def _meet(buckets: int):
         new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
         members = np.arange(len(tokens)) if hot else many
         return pd.concat([
-            pd.DataFrame({"token": pd.array([None] * int(new.sum()), "Int64"), "a": a[new], "b": pd.array(b[new], "Int64")}),
-            pd.DataFrame({"token": pd.array(tokens[members].view("i8"), "Int64"), "a": sig[members], "b": pd.array([None] * len(members), "Int64")}),
+            pd.DataFrame({"token": pd.array([None] * int(new.sum()), "Int64"), "n": np.zeros(int(new.sum()), "i8"), "a": a[new], "b": pd.array(b[new], "Int64")}),
+            pd.DataFrame({"token": pd.array(tokens[members].view("i8"), "Int64"), "n": n[members], "a": sig[members], "b": pd.array([None] * len(members), "Int64")}),
         ])
 
     return gather
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
-        sets = shingle_sets(batch.column(0).to_pylist())
-        yield pa.RecordBatch.from_pydict({"sig": pa.array([signature(s)[0] for s in sets], pa.int64()), "shingles": pa.array([s.tobytes() for s in sets], pa.binary())})
+def _prefix(s: np.ndarray, seed: int) -> np.ndarray:
+    """The prefix of a set under the order of ``seed``: the first 32 bits of its scattered tokens, ascending.
 
+    Equal tokens have equal bits, so two prefixes that meet always show it.
+    """
+    k = int(prefix_length(len(s)))
+    first = np.partition(mix(s, seed), k - 1)[:k]
+    return np.sort(first >> np.uint64(32)).astype("<u4")
+
+
+def _sets(clashes: frozenset[int]):
+    """Each text's set, and its prefix under every further order."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = [s for s in shingle_sets(batch.column(0).to_pylist()) if len(s)]
+            out = {"sig": pa.array([name(s, clashes) for s in sets], pa.int64()), "shingles": pa.array([s.tobytes() for s in sets], pa.binary())}
+            for seed in ORDERS:
+                out[f"order{seed}"] = pa.array([_prefix(s, seed).tobytes() for s in sets], pa.binary())
+            yield pa.RecordBatch.from_pydict(out)
+
+    return rows
 
-def _sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A document's set for each partner that it is to be compared with."""
+
+SETS = "sig long, shingles binary, " + ", ".join(f"order{seed} binary" for seed in ORDERS)
+
+
+def _common(s: np.ndarray, t: np.ndarray) -> int:
+    both = np.concatenate([s, t])
+    both.sort()
+    return int((both[1:] == both[:-1]).sum())
+
+
+def _meet_in_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs whose prefixes (from the fourth column on, two for each order) meet under every order."""
     for batch in slices(batches):
-        a, b, t = [], [], []
-        for s, sig, partners in zip(shingle_sets(batch.column(0).to_pylist()), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            if signature(s)[0] == sig:  # else another text under a repeated doc_id
-                a += partners
-                b += [sig] * len(partners)
-                t += [s.tobytes()] * len(partners)
-        yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "t": pa.array(t, pa.binary())})
+        keep = np.ones(batch.num_rows, bool)
+        for k in range(3, batch.num_columns, 2):
+            for i in np.flatnonzero(keep).tolist():
+                keep[i] = _common(*(np.frombuffer(batch.column(c)[i].as_buffer(), "<u4") for c in (k, k + 1))) > 0
+        yield pa.RecordBatch.from_arrays(batch.columns[:3], batch.schema.names[:3]).filter(pa.array(keep))
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs that meet in the prefixes of every further order and whose sets are similar."""
+    """The pairs of similar sets."""
     for batch in slices(batches):
-        a, b = [], []
-        for x, y, s, t in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-            s, t = np.frombuffer(s, "<u8"), np.frombuffer(t, "<u8")
-            both = np.concatenate([s, t])
-            both.sort()
-            common = both[1:][both[1:] == both[:-1]]
-            if all(_meets(s, t, common, seed) for seed in ORDERS) and linked(len(common), len(s), len(t)):
-                a.append(x)
-                b.append(y)
-        yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-
-def _meets(s: np.ndarray, t: np.ndarray, common: np.ndarray, seed: int) -> bool:
-    """Whether a common token lies in both prefixes under the order of ``seed``."""
-    if not len(common):
-        return False
-    bounds = []
-    for x in (s, t):
-        k = int(prefix_length(len(x)))
-        bounds.append(np.partition(mix(x, seed), k - 1)[k - 1])
-    return bool(mix(common, seed).min() <= min(bounds))
+        s, t = ([np.frombuffer(x, "<u8") for x in batch.column(c).to_pylist()] for c in (2, 3))
+        keep = [bool(linked(_common(x, y), len(x), len(y))) for x, y in zip(s, t, strict=True)]
+        yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many values each of ``left`` shares with each of ``right``."""
+    flat = [np.concatenate(x) for x in (left, right)]
+    shared = np.intersect1d(*map(np.unique, flat), assume_unique=True)
+    row = [np.repeat(np.arange(len(x)), [len(y) for y in x]) for x in (left, right)]
+    total = np.zeros((len(left), len(right)), "f4")
+    for k in range(2):
+        at = np.searchsorted(shared, flat[k])
+        met = shared[np.minimum(at, len(shared) - 1)] == flat[k] if len(shared) else np.zeros(len(at), bool)
+        flat[k], row[k] = at[met], row[k][met]
+    for low in range(0, len(shared), 4096):
+        dense = []
+        for k, side in enumerate((left, right)):
+            own = (flat[k] >= low) & (flat[k] < low + 4096)
+            x = np.zeros((len(side), min(4096, len(shared) - low)), "f4")
+            x[row[k][own], flat[k][own] - low] = 1
+            dense.append(x)
+        total += dense[0] @ dense[1].T
+    return total
 
 
 def _compare(rows: pd.DataFrame) -> pd.DataFrame:
@@ -290,104 +343,118 @@ def _compare(rows: pd.DataFrame) -> pd.DataFrame:
     left, right = rows[rows["side"] == 0], rows[rows["side"] == 1]
     if not len(right):
         right = left
-    sets = [[np.frombuffer(x, "<u8") for x in side["shingles"]] for side in (left, right)]
-    flat = [np.concatenate(x) if x else np.zeros(0, "u8") for x in sets]
-    shared = np.intersect1d(*map(np.unique, flat), assume_unique=True)
-    size = [np.array([len(s) for s in x]) for x in sets]
-    common = np.zeros((len(left), len(right)), "f4")
-    row = [np.repeat(np.arange(len(x)), s) for x, s in zip(sets, size, strict=True)]
-    at = [np.searchsorted(shared, f) for f in flat]
-    valid = [(a < len(shared)) & (shared[np.minimum(a, len(shared) - 1)] == f) if len(shared) else np.zeros(len(f), bool) for a, f in zip(at, flat, strict=True)]
-    for low in range(0, len(shared), 4096):
-        dense = []
-        for k in range(2):
-            own = valid[k] & (at[k] >= low) & (at[k] < low + 4096)
-            x = np.zeros((len(sets[k]), min(4096, len(shared) - low)), "f4")
-            x[row[k][own], at[k][own] - low] = 1
-            dense.append(x)
-        common += dense[0] @ dense[1].T
-    i, j = np.nonzero(linked(common.astype("i8"), size[0][:, None], size[1][None, :]))
-    sig = left["sig"].to_numpy(), right["sig"].to_numpy()
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while parent.setdefault(x, x) != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    comp = left["comp"].to_numpy(), right["comp"].to_numpy()
-    differ = comp[0][i] != comp[1][j]
-    out = []
-    for x, y, s, t in zip(comp[0][i[differ]].tolist(), comp[1][j[differ]].tolist(), sig[0][i[differ]].tolist(), sig[1][j[differ]].tolist(), strict=True):
-        x, y = root(x), root(y)
-        if x != y:
-            parent[x] = y
-            out.append((s, t))
+    comp, sig, sets = ([x.to_numpy() for x in (left[c], right[c])] for c in ("comp", "sig", "shingles"))
+    sets = [[np.frombuffer(x, "<u8") for x in side] for side in sets]
+    n = [np.array([len(s) for s in side]) for side in sets]
+    wide, narrow = np.maximum(n[0][:, None], n[1]), np.minimum(n[0][:, None], n[1])
+    maybe = (comp[0][:, None] != comp[1]) & (4 * narrow >= 3 * wide)
+    for seed in ORDERS:
+        i, j = np.flatnonzero(maybe.any(axis=1)), np.flatnonzero(maybe.any(axis=0))
+        if not len(i):
+            break
+        met = _overlaps([_prefix(sets[0][x], seed) for x in i], [_prefix(sets[1][x], seed) for x in j]) > 0
+        maybe[np.ix_(i, j)] &= met
+    i, j = np.flatnonzero(maybe.any(axis=1)), np.flatnonzero(maybe.any(axis=0))
+    out: list[tuple[int, int]] = []
+    if len(i):
+        common = _overlaps([sets[0][x] for x in i], [sets[1][x] for x in j]).astype("i8")
+        similar = maybe[np.ix_(i, j)] & linked(common, n[0][i][:, None], n[1][j])
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        for p, q in zip(*np.nonzero(similar), strict=True):
+            x, y = root(int(comp[0][i[p]])), root(int(comp[1][j[q]]))
+            if x != y:
+                parent[x] = y
+                out.append((int(sig[0][i[p]]), int(sig[1][j[q]])))
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
-def _ids(thin: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(sig, doc_id): one document for each set in ``wanted`` (sig)."""
-    return materialise(thin.join(wanted, "sig", "left_semi").groupBy("sig").agg(F.min("doc_id").alias("doc_id")), "wanted")
+def _written_sets(docs: DataFrame, thin: DataFrame, wanted: DataFrame, clashes: frozenset[int]) -> DataFrame:
+    """The sets in ``wanted`` (sig) with their prefixes, from one document each; where doc_ids repeat maybe some more, or twice."""
+    ids = materialise(thin.join(wanted, "sig", "left_semi").groupBy("sig").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct(), "wanted")
+    texts = docs.join(limited_broadcast(ids, 1_000_000), "doc_id", "left_semi").select(text_bytes().alias("text"))
+    return materialise(texts.mapInArrow(_sets(clashes), SETS), "sets")
+
 
+#: Pairs of one hub that are compared in one place.
+PAIRS_OF_HUB = 1000
 
-def _fetch(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(sig, shingles) of the sets in ``ids`` (sig, doc_id); where doc_ids repeat maybe some more, or twice."""
-    texts = docs.join(limited_broadcast(ids.select("doc_id").distinct(), 1_000_000), "doc_id", "left_semi").select(text_bytes().alias("text"))
-    return texts.mapInArrow(_sets, "sig long, shingles binary")
 
+def _beside(pairs: DataFrame, sets: DataFrame, degree: DataFrame, *columns: str) -> DataFrame:
+    """``pairs`` (hub, sig, salt) with these columns of both ends; a hub's are copied to each of its salts."""
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / PAIRS_OF_HUB)))
+    hubs = sets.join(degree, "sig").select(F.col("sig").alias("hub"), *(F.col(c).alias(f"{c}_hub") for c in columns), copies.alias("salt"))
+    ends = [x for c in columns for x in (c, f"{c}_hub")]
+    return pairs.join(sets.select("sig", *columns), "sig").join(hubs, ["hub", "salt"]).select("hub", "sig", "salt", *ends)
 
-def _verified(docs: DataFrame, thin: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The similar ones of the candidate ``pairs`` (a, b).
 
-    A pair's set of fewer partners travels, straight from the scan of its text, to
-    the one of more partners, so a hub's set is sent once.
+def directed(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``pairs`` (a, b) as (hub, sig, salt), the end of more pairs first, and each end's number of pairs (sig, n).
+
+    The other end of a pair has at most the square root of twice all pairs.
     """
     ends = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig")))
-    ids = _ids(thin, ends.distinct())
     degree = materialise(ends.groupBy("sig").agg(F.count("*").alias("n")), "degrees")
     one, two = (degree.select(F.col("sig").alias(x), F.col("n").alias(f"n{x}")) for x in ("a", "b"))
     turned = F.struct("na", "a") >= F.struct("nb", "b")
-    known = pairs.join(one, "a").join(two, "b").select(F.when(turned, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(turned, F.col("b")).otherwise(F.col("a")).alias("sig"))
-    known = materialise(known, "turned")
-    partners = known.groupBy("sig").agg(F.collect_list("hub").alias("partners")).join(ids, "sig")  # at most the square root of twice the pairs
-    partners = materialise(partners, "partners")
-    texts = docs.join(limited_broadcast(partners, 500_000), "doc_id").select(text_bytes().alias("text"), "sig", "partners")
-    sent = texts.mapInArrow(_sent, "a long, b long, t binary")
-    hubs = materialise(ids.join(known.select(F.col("hub").alias("sig")), "sig", "left_semi"), "hubs")
-    sets = _fetch(docs, hubs).select(F.col("sig").alias("a"), F.col("shingles").alias("s"))
-    return materialise(sent.join(sets, "a").select("a", "b", "s", "t").mapInArrow(_verify, "a long, b long").distinct(), "links")
-
-
-def _blocks(docs: DataFrame, thin: DataFrame, members: DataFrame, roots: DataFrame) -> DataFrame:
+    known = pairs.join(one, "a").join(two, "b").select(
+        F.when(turned, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(turned, F.col("b")).otherwise(F.col("a")).alias("sig"), F.greatest("na", "nb").alias("n")
+    )
+    salt = F.pmod(F.xxhash64("sig"), F.floor((F.col("n") - 1) / PAIRS_OF_HUB) + 1)
+    return materialise(known.select("hub", "sig", salt.alias("salt")), "directed"), degree
+
+
+def meeting(pairs: DataFrame, sets: DataFrame, degree: DataFrame) -> DataFrame:
+    """The ``pairs`` (hub, sig, salt) that meet under all further orders; no set is read."""
+    rows = _beside(pairs, sets, degree, *(f"order{seed}" for seed in ORDERS))
+    return materialise(rows.mapInArrow(_meet_in_all, "hub long, sig long, salt long").distinct(), "meeting")
+
+
+def similar(pairs: DataFrame, sets: DataFrame, degree: DataFrame) -> DataFrame:
+    """The links (a, b) among ``pairs`` (hub, sig, salt)."""
+    rows = _beside(pairs, sets, degree, "shingles").select("hub", "sig", "shingles", "shingles_hub")
+    return materialise(rows.mapInArrow(_verify, "a long, b long").distinct(), "links")
+
+
+def _blocks(docs: DataFrame, thin: DataFrame, members: DataFrame, roots: DataFrame, clashes: frozenset[int]) -> DataFrame | None:
     """Links between documents of frequent tokens that are in different components."""
-    members = members.join(roots, members["sig"] == roots["node"], "left").select("token", "sig", F.coalesce("root", "sig").alias("comp"))
+    members = members.join(roots, members["sig"] == roots["node"], "left").select("token", "sig", "n", F.coalesce("root", "sig").alias("comp"))
+    members = materialise(members, "members")
     mixed = members.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size")).where("low <> high")
-    members = materialise(members.join(mixed.select("token", "size"), "token"), "members")
+    mixed = materialise(mixed.select("token", "size"), "mixed")
+    members = materialise(members.join(limited_broadcast(mixed, 500_000), "token"), "members")
     if members.isEmpty():
         return None
     # each document goes with the largest of its tokens; tokens then only say which of those clusters meet
-    own = members.groupBy("sig", "comp").agg(F.max(F.struct("size", "token"))["token"].alias("cluster"))
-    own = materialise(own, "clusters")
+    own = members.groupBy("sig", "comp", "n").agg(F.max(F.struct("size", "token"))["token"].alias("cluster"))
+    own = materialise(own.withColumn("class", F.floor(F.log("n") / F.log(F.lit(4 / 3)))), "clusters")
     met = members.select("token", "sig").join(own.select("sig", "cluster"), "sig").select("token", "cluster").distinct()
     other = met.select("token", F.col("cluster").alias("cluster2"))
     met = met.join(other, "token").where("cluster <= cluster2").select("cluster", "cluster2").distinct()
-    # a unit is a block of one large component, or of small components
-    sizes = own.groupBy("cluster", "comp").agg(F.count("*").alias("n")).withColumn("large", F.col("n") >= 64)
-    group = F.when(F.col("large"), F.col("comp"))
-    total = sizes.groupBy("cluster", group.alias("one")).agg(F.sum("n").alias("total"))
-    own = own.join(sizes.select("cluster", "comp", "large"), ["cluster", "comp"]).withColumn("one", group)
-    own = own.join(total, (own["cluster"] == total["cluster"]) & own["one"].eqNullSafe(total["one"])).drop(total["cluster"]).drop(total["one"])
-    key = F.when(F.col("large"), F.xxhash64("sig", F.lit(1))).otherwise(F.xxhash64("comp", F.lit(1)))
+    # a unit is a block, of sets of like sizes, of one large component or of small components
+    sizes = materialise(own.groupBy("cluster", "class", "comp").agg(F.count("*").alias("m")).withColumn("one", F.when(F.col("m") >= 64, F.col("comp"))), "sizes")
+    total = materialise(sizes.groupBy("cluster", "class", "one").agg(F.sum("m").alias("total")), "totals")
+    large = sizes.where("one is not null").select("cluster", "class", "comp", "one")
+    own = own.join(limited_broadcast(large, 200_000), ["cluster", "class", "comp"], "left")
+    none = F.lit("none")
+    own = own.withColumn("group", F.concat_ws(".", "cluster", "class", F.coalesce(F.col("one").cast("string"), none)))
+    total = total.select(F.concat_ws(".", "cluster", "class", F.coalesce(F.col("one").cast("string"), none)).alias("group"), "total")
+    own = own.join(limited_broadcast(total, 200_000), "group")
+    key = F.when(F.col("one").isNotNull(), F.xxhash64("sig", F.lit(1))).otherwise(F.xxhash64("comp", F.lit(1)))
     own = own.withColumn("block", F.pmod(key, F.ceil(F.col("total") / BLOCK)))
-    own = materialise(own.withColumn("unit", F.xxhash64("cluster", "one", "block")).select("unit", "cluster", "one", "sig", "comp"), "units")
-    units = own.select("unit", "cluster", "one").distinct()
-    second = units.select(F.col("unit").alias("unit2"), F.col("cluster").alias("cluster2"), F.col("one").alias("one2"))
-    pairs = met.join(units, "cluster").join(second, "cluster2").where("(cluster < cluster2 or unit <= unit2) and not coalesce(one = one2, false)")
+    own = materialise(own.withColumn("unit", F.xxhash64("group", "block")).select("unit", "cluster", "class", "one", "sig", "comp"), "units")
+    units = own.select("unit", "cluster", "class", "one").distinct()
+    second = units.select(*(F.col(c).alias(f"{c}2") for c in units.columns))
+    pairs = met.join(units, "cluster").join(second, "cluster2").where("abs(class - class2) <= 1 and (cluster < cluster2 or unit <= unit2) and not coalesce(one = one2, false)")
     pairs = materialise(pairs.select(F.xxhash64("unit", "unit2").alias("task"), "unit", "unit2"), "tasks")
     sides = pairs.select("task", "unit", F.lit(0).alias("side")).unionByName(pairs.where("unit <> unit2").select("task", F.col("unit2").alias("unit"), F.lit(1).alias("side")))
-    sets = _fetch(docs, _ids(thin, own.select("sig").distinct()))
+    sets = _written_sets(docs, thin, own.select("sig").distinct(), clashes).select("sig", "shingles")
     rows = sides.join(own.select("unit", "sig", "comp"), "unit").join(sets, "sig")
     return rows.select("task", "side", "sig", "comp", "shingles").groupBy("task").applyInPandas(_compare, "a long, b long")
 
@@ -400,32 +467,33 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select("doc_id", "text")
-    both = docs.select("doc_id", text_bytes().alias("text")).mapInArrow(_summarise, THIN)
+    both = docs.select("doc_id", text_bytes().alias("text"), F.xxhash64("text").alias(TEXT_HASH)).mapInArrow(_summarise, THIN)
     both = materialise(both, "sets-summary")
-    thin = both.where("slot is null").select("doc_id", "n", "sig", "sig2")
-    levels = np.zeros((64, (1 << SKETCH_BITS) // 64), "u1")
-    summed = both.where("slot is not null").select("slot", "counts").repartition(tasks, "slot").mapInArrow(_sum_counts, "slot int, levels binary")
-    for row in summed.collect():  # 64 rows of fixed size
-        levels[row["slot"]] = np.frombuffer(row["levels"], "u1")
-    levels = levels.reshape(-1)
+    thin = both.where("slot is null").select("doc_id", TEXT_HASH, "n", "sig", "sig2")
+    levels = _shingle_levels(both.where("slot is not null").select("slot", "part", "counts"), tasks)
 
-    # 64 bits name a set; the other 64 prove that no two sets have one name
+    # 64 bits name a set; the few that two sets share give way to the other 64
     named = thin.where("n > 0 and doc_id is not null")
     clash = named.groupBy("sig").agg(F.min("sig2").alias("low"), F.max("sig2").alias("high")).where("low <> high")
-    if not clash.isEmpty():
-        raise ValueError("two shingle sets have one signature; use another hash seed")
+    clash = [r["sig"] for r in clash.select("sig").limit(MOST_CLASHES + 1).collect()]
+    if len(clash) > MOST_CLASHES:
+        raise ValueError("too many shingle sets share 64 bits of their signatures")
+    clashes = frozenset(clash)
+    thin = thin.select("doc_id", TEXT_HASH, "n", F.when(F.col("sig").isin(clash), F.col("sig2")).otherwise(F.col("sig")).alias("sig")) if clash else thin.drop("sig2")
 
     entries = named.agg(F.sum("n")).first()[0] or 0
     buckets = max(tasks, entries // 8_000_000 + 1)
-    index = docs.where("doc_id is not null").select(text_bytes().alias("text")).mapInArrow(_index(levels, buckets), "bucket int, entries binary")
-    found = materialise(index.groupBy("bucket").applyInPandas(_meet(buckets), "token long, a long, b long"), "met")
+    index = docs.where("doc_id is not null").select(text_bytes().alias("text")).mapInArrow(_index(levels, buckets, clashes), "bucket int, entries binary")
+    found = materialise(index.groupBy("bucket").applyInPandas(_meet(buckets), "token long, n long, a long, b long"), "met")
 
     pairs = materialise(found.where("b is not null").select("a", "b").distinct(), "candidates")
-    links = _verified(docs, thin, pairs)
+    sets = _written_sets(docs, thin, pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct(), clashes)
+    known, degree = directed(pairs)
+    links = similar(meeting(known, sets, degree), sets, degree)
     roots = materialise(connected_components(links), "roots")
-    members = found.where("token is not null").select("token", F.col("a").alias("sig"))
+    members = found.where("token is not null").select("token", "n", F.col("a").alias("sig"))
     if not members.isEmpty():
-        more = _blocks(docs, thin, members, roots)
+        more = _blocks(docs, thin, members, roots, clashes)
         if more is not None:
             more = materialise(more, "links")
             if not more.isEmpty():
@@ -434,25 +502,30 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return thin, roots
 
 
-def near_components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text)."""
+def _components(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, n_shingles, sig and, where the row is linked, its component's smallest doc_id (least) and that row's set (first)."""
     thin, roots = near_links(docs)
     rows = thin.join(roots, (thin["sig"] == roots["node"]) & (thin["n"] > 0), "left")
-    rows = rows.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "sig").alias("comp"))
-    least = rows.where("n_shingles > 0").groupBy("comp").agg(F.min("doc_id").alias("least"), F.count("doc_id").alias("members")).where("members > 1")
-    joined = rows.join(least.select("comp", "least"), "comp", "left")
+    rows = rows.select("doc_id", TEXT_HASH, F.col("n").alias("n_shingles"), "sig", F.coalesce("root", "sig").alias("comp"))
+    least = rows.where("n_shingles > 0").groupBy("comp").agg(F.min("doc_id").alias("least"), F.min_by("sig", F.struct("doc_id", "sig")).alias("first"), F.count("doc_id").alias("members")).where("members > 1")
+    return rows.join(least.drop("members"), "comp", "left")
+
+
+def near_components(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text)."""
     own = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
-    return joined.select("doc_id", "n_shingles", F.when(own, F.col("doc_id")).otherwise(F.coalesce("least", "doc_id")).alias("component_id"))
+    component = F.when(own, F.col("doc_id")).otherwise(F.coalesce("least", "doc_id"))
+    return _components(docs).select("doc_id", "n_shingles", component.alias("component_id"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with the row of the smallest doc_id of each component, all its columns kept.
+    """``docs`` with one row of each component, that of the smallest doc_id, all its columns kept.
 
-    Rows with a null doc_id all stay; of rows that repeat a doc_id all stay or go together.
+    Rows with a null doc_id or without words all stay. Where a doc_id repeats with several
+    texts each row is judged by its own text; rows that share doc_id and text stay or go together.
     """
-    found = near_components(docs)
-    gone = materialise(found.where("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
-    return docs.join(limited_broadcast(gone, 1_000_000), "doc_id", "left_anti").select(*docs.columns)
+    found = _components(docs).where("least is not null and doc_id is not null and n_shingles > 0")
+    return drop_rows(docs, found.where("doc_id <> least or sig <> first"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

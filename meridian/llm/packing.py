@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from meridian.llm.common import documents, materialise, text_bytes
+from meridian.llm.common import documents, materialise, release_memory, text_bytes
 from meridian.llm.tokens import WordTokenizer, default_path
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
@@ -66,6 +66,7 @@ def cut(docs: DataFrame, capacity: int, tokenizer: str, end_id: int, with_ids: b
             if with_ids:
                 out["ids"] = pa.array(ids, pa.binary())
             yield pa.RecordBatch.from_pydict(out)
+        release_memory()
 
     rows = docs.select("doc_id", text_bytes().alias("text"))
     return rows.mapInArrow(pieces, PIECES + (", ids binary" if with_ids else ""))

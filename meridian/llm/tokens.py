@@ -15,6 +15,8 @@ import numpy as np
 #: A plain Latin word, then ASCII punctuation or symbols: at most two pre-tokens.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)?([!-/:-@\[-`{-~]*)")
 _WORKER: dict[tuple[str, int], "WordTokenizer"] = {}
+#: Chunks whose ids a worker keeps, some 20 MB: a worker outlives its task, and later stages share its memory.
+MAX_WORDS = 100_000
 
 
 def default_path() -> str:
@@ -36,7 +38,7 @@ class WordTokenizer(dict):
     ``max_words`` bounds the memory: beyond it the collection starts afresh.
     """
 
-    def __init__(self, path: str, max_words: int = 700_000):
+    def __init__(self, path: str, max_words: int = MAX_WORDS):
         from tokenizers import Tokenizer
 
         super().__init__()
@@ -46,7 +48,7 @@ class WordTokenizer(dict):
         self.max_words = max_words
 
     @classmethod
-    def of_worker(cls, path: str, max_words: int = 700_000) -> "WordTokenizer":
+    def of_worker(cls, path: str, max_words: int = MAX_WORDS) -> "WordTokenizer":
         key = (path, max_words)
         if key not in _WORKER:
             _WORKER[key] = cls(path, max_words)

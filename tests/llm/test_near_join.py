@@ -121,3 +121,49 @@ def test_components_of_paths_and_stars(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 130)] + [(7, 7)]
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {k: 0 for k in range(41)} | {k: 100 for k in range(100, 130)}
+
+
+def test_orders_filter_before_sets_are_compared(spark):
+    """Each filter only removes pairs, some are removed, and no similar pair is."""
+    rng = random.Random(5)
+    shared = [f"p{k}" for k in range(12)]
+    texts = []
+    for k in range(120):  # a little in common, few similar
+        w = [f"u{k}x{j}" for j in range(60)]
+        texts.append(" ".join(shared[: rng.randrange(5, 8)] + w) if k % 3 else " ".join(changed(rng, [f"s{k % 5}x{j}" for j in range(60)], rng.randrange(0, 4))))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = shingle_sets([t.encode() for t in texts])
+    names = [near_join.name(s, frozenset()) for s in sets]
+    every = [(names[i], names[j]) for i in range(len(texts)) for j in range(i) if len(np.intersect1d(sets[i], sets[j])) and names[i] != names[j]]
+    pairs = spark.createDataFrame([(min(p), max(p)) for p in every], "a long, b long").distinct()
+    thin = spark.createDataFrame(list(zip(range(len(texts)), names, strict=True)), "doc_id long, sig long")
+    written = near_join._written_sets(docs, thin, thin.select("sig").distinct(), frozenset())
+    known, degree = near_join.directed(pairs)
+    met = near_join.meeting(known, written, degree)
+    links = {frozenset(r) for r in near_join.similar(met, written, degree).collect()}
+    of = dict(zip(names, sets, strict=True))
+    expected = {frozenset(p) for p in every if near_join.linked(len(np.intersect1d(of[p[0]], of[p[1]])), len(of[p[0]]), len(of[p[1]]))}
+    assert links == expected and len(links) <= met.count() < pairs.count()
+
+
+def test_hubs_of_many_pairs_are_salted(spark, monkeypatch):
+    monkeypatch.setattr(near_join, "PAIRS_OF_HUB", 3)
+    texts = corpus(random.Random(7))
+    assert run(spark, texts) == plain_components(texts)
+
+
+def test_names_that_clash_give_way(spark, monkeypatch):
+    """With signatures cut to a few values many sets share their first half."""
+    real = near_join.signature
+    monkeypatch.setattr(near_join, "signature", lambda s: (real(s)[0] % 4, real(s)[1]))
+    one = np.arange(5, dtype="u8")
+    first = near_join.signature(one)
+    assert near_join.name(one, frozenset()) == first[0] and near_join.name(one, frozenset({first[0]})) == first[1]
+
+
+def test_one_row_of_a_repeated_id(spark):
+    """Rows of one doc_id are judged by their own texts."""
+    near = [f"n{k}" for k in range(60)]
+    rows = [(3, " ".join(near)), (7, " ".join(near[:-1] + ["else"])), (7, "quite another text of some words"), (8, " ".join(near))]
+    kept = near_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept)) == sorted([rows[0], rows[2]])
