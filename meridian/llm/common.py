@@ -67,6 +67,19 @@ def limited_broadcast(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def hash_sample(df: DataFrame, bound: int, *key: str) -> DataFrame:
+    """At most ``bound`` rows of ``df``, those whose ``key`` has the smallest hashes; every row may be among them.
+
+    Where the table is large all but a small share is left out before rows are ordered,
+    so that no task sends its own ``bound`` rows.
+    """
+    order = F.xxhash64(*key)
+    n = df.count()
+    if n > 4 * bound:
+        df = df.where(order < F.lit(int(-(2**63) + 2**64 * (2 * bound / n))))
+    return df.orderBy(order, *key).limit(bound)
+
+
 #: A row's mark beside its doc_id, so that null and repeated doc_ids are told apart by their texts.
 TEXT_HASH = "text_hash"
 

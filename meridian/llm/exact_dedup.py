@@ -33,6 +33,10 @@ from meridian.llm.common import documents, limited_broadcast, materialise, text_
 
 #: White space that is not already one single space.
 UNEVEN = r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]"
+#: Rows of a batch that a task sends.
+ROWS = 20_000
+#: Fingerprints of an owner, and groups of copies that are sent to every task.
+OWNED, LARGE_GROUPS = 2_000_000, 50_000
 SENT = "part int, nth int, doc_id long, sha string, owner int, rank int, twice boolean, n int, message binary"
 
 
@@ -79,23 +83,28 @@ def _fingerprints(owners: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, ids, shas = TaskContext.get().partitionId(), [], []
+        part, ids, digests = TaskContext.get().partitionId(), [], bytearray()
         for batch in batches:
-            ids += batch.column(0).to_pylist()
-            shas += [hashlib.sha256(uneven.sub(b" ", x)).digest() for x in batch.column(1).to_pylist()]
-        if not ids:
+            ids.append(batch.column(0).cast(pa.int64()))
+            for x in batch.column(1).to_pylist():
+                digests += hashlib.sha256(uneven.sub(b" ", x)).digest()
+        n = len(digests) // 32
+        if not n:
             return
-        prints = np.frombuffer(b"".join(x[:8] for x in shas), ">u8").astype("u8")
+        ids = pa.concat_arrays(ids)
+        prints = np.frombuffer(digests, ">u8")[::4].astype("u8")
         own, place, times = np.unique(prints, return_inverse=True, return_counts=True)
         owner = ((own >> np.uint64(32)) * np.uint64(owners)) >> np.uint64(32)
         first = np.searchsorted(owner, np.arange(owners + 1))
         rank = np.arange(len(own)) - first[owner.astype("i8")]
-        n = len(ids)
-        yield pa.RecordBatch.from_pydict({
-            "part": pa.array([part] * n, pa.int32()), "nth": pa.array(np.arange(n, dtype="i4")), "doc_id": pa.array(ids, pa.int64()),
-            "sha": [x.hex() for x in shas], "owner": pa.array(owner[place].astype("i4")), "rank": pa.array(rank[place].astype("i4")),
-            "twice": pa.array(times[place] > 1), "n": pa.nulls(n, pa.int32()), "message": pa.nulls(n, pa.binary()),
-        })
+        for low in range(0, n, ROWS):
+            m = min(ROWS, n - low)
+            at = place[low : low + m]
+            yield pa.RecordBatch.from_pydict({
+                "part": pa.array([part] * m, pa.int32()), "nth": pa.array(np.arange(low, low + m, dtype="i4")), "doc_id": ids.slice(low, m),
+                "sha": [digests[32 * k : 32 * k + 32].hex() for k in range(low, low + m)], "owner": pa.array(owner[at].astype("i4")), "rank": pa.array(rank[at].astype("i4")),
+                "twice": pa.array(times[at] > 1), "n": pa.nulls(m, pa.int32()), "message": pa.nulls(m, pa.binary()),
+            })
         k = np.flatnonzero(np.diff(first))
         count = np.diff(first)[k]
         space = (1 << 64) // owners
@@ -128,7 +137,7 @@ def normalised(text: F.Column) -> F.Column:
 
 def find_copies(docs: DataFrame, owners: int | None = None) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 for every row of ``docs`` (doc_id, text)."""
-    owners = owners or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    owners = owners or max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-docs.count() // OWNED))
     sent = materialise(docs.select("doc_id", text_bytes().alias("text")).mapInArrow(_fingerprints(owners), SENT), "fingerprints")
     rows = sent.where("message is null").select("part", "nth", "doc_id", "sha", "owner", "rank", "twice")
     messages = sent.where("message is not null").select("part", "owner", "n", "message")
@@ -151,7 +160,12 @@ def find_copies(docs: DataFrame, owners: int | None = None) -> DataFrame:
     proven = groups.join(same, "sha").withColumn(
         "size", F.when((F.col("texts") == 1) & (F.col("rows") == F.col("size")), F.col("size")).otherwise(F.raise_error(F.lit("texts of one hash differ")).cast("long"))
     )
-    grouped = suspects.join(proven.select("sha", "keep", "size"), "sha", "left")
+    proven = materialise(proven.select("sha", "keep", "size"), "proven")
+    # rows of large groups stay where they are; so many rows make a group large that at most LARGE_GROUPS are
+    large = max(1000, -(-(proven.agg(F.sum("size")).first()[0] or 0) // LARGE_GROUPS))
+    known = F.broadcast(proven.where(F.col("size") >= large))
+    rest = suspects.join(known, "sha", "left_anti").join(proven.where(F.col("size") < large), "sha", "left")
+    grouped = suspects.join(known, "sha").unionByName(rest)
     alone = F.col("size").isNull()
     is_kept = alone | ((F.col("keep.part") == F.col("part")) & (F.col("keep.nth") == F.col("nth")))
     found = grouped.select(

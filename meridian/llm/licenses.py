@@ -1,13 +1,16 @@
 """License scan: a trained paragraph classifier, calibrated, and confirmed against templates.
 
-A text's paragraphs are its lines. Each is judged whole, by sentence, and by every run
-of as many words as a template has, so that a notice is found whatever shares its line.
+A text's lines are judged one by one. Lines between blank ones form a block, which is
+judged by sentence and by every run of as many words as a template has, so that a
+notice is found whatever shares its line and wherever its lines are wrapped.
 A multinomial logistic regression over hashed words, word pairs and triples tells the families of
 ``TEMPLATES`` and an unknown class apart. It is trained on variations of the
-templates and on at most ``max_unknown`` paragraphs of the corpus that resemble no
-template; a temperature fitted on held-out variations calibrates its probabilities.
+templates and on at most ``max_unknown`` lines of the corpus that resemble no
+template: one, chosen by hash, of each document of a hash sample. Some templates are
+left out at first; a temperature fitted on their variations and on lines left out
+likewise calibrates the probabilities, then they are trained on too.
 A prediction counts only if the words judged are those of a template of its family.
-Where findings of one family overlap, the line counts before its sentences, and these
+Where findings of one family overlap, the line counts before the sentences, and these
 before runs of words.
 
 Most lines and sentences are dismissed by a bound: no family can beat the unknown
@@ -29,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.llm.common import documents, materialise
+from meridian.llm.common import documents, hash_sample
 from meridian.llm.shingles import ALPHANUMERIC, mix, words
 
 MAX_UNKNOWN = 4_000
@@ -40,8 +43,6 @@ LEAST_PROBABILITY = 0.5
 LEAST_SIMILARITY = 0.6
 #: Runs of words have no ends of their own, so more of their word pairs must be the template's.
 RUN_SIMILARITY = 0.75
-#: Characters of a corpus line that are taken as an unknown paragraph.
-MAX_PARAGRAPH = 400
 SCALE = 8.0
 
 #: The usual short notices and key sentences of each family.
@@ -116,8 +117,19 @@ def paragraphs(text: str) -> list[tuple[int, int]]:
     return found
 
 
+def blocks(lines: list[tuple[int, int]], text: str) -> list[tuple[int, int, int]]:
+    """(number of its first line, start, end) of each stretch of lines without a blank one between."""
+    found: list[tuple[int, int, int]] = []
+    for k, (a, b) in enumerate(lines):
+        if found and text.count("\n", found[-1][2], a) == 1:
+            found[-1] = (*found[-1][:2], b)
+        else:
+            found.append((k, a, b))
+    return found
+
+
 def sentences(text: str, start: int, end: int) -> list[tuple[int, int]]:
-    """(start, end) of the sentences of a line, none if it is only one."""
+    """(start, end) of the sentences of a block, none if it is only one."""
     cuts = list(_CUT.finditer(text, start, end))
     lows, highs = [start, *(m.end() for m in cuts)], [*(m.start() for m in cuts), end]
     return [(a, b) for a, b in zip(lows, highs, strict=True) if b > a] if cuts else []
@@ -240,13 +252,18 @@ class LicenseModel:
         return (self.weights[:, :-1] - self.weights[:, -1:]).max(axis=1)
 
 
-def variations(seed: int, per_template: int = 30) -> tuple[list[str], list[int]]:
-    """Templates with words dropped, numbers changed and neighbours joined."""
+def variations(seed: int, per_template: int = 30) -> tuple[list[str], list[int], list[bool]]:
+    """Templates with words dropped, numbers changed and neighbours joined; their families; whether of a template left out at first.
+
+    Every fourth template of a family is left out, one at least.
+    """
     rng = np.random.default_rng(seed)
-    texts, kinds = [], []
+    texts, kinds, late = [], [], []
     for k, family in enumerate(TEMPLATES):
         own = TEMPLATES[family]
-        for t in own:
+        left_out = [m % 4 == 1 for m in range(len(own))]
+        for m, t in enumerate(own):
+            others = [x for x, out in zip(own, left_out, strict=True) if out == left_out[m]]
             for j in range(per_template):
                 w = t.split()
                 if j:
@@ -254,57 +271,72 @@ def variations(seed: int, per_template: int = 30) -> tuple[list[str], list[int]]
                     w = [re.sub(r"\d+", lambda m: str(rng.integers(1, 2030)), x) if rng.random() < 0.3 else x for x, d in zip(w, drop, strict=True) if not d] or w
                 joined = " ".join(w)
                 if j % 5 == 4:
-                    joined += " " + own[rng.integers(len(own))]
+                    joined += " " + others[rng.integers(len(others))]
                 texts.append(joined)
                 kinds.append(k)
-    return texts, kinds
+                late.append(left_out[m])
+    return texts, kinds, late
+
 
+def train(unknown: list[str], steps: int = 100, seed: int = 5) -> LicenseModel:
+    """Full-batch gradient descent with momentum on the variations and the unknown paragraphs.
 
-def train(unknown: list[str], steps: int = 150, seed: int = 5) -> LicenseModel:
-    """Full-batch gradient descent with momentum on the variations and the unknown paragraphs."""
-    texts, kinds = variations(seed)
+    The temperature is fitted when only the templates not left out are known; as many
+    steps over all of them follow.
+    """
+    texts, kinds, late = variations(seed)
     others = [*OTHERS * 10, *unknown]
     rng = np.random.default_rng(seed)
-    held = rng.random(len(texts) + len(others)) < 0.2
+    held = np.concatenate([np.array(late, bool), rng.random(len(others)) < 0.2])
     texts, kinds = [*texts, *others], np.array([*kinds, *[len(TEMPLATES)] * len(others)])
     feature, row = numbers(texts)
+    used, feature = np.unique(feature, return_inverse=True)
     n, k = len(texts), len(FAMILIES)
     size = np.maximum(np.bincount(row, minlength=n), 1)
     value = (SCALE / np.sqrt(size))[row]
-    model = LicenseModel(np.zeros((1 << BITS, k)), np.zeros(k), 1.0)
     target = np.eye(k)[kinds]
-    # each class weighs the same in sum
-    weight = (1.0 / np.bincount(kinds[~held], minlength=k).clip(1))[kinds] * ~held
-    weight /= weight.sum()
-    w, b, vw, vb = model.weights, model.bias, 0.0, 0.0
-    for _ in range(steps):
-        error = (model.probabilities(model.logits(feature, row, n)) - target) * weight[:, None]
-        slope = np.stack([np.bincount(feature, error[row, j] * value, minlength=1 << BITS) for j in range(k)], axis=1) + 1e-5 * w
-        vw, vb = 0.9 * vw - 0.5 * slope, 0.9 * vb - 0.5 * error.sum(axis=0)
-        w, b = w + vw, b + vb
-        model = LicenseModel(w, b, 1.0)
-    z = model.logits(feature, row, n)[held]
-    own = kinds[held]
+    w, b = np.zeros((len(used), k)), np.zeros(k)
+
+    def descend(w: np.ndarray, b: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        weight = (1.0 / np.bincount(kinds[rows], minlength=k).clip(1))[kinds] * rows  # each class weighs the same in sum
+        weight /= weight.sum()
+        vw, vb = 0.0, 0.0
+        for _ in range(steps):
+            model = LicenseModel(w, b, 1.0)
+            error = (model.probabilities(model.logits(feature, row, n)) - target) * weight[:, None]
+            slope = np.stack([np.bincount(feature, error[row, j] * value, minlength=len(used)) for j in range(k)], axis=1) + 1e-5 * w
+            vw, vb = 0.9 * vw - 0.5 * slope, 0.9 * vb - 0.5 * error.sum(axis=0)
+            w, b = w + vw, b + vb
+        return w, b
+
+    w, b = descend(w, b, ~held)
+    z, own = LicenseModel(w, b, 1.0).logits(feature, row, n)[held], kinds[held]
+    share = (1.0 / np.bincount(own, minlength=k).clip(1))[own]
 
     def loss(t: float) -> float:
         p = LicenseModel(w, b, t).probabilities(z)
-        return float(-np.log(p[np.arange(len(own)), own].clip(1e-12)).mean())
+        return float(-(share * np.log(p[np.arange(len(own)), own].clip(1e-12))).sum())
 
-    return LicenseModel(w.astype("f4"), b, min(np.geomspace(0.2, 5, 25), key=loss))
+    temperature = min(np.geomspace(0.2, 5, 25), key=loss)
+    w, b = descend(w, b, np.ones(n, bool))
+    weights = np.zeros((1 << BITS, k), "f4")
+    weights[used] = w
+    return LicenseModel(weights, b, temperature)
 
 
 def unknown_sample(docs: DataFrame, bound: int = MAX_UNKNOWN) -> list[str]:
-    """At most ``bound`` paragraphs of as many documents, those of the smallest hashes, that resemble no template."""
-    some = docs.where("text is not null").select("doc_id", "text").withColumn("order", F.xxhash64("doc_id", F.length("text")))
-    line = F.element_at(F.split("text", "\n"), -1)
-    rows = some.select("order", "doc_id", F.left(line, F.lit(MAX_PARAGRAPH)).alias("line")).where("length(line) > 0").orderBy("order", "doc_id").limit(bound).select("line").collect()
+    """At most ``bound`` whole lines, one of each document of a hash sample, that resemble no template."""
+    some = hash_sample(docs.where("text is not null").select("doc_id", F.col("text").cast("string")), bound, "doc_id", "text")
+    lines = F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")
+    line = F.get("lines", F.pmod(F.xxhash64("doc_id", "text", F.lit(1)), F.size("lines")).cast("int"))
+    rows = some.withColumn("lines", lines).where(F.size("lines") > 0).select(line.alias("line")).collect()  # at most bound lines
     return [r["line"] for r in rows if max(similarity(r["line"], f) for f in TEMPLATES) < 0.3]
 
 
 def find_licenses(docs: DataFrame, model: LicenseModel | None = None) -> DataFrame:
     """One row for each licence notice in ``docs`` (doc_id, text).
 
-    Returns doc_id, paragraph (its line's number among those not blank), start, end (code
+    Returns doc_id, paragraph (the number, among lines not blank, of its line, or of the first line of its block), start, end (code
     points), family, probability, similarity.
     """
     model = model or train(unknown_sample(docs))
@@ -317,9 +349,20 @@ def find_licenses(docs: DataFrame, model: LicenseModel | None = None) -> DataFra
             rows = []
             for low in range(0, len(texts), 200):
                 lines = [(d, k, a, b) for d in range(low, min(low + 200, len(texts))) for k, (a, b) in enumerate(paragraphs(texts[d]))]
-                cut = [(d, k, a, b) for d, k, *line in lines for a, b in sentences(texts[d], *line)]
+                own_lines: dict[int, list[tuple[int, int]]] = {}
+                for d, _, a, b in lines:
+                    own_lines.setdefault(d, []).append((a, b))
+                whole, block_of = [], {}
+                for d, own in own_lines.items():
+                    found = blocks(own, texts[d])
+                    whole += [(d, *x) for x in found]
+                    firsts = [x[0] for x in found]
+                    for first, after in zip(firsts, [*firsts[1:], len(own)], strict=True):
+                        block_of |= {(d, k): first for k in range(first, after)}
+                known = {(d, a, b) for d, _, a, b in lines}
+                cut = [(d, k, a, b) for d, k, *block in whole for a, b in sentences(texts[d], *block) if (d, a, b) not in known]
                 keys = {d: [w for w in _KEYS if w in small] for d in {x[0] for x in lines} for small in (texts[d].lower(),)}
-                rest = [(d, k, a, b) for d, k, *line in lines if keys[d] for a, b in runs(texts[d], *line, keys[d])]
+                rest = [(d, k, a, b) for d, k, *block in whole if keys[d] for a, b in runs(texts[d], *block, keys[d])]
                 where = [*lines, *cut, *rest]
                 least = np.repeat([LEAST_SIMILARITY, LEAST_SIMILARITY, RUN_SIMILARITY], [len(lines), len(cut), len(rest)])
                 own = [texts[d][a:b] for d, _, a, b in where]
@@ -337,7 +380,7 @@ def find_licenses(docs: DataFrame, model: LicenseModel | None = None) -> DataFra
                     family = FAMILIES[int(q.argmax())]
                     if family != UNKNOWN and q.max() >= LEAST_PROBABILITY and (s := similarity(own[m], family)) >= least[m]:
                         d, k, a, b = where[m]
-                        others = taken.setdefault((d, k, family), [])
+                        others = taken.setdefault((d, block_of[d, k], family), [])
                         if all(b <= x or y <= a for x, y in others):
                             others.append((a, b))
                             rows.append((ids[d], k, a, b, family, float(q.max()), s))

@@ -6,8 +6,9 @@ Two sets whose Jaccard similarity is at least t share a token among the first
 1. counts all shingles in a sketch of fixed width and takes the first order from
    it, rare shingles first, so that passages many documents share come last;
 2. gathers the prefixes under that order by token. A token of few documents gives
-   the pairs that pass the size and position bounds. A token of many gives pairs
-   with a few hubs, and its documents are remembered;
+   the pairs that pass the size and position bounds, first those with one of the
+   documents and, of the others, those that are not in one component then. A token of
+   many gives pairs with a few hubs, and its documents are remembered;
 3. writes, for the documents of these pairs, the set and its prefix under each
    further order. The prefixes alone are read first: a pair goes on only if they meet
    under every order. Only the sets of the pairs left are then read and compared;
@@ -51,6 +52,8 @@ ORDERS = (11, 12)
 #: Prefix entries that a task packs at a time, and signatures that it remembers so as not to send copies twice.
 BATCH = 250_000
 SEEN = 100_000
+#: Components that are sent to every task.
+LARGE_COMPONENTS = 50_000
 #: Sets that may share 64 bits of their signature; some 70 are expected among 5 * 10**10.
 MOST_CLASHES = 100_000
 
@@ -236,12 +239,15 @@ def _meet(buckets: int):
         keep = np.ones(len(tokens), bool) if hot else size[group] > 1
         tokens, sig, n, place, group = tokens[keep], sig[keep], n[keep], place[keep], group[keep]
         size = size[group]
-        pairs = []
+        pairs, star = [], []
         few = size <= MANY
+        lead = np.ones(len(group), bool)
+        lead[1:] = group[1:] != group[:-1]
         for d in range(1, min(MANY, int(size[few].max(initial=1)))):
             k = np.flatnonzero((group[d:] == group[:-d]) & few[d:])
             k = k[_possible(n[k], place[k], n[k + d], place[k + d])]
             pairs.append(np.stack([sig[k], sig[k + d]]))
+            star.append(lead[k])
         many = np.flatnonzero(~few)
         scatter = mix(sig[many].view("u8"), 30)
         order = many[np.lexsort((scatter, group[many]))]
@@ -251,16 +257,17 @@ def _meet(buckets: int):
             hub = np.repeat(order[first + h] if len(first) else first, length)
             ok = (sig[hub] != sig[order]) & _possible(n[hub], place[hub], n[order], place[order])
             pairs.append(np.stack([sig[hub[ok]], sig[order[ok]]]))
-        a, b = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), "i8")
-        a, b = np.minimum(a, b), np.maximum(a, b)
-        order = np.lexsort((b, a))
-        a, b = a[order], b[order]
+            star.append(np.ones(int(ok.sum()), bool))
+        a, b = np.concatenate(pairs, axis=1)
+        a, b, star = np.minimum(a, b), np.maximum(a, b), np.concatenate(star)
+        order = np.lexsort((~star, b, a))
+        a, b, star = a[order], b[order], star[order]
         new = np.ones(len(a), bool)
         new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
         members = np.arange(len(tokens)) if hot else many
         return pd.concat([
-            pd.DataFrame({"token": pd.array([None] * int(new.sum()), "Int64"), "n": np.zeros(int(new.sum()), "i8"), "a": a[new], "b": pd.array(b[new], "Int64")}),
-            pd.DataFrame({"token": pd.array(tokens[members].view("i8"), "Int64"), "n": n[members], "a": sig[members], "b": pd.array([None] * len(members), "Int64")}),
+            pd.DataFrame({"token": pd.array([None] * int(new.sum()), "Int64"), "n": np.zeros(int(new.sum()), "i8"), "a": a[new], "b": pd.array(b[new], "Int64"), "star": star[new]}),
+            pd.DataFrame({"token": pd.array(tokens[members].view("i8"), "Int64"), "n": n[members], "a": sig[members], "b": pd.array([None] * len(members), "Int64"), "star": np.zeros(len(members), bool)}),
         ])
 
     return gather
@@ -386,16 +393,17 @@ def _written_sets(docs: DataFrame, thin: DataFrame, wanted: DataFrame, clashes:
 PAIRS_OF_HUB = 1000
 
 
-def _beside(pairs: DataFrame, sets: DataFrame, degree: DataFrame, *columns: str) -> DataFrame:
+def _beside(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
     """``pairs`` (hub, sig, salt) with these columns of both ends; a hub's are copied to each of its salts."""
-    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / PAIRS_OF_HUB)))
-    hubs = sets.join(degree, "sig").select(F.col("sig").alias("hub"), *(F.col(c).alias(f"{c}_hub") for c in columns), copies.alias("salt"))
+    pairs = limited_broadcast(pairs, 400_000)  # three numbers each; beyond that the sets are shuffled to them
+    copies = limited_broadcast(materialise(pairs.select("hub", "salt").distinct(), "hubs"), 400_000)
+    hubs = sets.join(copies, sets["sig"] == copies["hub"]).select("hub", "salt", *(F.col(c).alias(f"{c}_hub") for c in columns))
     ends = [x for c in columns for x in (c, f"{c}_hub")]
     return pairs.join(sets.select("sig", *columns), "sig").join(hubs, ["hub", "salt"]).select("hub", "sig", "salt", *ends)
 
 
-def directed(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``pairs`` (a, b) as (hub, sig, salt), the end of more pairs first, and each end's number of pairs (sig, n).
+def directed(pairs: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) as (hub, sig, salt), the end of more pairs first.
 
     The other end of a pair has at most the square root of twice all pairs.
     """
@@ -407,21 +415,28 @@ def directed(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.when(turned, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(turned, F.col("b")).otherwise(F.col("a")).alias("sig"), F.greatest("na", "nb").alias("n")
     )
     salt = F.pmod(F.xxhash64("sig"), F.floor((F.col("n") - 1) / PAIRS_OF_HUB) + 1)
-    return materialise(known.select("hub", "sig", salt.alias("salt")), "directed"), degree
+    return materialise(known.select("hub", "sig", salt.alias("salt")), "directed")
 
 
-def meeting(pairs: DataFrame, sets: DataFrame, degree: DataFrame) -> DataFrame:
+def meeting(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The ``pairs`` (hub, sig, salt) that meet under all further orders; no set is read."""
-    rows = _beside(pairs, sets, degree, *(f"order{seed}" for seed in ORDERS))
+    rows = _beside(pairs, sets, *(f"order{seed}" for seed in ORDERS))
     return materialise(rows.mapInArrow(_meet_in_all, "hub long, sig long, salt long").distinct(), "meeting")
 
 
-def similar(pairs: DataFrame, sets: DataFrame, degree: DataFrame) -> DataFrame:
+def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The links (a, b) among ``pairs`` (hub, sig, salt)."""
-    rows = _beside(pairs, sets, degree, "shingles").select("hub", "sig", "shingles", "shingles_hub")
+    rows = _beside(pairs, sets, "shingles").select("hub", "sig", "shingles", "shingles_hub")
     return materialise(rows.mapInArrow(_verify, "a long, b long").distinct(), "links")
 
 
+def _between(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The ``pairs`` (a, b) whose ends are not in one component of ``roots`` (node, root)."""
+    one, two = (roots.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")) for x in ("a", "b"))
+    rows = pairs.join(one, "a", "left").join(two, "b", "left")
+    return rows.where(~F.coalesce(F.col("root_a") == F.col("root_b"), F.lit(False))).select("a", "b")
+
+
 def _blocks(docs: DataFrame, thin: DataFrame, members: DataFrame, roots: DataFrame, clashes: frozenset[int]) -> DataFrame | None:
     """Links between documents of frequent tokens that are in different components."""
     members = members.join(roots, members["sig"] == roots["node"], "left").select("token", "sig", "n", F.coalesce("root", "sig").alias("comp"))
@@ -484,13 +499,18 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     entries = named.agg(F.sum("n")).first()[0] or 0
     buckets = max(tasks, entries // 8_000_000 + 1)
     index = docs.where("doc_id is not null").select(text_bytes().alias("text")).mapInArrow(_index(levels, buckets, clashes), "bucket int, entries binary")
-    found = materialise(index.groupBy("bucket").applyInPandas(_meet(buckets), "token long, n long, a long, b long"), "met")
+    found = materialise(index.groupBy("bucket").applyInPandas(_meet(buckets), "token long, n long, a long, b long, star boolean"), "met")
 
-    pairs = materialise(found.where("b is not null").select("a", "b").distinct(), "candidates")
+    pairs = found.where("b is not null").groupBy("a", "b").agg(F.max("star").alias("star"))
+    pairs = materialise(pairs, "candidates")
     sets = _written_sets(docs, thin, pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct(), clashes)
-    known, degree = directed(pairs)
-    links = similar(meeting(known, sets, degree), sets, degree)
+    # the pairs with one document of each token first: most others then lie within a component
+    links = similar(meeting(directed(pairs.where("star")), sets), sets)
     roots = materialise(connected_components(links), "roots")
+    rest = materialise(_between(pairs.where("not star"), roots), "rest")
+    if not rest.isEmpty():
+        links = links.unionByName(similar(meeting(directed(rest), sets), sets))
+        roots = materialise(connected_components(links), "roots")
     members = found.where("token is not null").select("token", "n", F.col("a").alias("sig"))
     if not members.isEmpty():
         more = _blocks(docs, thin, members, roots, clashes)
@@ -507,8 +527,13 @@ def _components(docs: DataFrame) -> DataFrame:
     thin, roots = near_links(docs)
     rows = thin.join(roots, (thin["sig"] == roots["node"]) & (thin["n"] > 0), "left")
     rows = rows.select("doc_id", TEXT_HASH, F.col("n").alias("n_shingles"), "sig", F.coalesce("root", "sig").alias("comp"))
-    least = rows.where("n_shingles > 0").groupBy("comp").agg(F.min("doc_id").alias("least"), F.min_by("sig", F.struct("doc_id", "sig")).alias("first"), F.count("doc_id").alias("members")).where("members > 1")
-    return rows.join(least.drop("members"), "comp", "left")
+    members = rows.where("n_shingles > 0").groupBy("comp").agg(F.min("doc_id").alias("least"), F.min_by("sig", F.struct("doc_id", "sig")).alias("first"), F.count("doc_id").alias("members"))
+    members = materialise(members.where("members > 1"), "components")
+    # rows of large components stay where they are; so many rows make one large that at most LARGE_COMPONENTS are
+    large = max(1000, -(-(members.agg(F.sum("members")).first()[0] or 0) // LARGE_COMPONENTS))
+    known = F.broadcast(members.where(F.col("members") >= large).drop("members"))
+    rest = rows.join(known, "comp", "left_anti").join(members.where(F.col("members") < large).drop("members"), "comp", "left")
+    return rows.join(known, "comp").unionByName(rest)
 
 
 def near_components(docs: DataFrame) -> DataFrame:

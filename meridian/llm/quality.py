@@ -4,7 +4,8 @@ P(grade <= k) is the logistic function of ``cut[k] - score``: all grades share o
 set of weights, and the cuts are ordered by construction. The score adds the mean
 weight of a text's hashed words, word pairs, word shapes and repetitions. It is
 fitted on at most ``max_rated`` rated rows, those with the smallest hashes of their
-doc_id, never on rows whose crc32(doc_id as text) mod 5 is 0.
+doc_id, and in that order on no more than hold ``max_features`` distinct features, never
+on rows whose crc32(doc_id as text) mod 5 is 0.
 
 Edge cases: a null text counts as empty and is scored like any other; of several
 ratings of a doc_id the lowest counts; null ratings and null doc_ids teach nothing;
@@ -20,13 +21,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from meridian.llm.common import documents, materialise, slices, text_bytes
+from meridian.llm.common import documents, hash_sample, materialise, slices, text_bytes
 from meridian.llm.shingles import _powers, mix
 
 MAX_RATED = 5_000
+#: Distinct features of all rated texts together, 32 MB.
+MAX_FEATURES = 4_000_000
 BITS = 18
 KEEP = 0.5
 SCALE = 20.0
@@ -155,15 +158,20 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         own = [np.unique(hashed(x), return_counts=True) for x in batch.column(0).to_pylist()]
         shares = [(c / max(c.sum(), 1)).astype("<f4").tobytes() for _, c in own]
-        yield pa.RecordBatch.from_pydict({"numbers": pa.array([k.tobytes() for k, _ in own], pa.binary()), "shares": pa.array(shares, pa.binary()), "rating": batch.column(1)})
+        yield pa.RecordBatch.from_pydict({"numbers": pa.array([k.tobytes() for k, _ in own], pa.binary()), "shares": pa.array(shares, pa.binary()), "rating": batch.column(1), "place": batch.column(2)})
 
 
-def learn(docs: DataFrame, labels: DataFrame, max_rated: int = MAX_RATED) -> OrdinalModel:
+def learn(docs: DataFrame, labels: DataFrame, max_rated: int = MAX_RATED, max_features: int = MAX_FEATURES) -> OrdinalModel:
     """Fit on a bounded sample of the ratings in ``labels`` (doc_id, quality)."""
     rated = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").cast("long").alias("rating"))
-    rated = rated.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rated)
-    rows = docs.join(F.broadcast(materialise(rated, "rated")), "doc_id").select(text_bytes().alias("text"), "rating")
-    found = materialise(rows.mapInArrow(_features, "numbers binary, shares binary, rating long"), "rated-features").collect()  # at most max_rated rows
+    rated = rated.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
+    rated = hash_sample(rated, max_rated, "doc_id").withColumn("place", F.xxhash64("doc_id"))
+    rows = docs.join(F.broadcast(materialise(rated, "rated")), "doc_id").select(text_bytes().alias("text"), "rating", "place")
+    found = materialise(rows.mapInArrow(_features, "numbers binary, shares binary, rating long, place long"), "rated-features")
+    size = F.octet_length("numbers") / 4
+    so_far = Window.orderBy("place", "mark").rowsBetween(Window.unboundedPreceding, 0)  # over max_rated numbers
+    last = found.select("place", F.xxhash64("numbers").alias("mark"), size.alias("size")).withColumn("total", F.sum("size").over(so_far)).where(F.col("total") <= max_features).agg(F.max("place")).first()[0]
+    found = found.where(F.col("place") <= F.lit(last).cast("long")).collect()  # max_features bounds its bytes
     return fit([np.frombuffer(r["numbers"], "<u4") for r in found], [np.frombuffer(r["shares"], "<f4") for r in found], [r["rating"] for r in found])
 
 

@@ -108,6 +108,10 @@ class TokenFile:
         self._in.close()
 
 
+#: Bytes of text that go into one file.
+FILE_BYTES = 256 << 20
+
+
 def write_tokens(docs: DataFrame, uri: str, tokenizer: str | None = None, end_id: int = 2, level: int = 3) -> DataFrame:
     """Tokenize ``docs`` (doc_id, text) and write them under ``uri`` in ascending doc_id order.
 
@@ -143,7 +147,11 @@ def write_tokens(docs: DataFrame, uri: str, tokenizer: str | None = None, end_id
                 {"part": pa.array([part], pa.int32()), "file": [file], "n_docs": [n_docs], "n_tokens": [n_tokens], "n_bytes": [n_bytes]}
             )
 
-    rows = docs.select("doc_id", text_bytes().alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    files = max(tasks, -(-size // FILE_BYTES))
+    rows = docs.select("doc_id", text_bytes().alias("text"), F.xxhash64("text").alias("mark"))  # the mark parts rows of one doc_id
+    rows = rows.repartitionByRange(files, "doc_id", "mark").sortWithinPartitions("doc_id", "mark").select("doc_id", "text")
     return materialise(rows.mapInArrow(write, MANIFEST), "token-manifest")
 
 
@@ -177,7 +185,7 @@ def read_tokens(manifest: DataFrame, with_ids: bool = False) -> DataFrame:
     # one row per file; the running total over files is small
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = manifest.select("part", "file", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("start"))
-    tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")), manifest.count())
     return starts.repartition(tasks, "part").mapInArrow(read, ROWS + (", ids array<long>" if with_ids else ""))
 
 

@@ -5,9 +5,8 @@ word beginnings (for words that are inflected or compounded), hits near second-p
 words, rates of capitals, punctuation, exclamation and obfuscated words. The learned
 lexicon, the trees and the calibration are fitted on at most ``max_labelled``
 labelled rows, those with the smallest hashes of their doc_id; rows whose
-crc32(doc_id as text) mod 5 is 0 are never among them. Trees are fitted on the rows
-with remainders 1 to 3, the calibration on those with remainder 4. The lexicon uses
-both, behind a floor on its documents.
+crc32(doc_id as text) mod 5 is 0 are never among them. Lexicon and trees are fitted on
+the rows with remainders 1 to 3, the calibration on those with remainder 4.
 
 Edge cases: a null text counts as empty and is scored like any other; a doc_id with
 several labels counts as toxic if one of them says so; null labels and null
@@ -28,10 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.llm.common import TEXT_HASH, documents, drop_rows, materialise, slices, with_text_hash
+from meridian.llm.common import TEXT_HASH, documents, drop_rows, hash_sample, materialise, slices, with_text_hash
 
 MAX_LABELLED = 20_000
-MAX_LEARNED = 2_000
 #: Letters of a word beginning; only longer words have one.
 STEM = 5
 #: A hit counts as aimed at somebody within so many words of a second-person word.
@@ -114,14 +112,15 @@ def training_labels(labels: DataFrame, max_labelled: int) -> DataFrame:
     """(doc_id, toxic, fold) of at most ``max_labelled`` labelled rows outside the held-out fold."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     known = known.withColumn("fold", fold()).where("fold <> 0")
-    return known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
+    return hash_sample(known, max_labelled, "doc_id")
 
 
 def learn_lexicon(docs: DataFrame, training: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
     """Words, and beginnings of words, that toxic training rows hold far oftener than the others.
 
     Each with the logarithm of how much oftener, 8 times for words and 6 for beginnings
-    at least; it needs 5 toxic documents and 2 % of them.
+    at least; it needs 5 toxic documents and 2 % of them. That share alone bounds the
+    lexicon: to 50 times the distinct words of a toxic row on average.
     """
     rows = docs.join(F.broadcast(training.select("doc_id", "toxic")), "doc_id").select("text", "toxic")  # at most max_labelled rows
     counts = materialise(rows.mapInArrow(_count_words, "word string, toxic long, n long"), "words").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
@@ -131,7 +130,7 @@ def learn_lexicon(docs: DataFrame, training: DataFrame) -> tuple[dict[str, float
     least = max(5, total["toxic"] * 0.02)
     ratio = ((F.col("toxic") + 0.5) / (total["toxic"] + 1)) / ((F.col("n") - F.col("toxic") + 0.5) / (total["n"] - total["toxic"] + 1))
     found = counts.where(F.col("toxic") >= least).withColumn("ratio", ratio).where(F.col("ratio") >= F.when(F.col("word").endswith("*"), 6).otherwise(8))
-    found = {r["word"]: float(np.log(r["ratio"])) for r in found.orderBy(F.desc("toxic"), "word").limit(MAX_LEARNED).collect()}
+    found = {r["word"]: float(np.log(r["ratio"])) for r in found.collect()}
     return {w: v for w, v in found.items() if w[-1] != "*"}, {w[:-1]: v for w, v in found.items() if w[-1] == "*"}
 
 
@@ -147,7 +146,7 @@ def score(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     training = materialise(training_labels(labels, max_labelled), "training-labels")
-    learned, stems = learn_lexicon(docs, training)
+    learned, stems = learn_lexicon(docs, training.where("fold < 4"))
     dense = materialise(with_text_hash(docs).mapInArrow(_compute(learned, stems), ROWS), "features")
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(dense)
     rows = vectors.join(F.broadcast(training), "doc_id").select("features", F.col("toxic").cast("double").alias("label"), "fold")

@@ -138,9 +138,8 @@ def test_orders_filter_before_sets_are_compared(spark):
     pairs = spark.createDataFrame([(min(p), max(p)) for p in every], "a long, b long").distinct()
     thin = spark.createDataFrame(list(zip(range(len(texts)), names, strict=True)), "doc_id long, sig long")
     written = near_join._written_sets(docs, thin, thin.select("sig").distinct(), frozenset())
-    known, degree = near_join.directed(pairs)
-    met = near_join.meeting(known, written, degree)
-    links = {frozenset(r) for r in near_join.similar(met, written, degree).collect()}
+    met = near_join.meeting(near_join.directed(pairs), written)
+    links = {frozenset(r) for r in near_join.similar(met, written).collect()}
     of = dict(zip(names, sets, strict=True))
     expected = {frozenset(p) for p in every if near_join.linked(len(np.intersect1d(of[p[0]], of[p[1]])), len(of[p[0]]), len(of[p[1]]))}
     assert links == expected and len(links) <= met.count() < pairs.count()
