@@ -22,10 +22,6 @@ MONTH_DAYS = (31, 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31)
 _TIME = r"^\s*(-?\d{1,4})-(\d{1,2})-(\d{1,2})(?:[ T](\d{1,2}):(\d{1,2})(?::(\d{1,2})(?:\.\d+)?)?)?\s*$"
 
 
-def _part(text: Column, k: int) -> Column:
-    return F.coalesce(F.regexp_extract(text, _TIME, k).try_cast("int"), F.lit(0))
-
-
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once, however often the body uses it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -48,10 +44,15 @@ def _time(y: Column, mo: Column, d: Column, h: Column, mi: Column, s: Column) ->
 def parse_time(text: Column, calendar: Column) -> Column:
     """``YYYY-MM-DD[ hh:mm[:ss[.f]]]`` as a time; null where it is no time of the calendar."""
     calendar = F.coalesce(calendar, F.lit("standard"))
-    y, mo, d, h, mi, s = (_part(text, k) for k in range(1, 7))
-    valid = text.rlike(_TIME) & mo.between(1, 12)
-    valid &= d.between(1, F.when(mo.between(1, 12), month_length(y, mo, calendar)).otherwise(0)) & h.between(0, 23) & mi.between(0, 59) & s.between(0, 59)
-    return F.when(valid, _time(y, mo, d, h, mi, s))
+    parts = F.transform(F.split(F.regexp_replace(text, _TIME, "$1,$2,$3,$4,$5,$6"), ","), lambda x: F.coalesce(x.try_cast("int"), F.lit(0)))
+
+    def checked(v: Column) -> Column:
+        y, mo, d, h, mi, s = (F.get(v, k) for k in range(6))
+        valid = (F.size(v) == 6) & mo.between(1, 12) & h.between(0, 23) & mi.between(0, 59) & s.between(0, 59)
+        valid &= d.between(1, F.when(mo.between(1, 12), month_length(y, mo, calendar)).otherwise(0))
+        return F.when(valid, _time(y, mo, d, h, mi, s))
+
+    return F.when(text.rlike(_TIME), let(parts, checked))
 
 
 def _days_before_month(year: Column, month: Column, calendar: Column) -> Column:
@@ -72,39 +73,60 @@ def _days_before_year(year: Column, calendar: Column) -> Column:
 def day_number(time: Column, calendar: Column) -> Column:
     """Days since 1 January of year 1 in the calendar."""
     calendar = F.coalesce(calendar, F.lit("standard"))
-    inner = F.when(calendar.isin(*EQUAL_MONTHS), (time["mo"] - 1) * 30).otherwise(_days_before_month(time["y"], time["mo"], calendar))
-    return (_days_before_year(time["y"], calendar) + inner + time["d"] - 1).cast("long")
+
+    def number(t: Column) -> Column:
+        inner = F.when(calendar.isin(*EQUAL_MONTHS), (t["mo"] - 1) * 30).otherwise(_days_before_month(t["y"], t["mo"], calendar))
+        return (_days_before_year(t["y"], calendar) + inner + t["d"] - 1).cast("long")
+
+    return let(time, number)
 
 
 def ordinal(time: Column, calendar: Column) -> Column:
     """Seconds since the start of year 1 in the calendar."""
-    return day_number(time, calendar) * 86400 + time["h"] * 3600 + time["mi"] * 60 + time["s"]
+    return let(time, lambda t: day_number(t, calendar) * 86400 + t["h"] * 3600 + t["mi"] * 60 + t["s"])
+
+
+#: Days from 1 March of year 0 to 1 January of year 1, and from there to 1 January 1970.
+MARCH, EPOCH = 306, 719_162
+
+
+def _date(day: Column, calendar: Column) -> Column:
+    """The struct (y, mo, d) of a day number.
+
+    The standard calendar is Spark's own. In the others years are taken to begin in
+    March, so that a leap day ends its year and months follow one rule.
+    """
+    z = day + MARCH
+    of_cycle = F.pmod(z, F.lit(1461))
+    in_cycle = F.floor((of_cycle - F.floor(of_cycle / 1460)) / 365)
+    length = F.when(calendar.isin(*ALL_LEAP), 366).otherwise(365)
+    year = F.when(calendar == "julian", F.floor(z / 1461) * 4 + in_cycle).otherwise(F.floor(z / length))
+    of_year = F.when(calendar == "julian", of_cycle - in_cycle * 365).otherwise(F.pmod(z, length))
+
+    def dated(x: Column) -> Column:
+        return let(F.floor((x["day"] * 5 + 2) / 153), lambda m: F.struct((x["year"] + (m >= 10).cast("int")).alias("y"), F.when(m < 10, m + 3).otherwise(m - 9).alias("mo"), (x["day"] - F.floor((m * 153 + 2) / 5) + 1).alias("d")))
+
+    def fields(y: Column, mo: Column, d: Column) -> Column:
+        return F.struct(*(c.cast("long").alias(n) for c, n in ((y, "y"), (mo, "mo"), (d, "d"))))
+
+    equal = fields(F.floor(day / 360) + 1, F.floor(F.pmod(day, F.lit(360)) / 30) + 1, F.pmod(day, F.lit(30)) + 1)
+    real = let(F.date_from_unix_date((day - EPOCH).try_cast("int")), lambda t: fields(F.year(t), F.month(t), F.day(t)))
+    other = let(F.struct(year.alias("year"), of_year.alias("day")), dated)
+    return (
+        F.when(calendar.isin(*EQUAL_MONTHS), equal).when(calendar.isin(*NO_LEAP, *ALL_LEAP, "julian"), let(other, lambda x: fields(x["y"], x["mo"], x["d"]))).otherwise(real)
+    )
 
 
 def from_ordinal(seconds: Column, calendar: Column) -> Column:
-    """The time that ``ordinal`` gives ``seconds`` for."""
+    """The time that ``ordinal`` gives ``seconds`` for; null for null."""
     calendar = F.coalesce(calendar, F.lit("standard"))
-    mean = F.when(calendar.isin(*EQUAL_MONTHS), 360.0).when(calendar.isin(*NO_LEAP), 365.0).when(calendar.isin(*ALL_LEAP), 366.0).when(calendar == "julian", 365.25).otherwise(365.2425)
-
-    def year_of(day: Column) -> Column:
-        # the mean length of a year may be off by one year either way
-        near = F.floor(day / mean).cast("int") + 1
-        return let(near, lambda y: F.when(_days_before_year(y + 1, calendar) <= day, y + 1).when(_days_before_year(y, calendar) > day, y - 1).otherwise(y))
-
-    def month_of(year: Column, of_year: Column) -> Column:
-        months = F.sequence(F.lit(1), F.lit(12))
-        real = F.array_max(F.filter(months, lambda m: _days_before_month(year, m, calendar) <= of_year))
-        return F.when(calendar.isin(*EQUAL_MONTHS), F.floor(of_year / 30) + 1).otherwise(real).cast("int")
-
-    def dated(day: Column, year: Column, of_year: Column, month: Column) -> Column:
-        start = F.when(calendar.isin(*EQUAL_MONTHS), (month - 1) * 30).otherwise(_days_before_month(year, month, calendar))
-        rest = F.pmod(seconds, F.lit(86400))
-        return _time(year, month, of_year - start + 1, F.floor(rest / 3600), F.floor(F.pmod(rest, F.lit(3600)) / 60), F.pmod(rest, F.lit(60)))
-
-    return let(
-        F.floor(seconds / 86400).cast("long"),
-        lambda day: let(year_of(day), lambda year: let(day - _days_before_year(year, calendar), lambda of_year: let(month_of(year, of_year), lambda month: dated(day, year, of_year, month)))),
-    )
+
+    def dated(s: Column) -> Column:
+        rest = F.pmod(s, F.lit(86400))
+        whole = let(F.floor(s / 86400).cast("long"), lambda day: _date(day, calendar))
+        return F.when(s.isNotNull(), let(whole, lambda t: _time(t["y"], t["mo"], t["d"], F.floor(rest / 3600), F.floor(F.pmod(rest, F.lit(3600)) / 60), F.pmod(rest, F.lit(60)))))
+
+    return let(seconds, dated)
 
 
 def decode_time(value: Column, units: Column, calendar: Column) -> Column:
@@ -115,13 +137,17 @@ def decode_time(value: Column, units: Column, calendar: Column) -> Column:
     return from_ordinal(ordinal(base, calendar) + F.round(value * seconds).cast("long"), calendar)
 
 
+def _text(time: Column, form: str) -> Column:
+    return let(time, lambda t: F.when(t.isNotNull(), F.format_string(form, *(t[k] for k in ("y", "mo", "d", "h", "mi", "s")))))
+
+
 def time_text(time: Column) -> Column:
-    return F.when(time.isNotNull(), F.format_string("%04d-%02d-%02d %02d:%02d:%02d", *(time[k] for k in ("y", "mo", "d", "h", "mi", "s"))))
+    return _text(time, "%04d-%02d-%02d %02d:%02d:%02d")
 
 
 def compact_text(time: Column) -> Column:
     """ISO basic form, as analysis windows are written."""
-    return F.when(time.isNotNull(), F.format_string("%04d%02d%02dT%02d%02d%02d", *(time[k] for k in ("y", "mo", "d", "h", "mi", "s"))))
+    return _text(time, "%04d%02d%02dT%02d%02d%02d")
 
 
 def iso_basic(text: Column) -> Column:
@@ -130,11 +156,15 @@ def iso_basic(text: Column) -> Column:
 
 
 def shift_months(time: Column, months: Column | int, calendar: Column) -> Column:
-    """A time moved by whole months, its day held within the month it lands in."""
-    total = time["y"] * 12 + time["mo"] - 1 + months
-    year, month = F.floor(total / 12).cast("int"), (F.pmod(total, F.lit(12)) + 1).cast("int")
-    day = F.least(time["d"], month_length(year, month, F.coalesce(calendar, F.lit("standard"))))
-    return _time(year, month, day, time["h"], time["mi"], time["s"])
+    """A time moved by whole months, its day held within the month it lands in; null for null."""
+    calendar = F.coalesce(calendar, F.lit("standard"))
+
+    def moved(t: Column) -> Column:
+        total = t["y"] * 12 + t["mo"] - 1 + months
+        year, month = F.floor(total / 12).cast("int"), (F.pmod(total, F.lit(12)) + 1).cast("int")
+        return F.when(t.isNotNull(), _time(year, month, F.least(t["d"], month_length(year, month, calendar)), t["h"], t["mi"], t["s"]))
+
+    return let(time, moved)
 
 
 def at_or_before(time: Column, **fields: int) -> Column:

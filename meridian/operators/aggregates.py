@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meridian.operators.quantiles import exact_percentiles
+
 GIB = 1 << 30
 #: How measurements are ranked when equally many speak for several sources.
 SOURCE_ORDER = ("cgroup", "proc_tree", "rusage")
@@ -116,14 +118,14 @@ def resource_profile(df: DataFrame, keys: Sequence[str] = ("provider", "diagnost
     base = df.groupBy(*keys).agg(count_where(F.coalesce(~F.col("successful"), F.lit(False))).alias("n_failed"), count_where(any_value).alias("n_measured"))
     found = candidates(df, exclusive_only)
     samples = found.join(dominant_source(found, keys), [*keys, "memory_source"])
-    peak = F.col("peak_memory_bytes").cast("double")
     stats = samples.groupBy(*keys).agg(
-        F.first("memory_source").alias("memory_source"), F.count("*").alias("n_samples"),
-        F.bround(F.percentile(peak, F.lit(0.5))).cast("long").alias("peak_p50"), F.bround(F.percentile(peak, F.lit(0.95))).cast("long").alias("peak_p95"), F.max("peak_memory_bytes").alias("peak_max"),
-        F.percentile("wall_seconds", F.lit(0.95)).alias("wall_p95"), F.percentile("cpu_seconds", F.lit(0.95)).alias("cpu_p95"),
-        F.percentile(F.col("cpu_seconds") / F.col("wall_seconds"), F.lit(0.95)).alias("parallelism_p95"),
+        F.first("memory_source").alias("memory_source"), F.count("*").alias("n_samples"), F.max("peak_memory_bytes").alias("peak_max"),
         F.max_by("memory_limit_bytes", F.when(F.col("memory_limit_bytes").isNotNull(), F.struct("created_at", "id"))).alias("memory_limit_bytes"),
     )
+    peak, wall, cpu = F.col("peak_memory_bytes"), F.col("wall_seconds"), F.col("cpu_seconds")
+    shares = exact_percentiles(samples, keys, {"peak_p50": (peak, 0.5), "peak_p95": (peak, 0.95), "wall_p95": (wall, 0.95), "cpu_p95": (cpu, 0.95), "parallelism_p95": (cpu / wall, 0.95)})
+    shares = shares.withColumns({c: F.bround(c).cast("long") for c in ("peak_p50", "peak_p95")})
+    stats = stats.join(shares, keys)
     rows = base.join(stats, keys, "left").withColumn("n_samples", F.coalesce("n_samples", F.lit(0)))
     return rows.withColumn("n_excluded", F.col("n_measured") - F.col("n_samples")).withColumn("headroom", F.when(F.col("peak_p95") > 0, F.col("memory_limit_bytes") / F.col("peak_p95")))
 
@@ -194,5 +196,20 @@ def unreachable_types(ingested: DataFrame, requested: DataFrame) -> DataFrame:
 
 
 def numbered(df: DataFrame, order: Sequence[str], name: str = "row_id") -> DataFrame:
-    """A running number in a total order, for small tables such as one catalogue's new rows."""
-    return df.withColumn(name, F.row_number().over(Window.orderBy(*order)) - 1)
+    """A running number in a total order.
+
+    Rows are dealt to ranges of the order; each range is numbered on its own behind the
+    number of rows before it, so that only one count per range meets in one task. ``df``
+    must give the same rows each time it is read.
+    """
+    ranges = df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranges.groupBy("__part").agg(F.count("*").alias("n")).select("__part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"))
+    inside = Window.partitionBy("__part").orderBy(*order)
+    rows = ranges.withColumn("__n", F.row_number().over(inside)).join(F.broadcast(starts), "__part")  # one row per range
+    return rows.withColumn(name, F.col("__start") + F.col("__n") - 1).drop("__part", "__start", "__n")
+
+
+def queue_counts(submitted: DataFrame) -> DataFrame:
+    """How many tasks went to each queue."""
+    return submitted.groupBy("queue").agg(F.count("*").alias("n"))

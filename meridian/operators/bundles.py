@@ -92,6 +92,46 @@ def undeclared(df: DataFrame, declared: DataFrame, dimensions: Sequence[str]) ->
     return used.join(declared, ["dimension", "value"], "left_anti")
 
 
+def shape_problems(df: DataFrame, json: str, dimensions: Sequence[str], declared: Mapping[str, Sequence[str]]) -> DataFrame:
+    """(level, problem, key) of the nested JSON in a column where it departs from the declared values.
+
+    Above the last level every declared value must be there and no other; at the last
+    level values may be missing.
+    """
+    rows, found = df.select(F.from_json(json, LEVEL).alias("__node")), []
+    for k, name in enumerate(dimensions):
+        keys = F.filter(F.map_keys("__node"), lambda x: x != ATTRIBUTES)
+        known = F.array(*map(F.lit, declared[name]))
+        found.append(rows.select(F.lit(name).alias("level"), F.lit("undeclared").alias("problem"), F.explode(F.array_except(keys, known)).alias("key")))
+        if k < len(dimensions) - 1:
+            found.append(rows.select(F.lit(name).alias("level"), F.lit("missing").alias("problem"), F.explode(F.array_except(known, keys)).alias("key")))
+            rows = rows.select(F.explode(F.map_filter("__node", lambda key, _: key != ATTRIBUTES)).alias("key", "text")).select(F.from_json("text", LEVEL).alias("__node"))
+    return reduce(DataFrame.unionByName, found).distinct()
+
+
+def merged_dimensions(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Declared values (dimension, value, attributes) of both bundles; where both describe one, the left's description stays."""
+    both = left.withColumn("__side", F.lit(0)).unionByName(right.withColumn("__side", F.lit(1)))
+    return both.groupBy("dimension", "value").agg(F.min_by("attributes", "__side").alias("attributes"))
+
+
+def seasons_only(df: DataFrame, drop: Sequence[str] = (), season: str = "season") -> DataFrame:
+    """Flat seasonal results without some axes and without the single months that stand among the seasons."""
+    return df.where(F.col(season) != "CalendarMonths").drop(*drop)
+
+
+def from_runs(df: DataFrame, json: str) -> DataFrame:
+    """Results by model, run and metric, each with values by reference, in flat form: model, realization, metric, reference_source_id, value.
+
+    In the JSON a run holds ``value``, a metric ``metric`` and a reference ``value``. A
+    value that is no number is NaN.
+    """
+    kind = "map<string,map<string,struct<value:map<string,struct<metric:map<string,struct<value:double>>>>>>>"
+    rows = df.select(F.explode(F.from_json(json, kind)).alias("model", "runs")).select("model", F.explode("runs").alias("realization", "run"))
+    rows = rows.select("model", "realization", F.explode("run.value").alias("metric", "m"))
+    return rows.select("model", "realization", "metric", F.explode("m.metric").alias("reference_source_id", "v")).withColumn("value", F.coalesce("v.value", F.lit(float("nan")))).drop("v")
+
+
 def close(a: Column, b: Column, rtol: float = 1e-5, atol: float = 1e-8) -> Column:
     """Whether two numbers are equal within a tolerance; NaN equals NaN, null equals null."""
     near = F.abs(a - b) <= F.greatest(rtol * F.greatest(F.abs(a), F.abs(b)), F.lit(atol))
@@ -107,6 +147,17 @@ def compare(expected: DataFrame, actual: DataFrame, dimensions: Sequence[str], r
     return both.withColumn("difference", what).where("difference is not null").select(*dimensions, "expected", "actual", "difference")
 
 
+def compare_json(expected: Column, actual: Column, rtol: float = 1e-5, atol: float = 1e-8) -> Column:
+    """Whether two JSON scalars agree: numbers within the tolerance, whole or not; truth values, texts and nulls only exactly.
+
+    A truth value never equals a number.
+    """
+    a, b = F.trim(expected), F.trim(actual)
+    number = r"^(-?\d+(\.\d+)?([eE][+-]?\d+)?|NaN|-?Infinity)$"
+    numbers = a.rlike(number) & b.rlike(number)
+    return F.coalesce(F.when(numbers, close(a.try_cast("double"), b.try_cast("double"), rtol, atol)).otherwise(a.eqNullSafe(b)), a.isNull() & b.isNull())
+
+
 def validated_kind(df: DataFrame) -> DataFrame:
     """Kinds are model or reference, model where none is given; others are an error."""
     kind = F.coalesce(F.col("kind"), F.lit("model"))
@@ -114,8 +165,11 @@ def validated_kind(df: DataFrame) -> DataFrame:
 
 
 def series_points(df: DataFrame, values: str = "values", index: str = "index") -> DataFrame:
-    """Long form: one row per value, with its index value, or its position where the index is short or missing."""
-    keep = [c for c in df.columns if c not in (values, index)]
+    """Long form: one row per value, with its index value, or its position where the index is short or missing.
+
+    Columns named position, index_value or value give way to those of the points.
+    """
+    keep = [c for c in df.columns if c not in (values, index, "position", "index_value", "value")]
     rows = df.select(*keep, F.col(index).alias("__index"), F.posexplode(values).alias("position", "value"))
     named = F.coalesce(F.get("__index", F.col("position")).cast("string"), F.col("position").cast("string"))
     return rows.select(*keep, "position", named.alias("index_value"), "value")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_, or_
@@ -110,3 +111,39 @@ def diagnostic_matches(provider: str, slug: str, diagnostic: Sequence[str] = (),
     own = {slug.lower(), f"{provider}/{slug}".lower()}
     chosen = (not diagnostic or any(d.lower() in slug.lower() for d in diagnostic)) and (not providers or any(p.lower() in provider.lower() for p in providers))
     return chosen and not own & {e.lower() for e in excluded}
+
+
+def matches_facets(metadata: Column, facets: Facets) -> Column:
+    """Whether a map of metadata has each facet with one of its values; a missing facet is a mismatch."""
+    return reduce(and_, (F.coalesce(F.try_element_at(metadata, F.lit(k)).isin(*v), F.lit(False)) for k, v in facets.items()), F.lit(True))
+
+
+def subset_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns that name a dataset, and its version last."""
+    return df.select(*(c for c in columns if c != "version"), "version")
+
+
+def routed(df: DataFrame, rules: Sequence[tuple[str, str, str]], provider_queues: Mapping[str, str] | None = None, default: str | None = None) -> DataFrame:
+    """``df`` (provider, diagnostic) with the queue of each task.
+
+    ``rules`` are (provider pattern, diagnostic pattern, queue); in patterns ``*`` and ``?``
+    stand for any text and any character. The first that fits decides, then the provider's
+    queue, then the default, then the provider's own name.
+    """
+    queue = F.coalesce(*([F.try_element_at(F.create_map(*(F.lit(x) for kv in provider_queues.items() for x in kv)), F.col("provider"))] if provider_queues else []), F.lit(default).cast("string"), F.col("provider"))
+    for provider, diagnostic, name in reversed(rules):
+        fits = F.col("provider").rlike(_pattern(provider)) & F.col("diagnostic").rlike(_pattern(diagnostic))
+        queue = F.when(fits, name).otherwise(queue)
+    return df.withColumn("queue", queue)
+
+
+def _pattern(text: str) -> str:
+    return "^" + "".join({"*": ".*", "?": "."}.get(c, re.escape(c)) for c in text) + "$"
+
+
+def touches(paths: DataFrame, roots: DataFrame) -> DataFrame:
+    """The paths that lie in or are one of some roots (column root): their own and each folder above is looked up."""
+    parts = F.split("path", "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, F.lit(1), k), "/"))
+    rows = paths.select("path", F.explode(above).alias("root"))
+    return rows.join(roots.select(F.rtrim(F.col("root"), F.lit("/")).alias("root")).distinct(), "root").select("path").distinct()

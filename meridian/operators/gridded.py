@@ -45,9 +45,18 @@ def bias_statistics(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def coarsen(df: DataFrame, keys: Sequence[str], resolution: float = 0.5) -> DataFrame:
-    """Area-weighted block means on cells of at least ``resolution`` degrees."""
-    lat, lon = ((F.floor(F.col(c) / resolution) + 0.5) * resolution for c in ("lat", "lon"))
-    rows = df.withColumns({"lat": lat, "lon": lon})
+    """Area-weighted block means on cells of ``resolution`` degrees.
+
+    A grid stays as it is when the diagonal of its mean spacing has that length already.
+    """
+    mean = {c: (F.max(c) - F.min(c)) / F.nullif(F.count_distinct(c) - 1, F.lit(0)) for c in ("lat", "lon")}
+    diagonal = F.sqrt(sum((F.pow(F.coalesce(x, F.lit(0.0)), F.lit(2)) for x in mean.values()), F.lit(0.0)))
+    spacing = df.groupBy(*keys).agg((diagonal >= resolution).alias("__coarse")).withColumnsRenamed({k: f"__key_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"__key_{k}"))
+    places = {c: F.when(F.col("__coarse"), F.col(c)).otherwise((F.floor(F.col(c) / resolution) + 0.5) * resolution) for c in ("lat", "lon")}
+    rows = df.join(spacing, same).withColumns(places)
     return rows.groupBy(*keys, "lat", "lon").agg(weighted_mean(F.col("value"), F.col("area")).alias("value"), F.sum("area").alias("area"))
 
 
@@ -101,3 +110,38 @@ def joint_histogram(df: DataFrame, keys: Sequence[str], x: str, y: str, x_edges:
     bx, by = F.floor((F.col(x) - low_x) / ((high_x - low_x) / n_x)), F.floor((F.col(y) - low_y) / ((high_y - low_y) / n_y))
     rows = rows.select(*keys, bx.cast("int").alias("x_bin"), by.cast("int").alias("y_bin")).where(F.col("x_bin").between(0, n_x - 1) & F.col("y_bin").between(0, n_y - 1))
     return rows.groupBy(*keys, "x_bin", "y_bin").agg(F.count("*").alias("n"))
+
+
+def nino_index(df: DataFrame, keys: Sequence[str], lat: tuple[float, float], lon: tuple[float, float]) -> DataFrame:
+    """Monthly anomalies of a box's mean from its own climatology."""
+    box = df.where(F.col("lat").between(*lat) & F.col("lon").between(*lon))
+    months = box.groupBy(*keys, "year", "month").agg(weighted_mean(F.col("value"), F.coalesce("area", cos_lat())).alias("value"))
+    usual = months.groupBy(*keys, "month").agg(F.avg("value").alias("usual"))
+    return months.join(usual, [*keys, "month"]).select(*keys, "year", "month", (F.col("value") - F.col("usual")).alias("value"))
+
+
+def regressed_on(field: DataFrame, index: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Slope and correlation of each cell's values on an index (keys, year, month, value): a teleconnection pattern."""
+    rows = field.join(index.select(*keys, "year", "month", F.col("value").alias("index")), [*keys, "year", "month"])
+    return rows.groupBy(*keys, "lat", "lon").agg(F.regr_slope("value", "index").alias("slope"), F.corr("value", "index").alias("correlation"), F.count("*").alias("n"))
+
+
+def scores(model: DataFrame, reference: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Bias, error and seasonal-cycle scores of a model against a reference, each from 0 to 1.
+
+    A cell's bias score is exp(-|bias| / the reference's spread), its error score
+    exp(-centred error / the same); cells count by area. The seasonal score falls with
+    the months between the two climatologies' maxima.
+    """
+    other = reference.select("lat", "lon", "year", "month", F.col("value").alias("reference"))
+    rows = model.join(other, ["lat", "lon", "year", "month"])
+    cell = rows.groupBy(*keys, "lat", "lon").agg(
+        F.avg("value").alias("m"), F.avg("reference").alias("r"), F.stddev_pop("reference").alias("spread"), F.avg(F.pow(F.col("value") - F.col("reference"), 2)).alias("square"), F.first("area", ignorenulls=True).alias("area")
+    )
+    cell = cell.where("spread > 0").withColumn("bias", F.col("m") - F.col("r"))
+    error = F.sqrt(F.greatest(F.col("square") - F.pow("bias", 2), F.lit(0.0)))
+    peaks = rows.groupBy(*keys, "lat", "lon", "month").agg(F.avg("value").alias("m"), F.avg("reference").alias("r"))
+    peaks = peaks.groupBy(*keys, "lat", "lon").agg((F.max_by("month", F.struct("m", "month")) - F.max_by("month", F.struct("r", "month"))).alias("shift"))
+    apart = F.least(F.abs("shift"), 12 - F.abs("shift"))
+    cell = cell.join(peaks, [*keys, "lat", "lon"]).withColumns({"bias_score": F.exp(-F.abs("bias") / F.col("spread")), "rmse_score": F.exp(-error / F.col("spread")), "season_score": (1 + F.cos(2 * F.pi() * apart / 12)) / 2})
+    return cell.groupBy(*keys).agg(*(weighted_mean(F.col(c), F.coalesce("area", cos_lat())).alias(c) for c in ("bias", "bias_score", "rmse_score", "season_score")))

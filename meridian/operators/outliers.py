@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meridian.operators.quantiles import exact_percentiles
+
 #: Fixed value: the source whose values are never outliers for being far off.
 REFERENCE = "Reference"
 
@@ -58,10 +60,12 @@ def detect(df: DataFrame, policy: OutlierPolicy = OutlierPolicy()) -> DataFrame:
         points = usable.where(F.col("source_id").isNotNull() & (F.col("source_id") != REFERENCE)).groupBy(*keys, "source_id").agg(F.avg("value").alias("x"))
     else:
         points = usable.withColumn("x", F.col("value"))
-    quartiles = F.percentile("x", F.array(F.lit(0.25), F.lit(0.75)))
-    bounds = points.groupBy(*keys).agg(quartiles.alias("q"), F.count("*").alias("points"))
-    spread = (F.col("q")[1] - F.col("q")[0]) * policy.factor
-    bounds = bounds.where((F.col("points") >= policy.min_n) & (F.col("q")[1] > F.col("q")[0])).select(*keys, (F.col("q")[0] - spread).alias("lower"), (F.col("q")[1] + spread).alias("upper"))
+    x = F.col("x")
+    quartiles = exact_percentiles(points, keys, {"q1": (x, 0.25), "q3": (x, 0.75)})
+    sizes = points.groupBy(*keys).agg(F.count("*").alias("points"))
+    bounds = quartiles.join(sizes, keys) if keys else quartiles.join(F.broadcast(sizes), F.lit(True))  # one row
+    spread = (F.col("q3") - F.col("q1")) * policy.factor
+    bounds = bounds.where((F.col("points") >= policy.min_n) & (F.col("q3") > F.col("q1"))).select(*keys, (F.col("q1") - spread).alias("lower"), (F.col("q3") + spread).alias("upper"))
     joined = df.join(bounds, keys, "left") if keys else df.join(F.broadcast(bounds), F.lit(True), "left")  # one row
     beyond = F.coalesce((F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper")), F.lit(False))
     if sourced:

@@ -74,3 +74,20 @@ def one_per(df: DataFrame, group_by: Sequence[str], order: Sequence[str | Column
     """The first rows of each group in an order."""
     w = Window.partitionBy(*group_by).orderBy(*order)
     return df.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= count).drop("__n")
+
+
+def latest_by_aggregate(df: DataFrame, group_by: Sequence[str], created: str, tie: str) -> DataFrame:
+    """``latest_per_group`` without sorting whole groups: one pre-aggregated maximum of each."""
+    row = F.max_by(F.struct(*df.columns), F.struct(created, tie)).alias("row")
+    return df.groupBy(*group_by).agg(row).select("row.*")
+
+
+def sorted_catalog(df: DataFrame) -> DataFrame:
+    """By instance, then by the text of the start time; fixed fields come last."""
+    start = F.col("start_time").cast("string")
+    return df.orderBy("instance_id", F.asc_nulls_last(start))
+
+
+def latest_by_slug(df: DataFrame, slug: str) -> DataFrame:
+    """The one dataset of a slug with the highest version, the highest id among equal ones."""
+    return df.where(F.col("slug") == slug).orderBy(F.desc("version_key"), F.desc("id")).limit(1)

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meridian.functions.calendars import decode_time, from_ordinal, ordinal, parse_time
 from meridian.operators import gridded
 from meridian.operators.constraints import (
     PER_INSTANCE, AddParentDataset, AddSupplementaryDataset, Constraint, RequireContiguousTimerange, RequireFacets, RequireOverlappingTimerange, RequireTimerange, SelectFirstMember,
@@ -194,3 +195,37 @@ def principal_patterns(df: DataFrame, keys: Sequence[str], k: int = 1):
     from pyspark.ml.feature import PCA
 
     return PCA(k=k, inputCol="field", outputCol="components").fit(df)
+
+
+def branch_aligned(children: DataFrame, parents: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Where in its parent a run branched off: the parent's time that stands for the child's first.
+
+    Both have the keys, branch times, time_units and calendar; children also start_time (a
+    text). The offset between the branch times, each decoded by its own units and
+    calendar, is added to the child's start.
+    """
+    def seconds(value: str, units: str, calendar: str) -> Column:
+        return ordinal(decode_time(F.col(value), F.col(units), F.col(calendar)), F.col(calendar))
+
+    other = parents.select(*keys, F.col("time_units").alias("parent_units"), F.col("calendar").alias("parent_calendar"))
+    rows = children.join(other, list(keys)).withColumns({
+        "in_parent": seconds("branch_time_in_parent", "parent_units", "parent_calendar"), "in_child": seconds("branch_time_in_child", "time_units", "calendar"),
+        "child_start": parse_time(F.col("start_time"), F.col("calendar")),
+    })
+    start = from_ordinal(ordinal(F.col("child_start"), F.col("calendar")) + F.col("in_parent") - F.col("in_child"), F.col("calendar"))
+    return rows.withColumn("parent_start", start).drop("in_parent", "in_child")
+
+
+#: The box of the Pacific whose temperature is the index, in degrees.
+NINO_34 = ((-5.0, 5.0), (190.0, 240.0))
+
+
+def enso_teleconnection(temperature: DataFrame, field: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each cell's regression on the index of the Pacific's temperature."""
+    return gridded.regressed_on(field, gridded.nino_index(temperature, keys, *NINO_34), keys)
+
+
+def standard_scores(model: DataFrame, reference: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Land and ocean benchmark: bias, error and seasonal scores, and their mean."""
+    found = gridded.scores(model, reference, keys)
+    return found.withColumn("overall", (F.col("bias_score") + 2 * F.col("rmse_score") + F.col("season_score")) / 4)

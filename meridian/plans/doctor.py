@@ -55,16 +55,23 @@ def overlapping_registries(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def run_checks(tables: Mapping[str, DataFrame], least: str = "info", names: list[str] | None = None) -> DataFrame:
-    """Findings of all checks of at least some severity. A check whose tables are missing says so itself."""
+    """Findings of all checks of at least some severity.
+
+    A check that fails, for want of its tables or when its first rows are read, is a
+    finding itself and keeps no other from running.
+    """
     every = []
     for name, f in CHECKS.items():
         if names is not None and name not in names:
             continue
         try:
-            every.append(f(tables))
-        except KeyError as e:
+            own = f(tables)
+            own.isEmpty()
+            every.append(own)
+        except Exception as e:  # noqa: BLE001  whatever ends one check must not end the others
             spark = next(iter(tables.values())).sparkSession
-            every.append(spark.createDataFrame([(name, "error", str(e.args[0]), "the check could not run")], "check string, severity string, subject string, message string"))
+            subject = str(e.args[0]) if isinstance(e, KeyError) else type(e).__name__
+            every.append(spark.createDataFrame([(name, "error", subject, "the check could not run")], "check string, severity string, subject string, message string"))
     wanted = SEVERITIES[SEVERITIES.index(least) :]
     return reduce(DataFrame.unionByName, every).where(F.col("severity").isin(*wanted))
 

@@ -54,6 +54,22 @@ def required_executions(candidates: DataFrame, groups: DataFrame, executions: Da
     return rows if limit is None else rows.limit(limit)
 
 
+def solved(candidates: DataFrame, groups: DataFrame, executions: DataFrame, now: Column, rerun_failed: bool = False, stale_before: Column | None = None, limit: int | None = None, per: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """The groups and executions after a solve: a group for each key that is new, a running execution for each that has to run.
+
+    ``candidates``: provider, diagnostic, diagnostic_version, dataset_key, dataset_hash.
+    New rows are named by a hash of what they are, so that a solve can be run again.
+    """
+    key = ["provider", "diagnostic", "diagnostic_version", "dataset_key"]
+    named = F.xxhash64(*key)
+    fresh = candidates.select(*key).distinct().join(groups.select(*key), key, "left_anti").withColumns({"id": named, "dirty": F.lit(True)})
+    every = groups.select("id", *key, "dirty").unionByName(fresh.select("id", *key, "dirty"))
+    wanted = required_executions(candidates, groups, executions, rerun_failed, stale_before, limit, per)
+    group_id = F.coalesce("group_id", named)
+    started = wanted.select(F.xxhash64(group_id, "dataset_hash", now).alias("id"), group_id.alias("group_id"), "dataset_hash", F.lit(None).cast("boolean").alias("successful"), now.alias("created_at"))
+    return every, executions.select("id", "group_id", "dataset_hash", "successful", "created_at").unionByName(started)
+
+
 def fail_stale(executions: DataFrame, groups: DataFrame, now: Column, seconds: int = STALE_SECONDS) -> tuple[DataFrame, DataFrame]:
     """Executions in progress for too long have failed, and their groups are dirty."""
     stale = F.coalesce(F.col("successful").isNull() & (F.col("created_at") < now - F.make_dt_interval(secs=F.lit(seconds))), F.lit(False))
@@ -92,6 +108,28 @@ def for_reingest(executions: DataFrame, include_failed: bool = False) -> DataFra
     return first.where(F.coalesce("successful", F.lit(False))).join(good, "group_id", "left_semi")
 
 
+def reconstructed(executions: DataFrame, links: DataFrame, datasets: DataFrame, files: DataFrame, include_failed: bool = False) -> DataFrame:
+    """The files that the executions to be ingested again were made from: execution_id, group_id, source_type, slug, path."""
+    runs = for_reingest(executions, include_failed).select(F.col("id").alias("execution_id"), "group_id")
+    rows = runs.join(links.select("execution_id", "dataset_id").distinct(), "execution_id").join(datasets.select("dataset_id", "source_type", "slug"), "dataset_id")
+    return rows.join(files.select("dataset_id", "path"), "dataset_id").select("execution_id", "group_id", "source_type", "slug", "path")
+
+
+def reingested(executions: DataFrame, results: DataFrame, now: Column) -> tuple[DataFrame, DataFrame]:
+    """Executions and results after results were built again, each under a new execution of its group.
+
+    ``results``: execution_id (of the run built from), whole (all of its parts were read),
+    and the values' columns. Where a part is missing nothing of the run is taken; whether
+    its group is dirty does not change.
+    """
+    good = results.groupBy("execution_id").agg(F.min("whole").alias("whole")).where("whole").drop("whole")
+    runs = executions.join(good, executions["id"] == good["execution_id"]).drop("execution_id")
+    new_id = F.xxhash64("id", now)
+    made = runs.withColumns({"id": new_id, "created_at": now, "successful": F.lit(True)}).select(*executions.columns)
+    taken = results.join(good, "execution_id", "left_semi").withColumn("execution_id", F.xxhash64("execution_id", now)).drop("whole")
+    return executions.unionByName(made), taken
+
+
 def execution_datasets(members: DataFrame) -> DataFrame:
     """Links between executions and datasets; a dataset of several files is linked once."""
     return members.select("execution_id", "dataset_id").distinct()

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meridian.functions.catalog import selector, selector_text, stable_hash
-from meridian.operators.constraints import Constraint, require_columns
+from meridian.operators.constraints import Constraint, IgnoreFacets, require_columns
 from meridian.operators.filters import facet_filter, known_facets
 
 
@@ -91,8 +91,28 @@ def solve_inputs(requirements: Sequence[DataRequirement], catalogs: Mapping[str,
     )
 
 
-def solve(diagnostics: Sequence[Diagnostic], catalogs: Mapping[str, DataFrame], facets: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
-    """Executions that the catalogues allow, of all diagnostics and alternatives."""
+def with_ignored(diagnostics: Sequence[Diagnostic], ignored: Mapping[str, Mapping[str, Mapping[str, Sequence[Mapping[str, Sequence[str]]]]]]) -> list[Diagnostic]:
+    """Diagnostics that leave out listed datasets before anything else.
+
+    ``ignored``: provider -> diagnostic -> source type -> facets of what to leave out.
+    """
+    def of(d: Diagnostic, r: DataRequirement) -> DataRequirement:
+        listed = ignored.get(d.provider, {}).get(d.slug, {}).get(r.source_type, ())
+        return replace(r, constraints=(*(IgnoreFacets({k: tuple(v) for k, v in f.items()}) for f in listed), *r.constraints))
+
+    return [replace(d, requirements=tuple(tuple(of(d, r) for r in inputs) for inputs in d.requirements)) for d in diagnostics]
+
+
+def solve(diagnostics: Sequence[Diagnostic], catalogs: Mapping[str, DataFrame], facets: Mapping[str, Sequence[str]] | None = None, unfinished: Sequence[str] = ()) -> DataFrame:
+    """Executions that the catalogues allow, of all diagnostics and alternatives.
+
+    Requirements on ``unfinished`` columns, which are filled in only later, are an error.
+    """
+    for d in diagnostics:
+        for inputs in d.requirements:
+            for r in inputs:
+                if r.source_type in catalogs:
+                    r.validate(catalogs[r.source_type], unfinished)
     catalogs = {t: known_facets(c, facets or {}) for t, c in catalogs.items()}
     found = []
     for d in diagnostics:

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.operators.aggregates import facet_values, provider_profile, recommendations, resource_profile
+from meridian.operators.aggregates import execution_statistics, facet_values, provider_profile, recommendations, resource_profile
 from meridian.operators.bundles import series_points
 from meridian.operators.filters import contains_any, dimension_filter, ids_filter, measured, reference_filter, selector_matches, successful
 from meridian.operators.outliers import OutlierPolicy, detect
@@ -106,6 +106,28 @@ class Results:
             rows = rows.where(selector_matches(F.col("selectors"), name, wanted))
         return page(rows, ["id"], offset, limit)
 
+    def diagnostic_statistics(self, diagnostic_contains: Sequence[str] = (), provider_contains: Sequence[str] = ()) -> DataFrame:
+        """Counts of states of the groups of each diagnostic's promoted version."""
+        d = self.diagnostics.where(contains_any(F.col("slug"), diagnostic_contains) & contains_any(F.col("provider"), provider_contains))
+        g = self.groups.join(d.select(F.col("id").alias("diagnostic_id"), F.col("slug").alias("diagnostic"), "provider", "promoted_version"), "diagnostic_id")
+        g = g.where("diagnostic_version = promoted_version").withColumn("group_id", F.col("id"))
+        return execution_statistics(g, latest_per_group(self.executions, ["group_id"], "created_at", "id"))
+
+    def list_diagnostics(self, diagnostic_contains: Sequence[str] = (), provider_contains: Sequence[str] = (), offset: int = 0, limit: int | None = None) -> DataFrame:
+        """One page of diagnostics, by provider, slug and id, with their number of groups and the states of the promoted ones; zeros without any."""
+        d = self.diagnostics.where(contains_any(F.col("slug"), diagnostic_contains) & contains_any(F.col("provider"), provider_contains))
+        own = self.groups.groupBy("diagnostic_id").agg(F.count("*").alias("execution_group_count"))
+        stats = self.diagnostic_statistics(diagnostic_contains, provider_contains).select("provider", F.col("diagnostic").alias("slug"), "successful", F.col("running").alias("inflight"), "total")
+        rows = page(d.join(own, d["id"] == own["diagnostic_id"], "left").drop("diagnostic_id"), ["provider", "slug", "id"], offset, limit)
+        counts = ("execution_group_count", "successful", "inflight", "total")
+        return rows.join(stats, ["provider", "slug"], "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in counts}).select("id", "provider", "slug", "promoted_version", *counts).orderBy("provider", "slug", "id")
+
+    def values_of_group(self, group_id: int, execution_id: int | None = None) -> DataFrame:
+        """All values of a group's latest execution or of a given one, whatever is promoted or retracted."""
+        runs = self.executions.where(F.col("group_id") == group_id)
+        runs = latest_per_group(runs, ["group_id"], "created_at", "id") if execution_id is None else runs.where(F.col("id") == execution_id)
+        return self.values.join(runs.select(F.col("id").alias("execution_id")), "execution_id", "left_semi")
+
     def outputs_of(self, execution_id: int) -> DataFrame:
         return self.outputs.where(F.col("execution_id") == execution_id).orderBy("output_type", "id")
 
@@ -116,6 +138,16 @@ def values_frame(df: DataFrame, dimensions: Sequence[str], slugs: bool = False)
     return df.select(*(F.coalesce("kind", F.lit("model")).alias("kind") if n == "kind" else n for n in names))
 
 
+def datasets_page(catalog: DataFrame, offset: int = 0, limit: int | None = None) -> DataFrame:
+    """One page of datasets, by slug and id."""
+    return page(catalog, ["slug", "id"], offset, limit)
+
+
+def measurements_page(executions: DataFrame, offset: int = 0, limit: int | None = None) -> DataFrame:
+    """One page of measured executions, by time and id."""
+    return page(measured(executions), ["created_at", "id"], offset, limit)
+
+
 def datasets(catalog: DataFrame, files: DataFrame | None = None, facets: Mapping[str, Sequence[str]] | None = None, finalised: bool | None = None, include_retracted: bool = False, latest: Sequence[str] | None = None) -> DataFrame:
     """Datasets that match some facets; ``latest`` names the facets that versions belong to. Filters apply before ranking."""
     df = dimension_filter(catalog, {k: list(v) for k, v in (facets or {}).items()})

@@ -566,9 +566,9 @@ def anomaly_series(spark, sf_dir):
     return gridded.anomalies(y, ["variable_id"], 1996, 1998).select("variable_id", "year", F.round("anomaly", 4).alias("anomaly"))
 
 
-@query(f"SELECT variable_id, (floor(lat / 30) + 0.5) * 30 AS lat, (floor(lon / 30) + 0.5) * 30 AS lon, round({MEAN}, 4) AS value FROM {GRID} GROUP BY 1, 2, 3")
+@query(f"SELECT variable_id, (floor(lat / 60) + 0.5) * 60 AS lat, (floor(lon / 60) + 0.5) * 60 AS lon, round({MEAN}, 4) AS value FROM {GRID} GROUP BY 1, 2, 3")
 def coarse_grid(spark, sf_dir):
-    return gridded.coarsen(grid(spark, sf_dir), ["variable_id"], 30.0).select("variable_id", "lat", "lon", F.round("value", 4).alias("value"))
+    return gridded.coarsen(grid(spark, sf_dir), ["variable_id"], 60.0).select("variable_id", "lat", "lon", F.round("value", 4).alias("value"))
 
 
 @query(f"SELECT variable_id, year, round({MEAN}, 4) AS value FROM {GRID} WHERE month = 10 AND lat BETWEEN -90 AND -50 AND area IS NOT NULL GROUP BY 1, 2")

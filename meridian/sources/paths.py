@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meridian.functions.calendars import parse_date_range
-from meridian.functions.catalog import instance_id, table_frequency, version_from_path
+from meridian.functions.calendars import decode_time, parse_date_range
+from meridian.functions.catalog import instance_id, known_frequency, table_frequency, version_from_path
 
 #: The order of folders in each layout, outermost first.
 CMIP6_FOLDERS = ("activity_id", "institution_id", "source_id", "experiment_id", "member_id", "table_id", "variable_id", "grid_label")
 CMIP7_FOLDERS = ("activity_id", "institution_id", "source_id", "experiment_id", "variant_label", "region", "frequency", "variable_id", "branding_suffix", "grid_label")
 OBS_PREFIX = ("project", "source_id", "type", "version", "table_id", "variable_id")
+#: Fixed value: variable, frequency, source, institution, grid and dates of a registry's file names.
+DATED_NAME = r"^[a-zA-Z0-9]+_[a-zA-Z]+_[A-Za-z0-9-]+_[A-Za-z0-9-]+_[a-zA-Z]+_\d+(-\d+)?\.nc$"
 
 
 def _folders(path: Column) -> Column:
@@ -45,9 +47,9 @@ def cmip6_from_path(df: DataFrame) -> DataFrame:
     sub = F.when(member.contains("-"), F.split_part(member, F.lit("-"), F.lit(1)))
     rows = df.withColumns({n: F.when(valid, c) for n, c in (named | outer).items()}).withColumns({
         "sub_experiment_id": F.when(valid, F.coalesce(sub, F.lit("none"))), "variant_label": F.when(valid, F.when(sub.isNotNull(), F.split_part(member, F.lit("-"), F.lit(2))).otherwise(member)),
-        "version": version_from_path(path), "frequency": F.when(valid, table_frequency(F.col("table_id"))),
+        "version": version_from_path(path), "frequency": F.when(valid, known_frequency(F.col("table_id"))),
         "start_time": F.when(valid, times["start_time"]), "end_time": F.when(valid, times["end_time"]), "finalised": F.lit(False),
-        "invalid_asset": F.when(~valid, F.lit("not six or seven name parts")),
+        "invalid_asset": F.when(~valid, F.lit("not six or seven name parts")).when(known_frequency(F.col("table_id")).isNull(), F.lit("unknown table")),
     })
     return rows.withColumn("instance_id", instance_id("CMIP6", *CMIP6_FOLDERS, "version"))
 
@@ -91,7 +93,7 @@ def registry_key(df: DataFrame, key: str = "key") -> DataFrame:
     """Facets of registry keys: eight parts with a dated name, or five parts of a climatology with ``_AC_``."""
     parts = F.split(F.col(key), "/")
     name = F.element_at(parts, -1)
-    plain = (F.size(parts) == 8) & name.rlike(r"_\d{4,8}-\d{4,8}\.nc$|_fx_|\.nc$")
+    plain = (F.size(parts) == 8) & name.rlike(DATED_NAME)
     climatology = (F.size(parts) == 5) & name.rlike(r"_AC_")
     eight = ("activity_id", "institution_id", "source_id", "frequency", "variable_id", "grid_label", "version")
     found = {n: F.when(plain, F.get(parts, k)) for k, n in enumerate(eight)}
@@ -123,3 +125,71 @@ def cmip7_attributes(df: DataFrame, mapping: DataFrame) -> DataFrame:
         "branded_variable": F.when(F.col("branding_suffix").isNotNull(), F.concat_ws("_", "variable_id", "branding_suffix")), "region": F.coalesce("region", F.lit("glb")),
         "mip_era": F.lit("CMIP7"), "frequency": F.coalesce("frequency", table_frequency(F.col("table_id"))),
     })
+
+
+#: Global attributes that headers have, by kind of dataset.
+CMIP6_ATTRIBUTES = (
+    "activity_id", "branch_method", "branch_time_in_child", "branch_time_in_parent", "experiment", "experiment_id", "frequency", "grid", "grid_label", "institution_id", "nominal_resolution", "parent_activity_id",
+    "parent_experiment_id", "parent_source_id", "parent_time_units", "parent_variant_label", "realm", "product", "source_id", "source_type", "sub_experiment", "sub_experiment_id", "table_id", "variable_id", "variant_label",
+)
+CMIP7_ATTRIBUTES = (
+    "activity_id", "institution_id", "source_id", "experiment_id", "variant_label", "variable_id", "grid_label", "frequency", "region", "branding_suffix", "branded_variable", "mip_era", "realm", "nominal_resolution", "license_id", "tracking_id",
+)
+CMIP7_OPTIONAL = ("branch_time_in_child", "branch_time_in_parent", "parent_activity_id", "parent_experiment_id", "parent_mip_era", "parent_source_id", "parent_time_units", "parent_variant_label", "external_variables")
+OBS_ATTRIBUTES = ("activity_id", "frequency", "grid", "grid_label", "institution_id", "nominal_resolution", "product", "realm", "source_id", "source_type", "source_version_number", "variable_id", "variant_label")
+OBS_ACTIVITIES = ("obs4MIPs", "obs4REF")
+OBS_ID = ("activity_id", "institution_id", "source_id", "frequency", "variable_id", "grid_label", "version")
+#: Names of vertical dimensions, the first one that a file has counts.
+VERTICAL = ("lev", "plev", "olevel", "height", "depth", "level", "altitude")
+
+
+def _from_header(df: DataFrame, names: tuple[str, ...], lacking: Column) -> DataFrame:
+    """The attributes ``names`` of headers that are there and lack nothing; what else a file says of its times and levels."""
+    valid = F.col("header").isNotNull() & (F.size(lacking) == 0)
+    folder = F.array_join(F.slice(_folders(F.col("path")), F.lit(1), F.greatest(F.size(_folders(F.col("path"))) - 1, F.lit(0))), "/")
+    bounds = time_bounds(F.col("times"), F.col("time_units"), F.col("calendar"))
+    rows = df.withColumns({n: F.when(valid, F.try_element_at("header", F.lit(n))) for n in names})
+    return rows.withColumns({
+        "version": version_from_path(folder), "start_time": F.when(valid, bounds["start_time"]), "end_time": F.when(valid, bounds["end_time"]),
+        "vertical_levels": F.when(valid, vertical_levels(F.col("dimensions"))), "finalised": valid,
+        "invalid_asset": F.when(F.col("header").isNull(), F.lit("no header")).when(~valid, F.concat(F.lit("missing attributes: "), F.array_join(lacking, ", "))),
+    }).drop("header", "times", "dimensions")
+
+
+def cmip6_from_header(df: DataFrame) -> DataFrame:
+    """CMIP6 files by what was read of their headers.
+
+    ``df``: path, header (map of attributes, null where it cannot be read), times (their
+    first and last numbers), time_units, calendar, dimensions (map of sizes). A header
+    needs no attribute in particular; the member is the variant.
+    """
+    rows = _from_header(df, CMIP6_ATTRIBUTES, F.array().cast("array<string>"))
+    year = F.regexp_extract("sub_experiment_id", r"\d{4}", 0).try_cast("int")
+    return rows.withColumns({"member_id": F.col("variant_label"), "init_year": year}).withColumn("instance_id", instance_id("CMIP6", *CMIP6_FOLDERS, "version"))
+
+
+def cmip7_from_header(df: DataFrame) -> DataFrame:
+    """The same for CMIP7, where a header must have all of ``CMIP7_ATTRIBUTES``, none of them empty."""
+    lacking = F.filter(F.array(*map(F.lit, CMIP7_ATTRIBUTES)), lambda n: F.coalesce(F.try_element_at("header", n), F.lit("")) == "")
+    return _from_header(df, CMIP7_ATTRIBUTES + CMIP7_OPTIONAL, lacking).withColumn("instance_id", instance_id("CMIP7", *CMIP7_FOLDERS, "version"))
+
+
+def observations_from_header(df: DataFrame) -> DataFrame:
+    """Observations: the activity must be one of ``OBS_ACTIVITIES`` and no attribute absent; the version is the parent folder, with a v before it."""
+    activity = F.coalesce(F.try_element_at("header", F.lit("activity_id")), F.lit(""))
+    absent = F.filter(F.array(*map(F.lit, OBS_ATTRIBUTES)), lambda n: F.try_element_at("header", n).isNull())
+    lacking = F.when(activity.isin(*OBS_ACTIVITIES), absent).otherwise(F.array(F.lit("an activity of observations")))
+    parent = F.element_at(_folders(F.col("path")), -2)
+    rows = _from_header(df, OBS_ATTRIBUTES, lacking)
+    return rows.withColumn("version", F.when(parent.startswith("v"), parent).otherwise(F.concat(F.lit("v"), parent))).withColumn("instance_id", instance_id("obs4MIPs", *OBS_ID))
+
+
+def vertical_levels(sizes: Column) -> Column:
+    """The size of a file's vertical dimension, 1 without one."""
+    found = F.coalesce(*(F.try_element_at(sizes, F.lit(n)) for n in VERTICAL))
+    return F.coalesce(found, F.lit(1)).cast("int")
+
+
+def time_bounds(values: Column, units: Column, calendar: Column) -> Column:
+    """The first and the last of a file's times, as a struct; nulls where it has none."""
+    return F.struct(decode_time(F.get(values, 0), units, calendar).alias("start_time"), decode_time(F.try_element_at(values, F.lit(-1)), units, calendar).alias("end_time"))
