@@ -15,15 +15,13 @@ from meridian.sources import catalogs, paths
 
 # ------------------------------------------------------------- paths and headers
 
-K = F.col("p_partkey")
-
-
 def part_paths(spark, sf_dir) -> DataFrame:
     """Parts as CMIP6 files; every tenth name is too short, every eleventh table unknown, every seventh without dates."""
-    t = F.when(K % 11 == 0, "Xmon").when(K % 3 == 0, "Oday").otherwise("Amon")
-    member = F.concat(F.when(K % 5 == 0, "s1960-").otherwise(""), F.lit("r"), K % 9, F.lit("i1p1f1"))
-    name = F.when(K % 10 == 0, F.concat_ws("_", "p_type", t, "p_brand")).otherwise(F.concat_ws("_", "p_type", t, "p_brand", F.lit("hist"), member, F.lit("gn"), F.when(K % 7 != 0, "200001-200112")))
-    path = F.concat(F.lit("/data/CMIP6/CMIP/"), F.concat_ws("/", F.concat(F.lit("I"), "p_size"), "p_brand", F.lit("hist"), member, t, "p_type", F.lit("gn"), F.concat(F.lit("v"), 20200000 + K), F.concat(name, F.lit(".nc"))))
+    k = F.col("p_partkey")
+    t = F.when(k % 11 == 0, "Xmon").when(k % 3 == 0, "Oday").otherwise("Amon")
+    member = F.concat(F.when(k % 5 == 0, "s1960-").otherwise(""), F.lit("r"), k % 9, F.lit("i1p1f1"))
+    name = F.when(k % 10 == 0, F.concat_ws("_", "p_type", t, "p_brand")).otherwise(F.concat_ws("_", "p_type", t, "p_brand", F.lit("hist"), member, F.lit("gn"), F.when(k % 7 != 0, "200001-200112")))
+    path = F.concat(F.lit("/data/CMIP6/CMIP/"), F.concat_ws("/", F.concat(F.lit("I"), "p_size"), "p_brand", F.lit("hist"), member, t, "p_type", F.lit("gn"), F.concat(F.lit("v"), 20200000 + k), F.concat(name, F.lit(".nc"))))
     return table(spark, sf_dir, "part").select("p_partkey", path.alias("path"))
 
 
@@ -347,9 +345,9 @@ FROM (SELECT CAST(p_partkey AS VARCHAR) AS slug, p_size AS o_size, p_size % 2 =
 """)
 def upsert_never_downgrades(spark, sf_dir):
     """Paths alone never overwrite what headers gave."""
-    p = table(spark, sf_dir, "part").withColumn("slug", K.cast("string"))
+    p = table(spark, sf_dir, "part").withColumn("slug", F.col("p_partkey").cast("string"))
     old = p.select("slug", F.col("p_size").cast("long").alias("levels"), (F.col("p_size") % 2 == 0).alias("finalised"))
-    new = p.select("slug", (F.col("p_size") + K % 3).alias("levels"), (K % 5 == 0).alias("finalised"))
+    new = p.select("slug", (F.col("p_size") + F.col("p_partkey") % 3).alias("levels"), (F.col("p_partkey") % 5 == 0).alias("finalised"))
     return upsert.upsert_datasets(old, new)
 
 

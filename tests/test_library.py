@@ -75,9 +75,14 @@ def test_small_functions(spark):
     assert column(spark, "string", [" kg  m**-2 ", "unitless"], fn.clean_units) == ["kg m-2", "1"]
     with pytest.raises(Exception, match="unknown table"):
         column(spark, "string", ["zzz"], fn.table_frequency)
-    assert fn.wildcard(["a_1_x.nc", "a_22_x.nc"]) == "a_*_x.nc" and fn.size_text(2048) == "2.0 KB" and fn.duration_text(3661) == "1h 1m 1s"
-    assert fn.since("2h", dt.datetime(2024, 1, 2)) == dt.datetime(2024, 1, 1, 22) and fn.pruned({"a": None, "b": [None, 1], "c": {}}) == {"b": [1]}
-    assert len(fn.short_key("x/" * 100, 3, 1)) <= 96 and fn.short_key("a b", 1, 1) != fn.short_key("a-b", 1, 1)
+    assert fn.wildcard(["a_1_x.nc", "a_22_x.nc"]) == "a_*_x.nc" and fn.wildcard([]) == "" and fn.size_text(2048) == "2.0 KB" and [fn.duration_text(x) for x in (89, 3661, 5400)] == ["89s", "61m", "1.5h"]
+    assert fn.since("2h", dt.datetime(2024, 1, 2)) == dt.datetime(2024, 1, 1, 22) and fn.pruned({"a": None, "b": [None, 1], "c": {}}) == {"b": [1], "c": {}}
+    assert column(spark, "string", ["E1hrClimMon", "Odec", "IfxGre", "Ofx", "3hr", "AERhr"], fn.guessed_frequency) == ["mon", "mon", "mon", "fx", "3hr", "1hr"]
+    assert column(spark, "string", ["mon", "IyrGre", "zzz", None], fn.known_frequency) == ["mon", "yr", None, None]
+    assert column(spark, "string", ["kg / meter ** 2 / second", "W m-2", "1/day", "furlong", None], fn.canonical_units) == ["kg m-2 s-1", "W m-2", "1/day", "furlong", None]
+    one, other = ({"cmip6": [("source_id", v), ("member_id", "r1")]} for v in ("a b", "a-b"))
+    assert fn.short_key(one, 3, 1).startswith("r1_a-b_g3_v1_") and fn.short_key(one, 3, 1) != fn.short_key(other, 3, 1)
+    assert len(fn.short_key({"cmip6": [("x", "word_" * 60)]}, 3, 1)) <= 96 and fn.short_key({}, 3, 1).startswith("g3_v1_")
 
 
 # -------------------------------------------------------------------- results
