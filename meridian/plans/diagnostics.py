@@ -87,8 +87,86 @@ CMIP6_REQUIREMENTS: dict[tuple[str, str], tuple[DataRequirement, ...]] = {
 }
 
 
+def _cmip7(experiment: str, *branded: str, region: str | None = "glb") -> dict[str, tuple[str, ...]]:
+    return {"branded_variable": branded, "experiment_id": (experiment,), "frequency": ("mon",)} | ({"region": (region,)} if region else {})
+
+
+def _observed(*variables: str, first: int, last: int, source: str = "ERA-5", group_by: tuple[str, ...] = ("source_id",)) -> DataRequirement:
+    return DataRequirement("obs4mips", ({"variable_id": variables, "source_id": (source,), "frequency": ("mon",)},), group_by, (months(first, last),))
+
+
+def _scatter(era: str, *variables: str) -> DataRequirement:
+    facets = _cmip6("historical", "Amon", *variables) if era == "cmip6" else _cmip7("historical", *variables)
+    member = RUN[era][1]
+    plain = tuple(v.split("_")[0] for v in variables)
+    return cmip(era, facets, months(1996, 2014), RequireFacets("variable_id", plain), area(era), group_by=("source_id", "experiment_id", member, "frequency", "grid_label"))
+
+
+_EXAMPLE = ("source_id", "variable_id", "experiment_id", "variant_label")
+_TAS, _TOS = "tas_tavg-h2m-hxy-u", "tos_tavg-u-hxy-sea"
+_REGIONAL = ("hus_tavg-p19-hxy-u", "pr_tavg-u-hxy-u", "psl_tavg-u-hxy-u", _TAS, "ua_tavg-p19-hxy-air")
+_HADISST = DataRequirement("obs4mips", ({"source_id": ("HadISST-1-1",), "variable_id": ("ts",)},), ("source_id", "variable_id"))
+_GWL = ("source_id", "member_id", "grid_label", "table_id")
+
+#: Provider, name -> further alternatives of its requirement, beside the CMIP6 form where there is one.
+ALTERNATIVES: dict[tuple[str, str], tuple[tuple[DataRequirement, ...], ...]] = {
+    ("example", "global-mean-timeseries"): ((cmip("cmip7", {"variable_id": ("tas", "rsut")}, CONTIGUOUS, area("cmip7"), group_by=_EXAMPLE),),),
+    ("example", "global-sst-bias"): ((cmip("cmip7", {"variable_id": ("tos",), "experiment_id": ("historical",)}, CONTIGUOUS, area("cmip7", "areacello"), group_by=_EXAMPLE), _HADISST),),
+    ("esmvaltool", "equilibrium-climate-sensitivity"): ((
+        cmip("cmip7", _cmip7("abrupt-4xCO2", "rlut_tavg-u-hxy-u", "rsdt_tavg-u-hxy-u", "rsut_tavg-u-hxy-u", _TAS), OVERLAPPING, AddParentDataset.of("cmip7"), CONTIGUOUS, RequireFacets("variable_id", _RADIATION, group_by=(*RUN["cmip7"], "experiment_id")), area("cmip7")),
+    ),),
+    ("esmvaltool", "transient-climate-response"): ((cmip("cmip7", _cmip7("1pctCO2", _TAS), AddParentDataset.of("cmip7"), CONTIGUOUS, area("cmip7")),),),
+    ("esmvaltool", "transient-climate-response-emissions"): ((
+        cmip(
+            "cmip7", _cmip7("esm-flat10", _TAS), AddParentDataset.of("cmip7"), AddSupplementaryDataset(_cmip7("esm-flat10", "fco2antt_tavg-u-hxy-u"), RUN["cmip7"], ("version",)),
+            CONTIGUOUS, RequireFacets("variable_id", ("tas", "fco2antt")), area("cmip7"),
+        ),
+    ),),
+    ("esmvaltool", "zero-emission-commitment"): ((cmip("cmip7", _cmip7("esm-flat10-zec", _TAS), AddParentDataset.of("cmip7"), CONTIGUOUS, area("cmip7")),),),
+    ("esmvaltool", "sea-ice-sensitivity"): ((
+        cmip(
+            "cmip7", (_cmip7("historical", "siconc_tavg-u-hxy-u"), _cmip7("historical", _TAS)), months(1979, 2014), RequireFacets("variable_id", ("siconc", "tas"), group_by=RUN["cmip7"]),
+            SelectFirstMember("variant_label", ("source_id",)), area("cmip7"), area("cmip7", "areacello"), RequireFacets("variable_id", ("areacello",), group_by=("source_id", "grid_label")), group_by=("experiment_id",),
+        ),
+    ),),
+    ("esmvaltool", "sea-ice-area-basic"): ((cmip("cmip7", _cmip7("historical", "siconc_tavg-u-hxy-u"), months(1979, 2014), area("cmip7", "areacello"), RequireFacets("variable_id", ("siconc", "areacello"))),),),
+    ("esmvaltool", "enso-basic-climatology"): ((cmip("cmip7", (_cmip7("historical", "pr_tavg-u-hxy-u", "tauu_tavg-u-hxy-u"), _cmip7("historical", _TOS)), CONTIGUOUS, OVERLAPPING, RequireFacets("variable_id", ("pr", "tauu", "tos"))),),),
+    ("esmvaltool", "enso-characteristics"): ((cmip("cmip7", _cmip7("historical", _TOS), CONTIGUOUS, OVERLAPPING, area("cmip7", "areacello"), RequireFacets("variable_id", ("tos", "areacello"))),),),
+    ("esmvaltool", "climate-drivers-for-fire"): ((
+        cmip(
+            "cmip7", (_cmip7("historical", "hurs_tavg-h2m-hxy-u", "pr_tavg-u-hxy-u", _TAS, "tas_tmaxavg-h2m-hxy-u"), _cmip7("historical", "cVeg_tavg-u-hxy-lnd", "treeFrac_tavg-u-hxy-u", "vegFrac_tavg-u-hxy-u")), months(2002, 2021), area("cmip7", "sftlf"),
+            RequireFacets("branded_variable", ("cVeg_tavg-u-hxy-lnd", "hurs_tavg-h2m-hxy-u", "pr_tavg-u-hxy-u", "sftlf_ti-u-hxy-u", _TAS, "tas_tmaxavg-h2m-hxy-u", "treeFrac_tavg-u-hxy-u", "vegFrac_tavg-u-hxy-u")),
+        ),
+    ),),
+    ("esmvaltool", "regional-annual-cycle"): ((cmip("cmip7", _cmip7("historical", *_REGIONAL, region=None), months(1980, 2009), area("cmip7")),), (_observed("psl", "ua", first=1980, last=2009),)),
+    ("esmvaltool", "regional-timeseries"): ((cmip("cmip7", _cmip7("historical", *_REGIONAL), months(1980, 2014), area("cmip7")),), (_observed("psl", "ua", first=1980, last=2014),)),
+    ("esmvaltool", "regional-historical-trend"): (
+        (cmip("cmip6", _cmip6("historical", "Amon", "hus", "pr", "psl", "tas", "ua"), months(1980, 2009), area("cmip6")),), (cmip("cmip7", _cmip7("historical", *_REGIONAL, region=None), months(1980, 2009), area("cmip7")),),
+        (_observed("psl", "tas", "ua", first=1980, last=2009),),
+    ),
+    ("esmvaltool", "global-mean-timeseries"): (
+        (cmip("cmip6", {"variable_id": ("tas",)}, CONTIGUOUS, area("cmip6"), group_by=("source_id", "experiment_id", "member_id", "table_id", "variable_id", "grid_label")),),
+        (cmip("cmip7", {"branded_variable": (_TAS,), "region": ("glb",)}, CONTIGUOUS, area("cmip7"), group_by=("source_id", "experiment_id", "variant_label", "variable_id", "grid_label")),),
+    ),
+    ("esmvaltool", "climate-at-global-warming-levels"): ((
+        cmip(
+            "cmip6", {"variable_id": ("pr", "tas"), "experiment_id": ("ssp126", "ssp245", "ssp370", "ssp585"), "table_id": ("Amon",)}, AddSupplementaryDataset({"experiment_id": ("historical",)}, _GWL, ()),
+            RequireTimerange(_GWL, {"year": 1850, "month": 1}, {"year": 2100, "month": 12}), RequireFacets("experiment_id", ("historical",), group_by=_GWL), RequireFacets("variable_id", ("pr", "tas"), group_by=("experiment_id", *_GWL)), area("cmip6"),
+            group_by=("experiment_id",),
+        ),
+    ),),
+    ("esmvaltool", "cloud-scatterplots-clt-swcre"): ((_scatter("cmip6", "clt", "rsut", "rsutcs"),), (_scatter("cmip7", "clt_tavg-u-hxy-u", "rsut_tavg-u-hxy-u", "rsutcs_tavg-u-hxy-u"),)),
+    ("esmvaltool", "cloud-scatterplots-clwvi-pr"): ((_scatter("cmip6", "clwvi", "pr"),), (_scatter("cmip7", "clwvi_tavg-u-hxy-u", "pr_tavg-u-hxy-u"),)),
+    ("esmvaltool", "cloud-scatterplots-clivi-lwcre"): ((_scatter("cmip6", "clivi", "rlut", "rlutcs"),), (_scatter("cmip7", "clivi_tavg-u-hxy-u", "rlut_tavg-u-hxy-u", "rlutcs_tavg-u-hxy-u"),)),
+    ("esmvaltool", "cloud-scatterplots-cli-ta"): ((_scatter("cmip6", "cli", "ta"),), (_scatter("cmip7", "cli_tavg-al-hxy-u", "ta_tavg-p19-hxy-air"),)),
+    ("esmvaltool", "cloud-scatterplots-reference"): ((DataRequirement("obs4mips", ({"source_id": ("ERA-5",), "variable_id": ("ta",)},), ("instance_id",), (months(2007, 2014),)),),),
+}
+
+
 def shipped() -> list[Diagnostic]:
-    return [Diagnostic(p, slug, (needs,)) for (p, slug), needs in CMIP6_REQUIREMENTS.items()]
+    """All diagnostics, each with its alternatives: the CMIP6 form first."""
+    names = [*CMIP6_REQUIREMENTS, *(k for k in ALTERNATIVES if k not in CMIP6_REQUIREMENTS)]
+    return [Diagnostic(p, slug, (*((CMIP6_REQUIREMENTS[p, slug],) if (p, slug) in CMIP6_REQUIREMENTS else ()), *ALTERNATIVES.get((p, slug), ()))) for p, slug in names]
 
 
 # ----------------------------------------------------------------- reductions
