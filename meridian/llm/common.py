@@ -67,6 +67,22 @@ def limited_broadcast(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+#: Keys of many rows that are sent to every task.
+LARGE_KEYS = 50_000
+
+
+def join_known(rows: DataFrame, known: DataFrame, key: str, count: str) -> DataFrame:
+    """``rows`` with what ``known`` (one row for each key) says, nulls where it says nothing; ``count`` is each key's number of rows.
+
+    Rows of large keys stay where they are. So many rows make a key large that at most
+    ``LARGE_KEYS`` are. ``known`` should be a written table.
+    """
+    large = max(1000, -(-(known.agg(F.sum(count)).first()[0] or 0) // LARGE_KEYS))
+    few = F.broadcast(known.where(F.col(count) >= large).drop(count))
+    rest = rows.join(few, key, "left_anti").join(known.where(F.col(count) < large).drop(count), key, "left")
+    return rows.join(few, key).unionByName(rest)
+
+
 def hash_sample(df: DataFrame, bound: int, *key: str) -> DataFrame:
     """At most ``bound`` rows of ``df``, those whose ``key`` has the smallest hashes; every row may be among them.
 

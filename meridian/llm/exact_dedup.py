@@ -29,14 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.llm.common import documents, limited_broadcast, materialise, text_bytes
+from meridian.llm.common import documents, join_known, limited_broadcast, materialise, text_bytes
 
 #: White space that is not already one single space.
 UNEVEN = r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]"
 #: Rows of a batch that a task sends.
 ROWS = 20_000
-#: Fingerprints of an owner, and groups of copies that are sent to every task.
-OWNED, LARGE_GROUPS = 2_000_000, 50_000
+#: Fingerprints of an owner.
+OWNED = 2_000_000
 SENT = "part int, nth int, doc_id long, sha string, owner int, rank int, twice boolean, n int, message binary"
 
 
@@ -161,11 +161,7 @@ def find_copies(docs: DataFrame, owners: int | None = None) -> DataFrame:
         "size", F.when((F.col("texts") == 1) & (F.col("rows") == F.col("size")), F.col("size")).otherwise(F.raise_error(F.lit("texts of one hash differ")).cast("long"))
     )
     proven = materialise(proven.select("sha", "keep", "size"), "proven")
-    # rows of large groups stay where they are; so many rows make a group large that at most LARGE_GROUPS are
-    large = max(1000, -(-(proven.agg(F.sum("size")).first()[0] or 0) // LARGE_GROUPS))
-    known = F.broadcast(proven.where(F.col("size") >= large))
-    rest = suspects.join(known, "sha", "left_anti").join(proven.where(F.col("size") < large), "sha", "left")
-    grouped = suspects.join(known, "sha").unionByName(rest)
+    grouped = join_known(suspects, proven.withColumn("rows", F.col("size")), "sha", "rows")
     alone = F.col("size").isNull()
     is_kept = alone | ((F.col("keep.part") == F.col("part")) & (F.col("keep.nth") == F.col("nth")))
     found = grouped.select(

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.llm.common import TEXT_HASH, documents, drop_rows, limited_broadcast, materialise, slices, text_bytes
+from meridian.llm.common import TEXT_HASH, documents, drop_rows, join_known, limited_broadcast, materialise, slices, text_bytes
 from meridian.llm.components import connected_components
 from meridian.llm.shingles import mix, shingle_sets, signature
 
@@ -52,8 +52,6 @@ ORDERS = (11, 12)
 #: Prefix entries that a task packs at a time, and signatures that it remembers so as not to send copies twice.
 BATCH = 250_000
 SEEN = 100_000
-#: Components that are sent to every task.
-LARGE_COMPONENTS = 50_000
 #: Sets that may share 64 bits of their signature; some 70 are expected among 5 * 10**10.
 MOST_CLASHES = 100_000
 
@@ -525,15 +523,12 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _components(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, n_shingles, sig and, where the row is linked, its component's smallest doc_id (least) and that row's set (first)."""
     thin, roots = near_links(docs)
-    rows = thin.join(roots, (thin["sig"] == roots["node"]) & (thin["n"] > 0), "left")
-    rows = rows.select("doc_id", TEXT_HASH, F.col("n").alias("n_shingles"), "sig", F.coalesce("root", "sig").alias("comp"))
-    members = rows.where("n_shingles > 0").groupBy("comp").agg(F.min("doc_id").alias("least"), F.min_by("sig", F.struct("doc_id", "sig")).alias("first"), F.count("doc_id").alias("members"))
-    members = materialise(members.where("members > 1"), "components")
-    # rows of large components stay where they are; so many rows make one large that at most LARGE_COMPONENTS are
-    large = max(1000, -(-(members.agg(F.sum("members")).first()[0] or 0) // LARGE_COMPONENTS))
-    known = F.broadcast(members.where(F.col("members") >= large).drop("members"))
-    rest = rows.join(known, "comp", "left_anti").join(members.where(F.col("members") < large).drop("members"), "comp", "left")
-    return rows.join(known, "comp").unionByName(rest)
+    sets = thin.where("n > 0 and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("low"), F.count("*").alias("rows"))
+    sets = materialise(sets.join(roots, sets["sig"] == roots["node"], "left").select("sig", "low", "rows", F.coalesce("root", "sig").alias("comp")), "named-sets")
+    comps = sets.groupBy("comp").agg(F.min("low").alias("least"), F.min_by("sig", F.struct("low", "sig")).alias("first"), F.sum("rows").alias("members"), F.count("*").alias("sets"))
+    comps = materialise(comps.where("members > 1").drop("members"), "components")
+    linked = materialise(join_known(sets, comps, "comp", "sets").where("least is not null").select("sig", "least", "first", "rows"), "linked-sets")
+    return join_known(thin.withColumnRenamed("n", "n_shingles"), linked, "sig", "rows")
 
 
 def near_components(docs: DataFrame) -> DataFrame:

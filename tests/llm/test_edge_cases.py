@@ -1,5 +1,7 @@
 """Every operator on nulls, empty and long texts, ties, repeated rows, empty tables and extra columns."""
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,7 +9,7 @@ from meridian.llm import decontamination, exact_dedup, licenses, near_join, pack
 from meridian.llm.common import fresh_path
 
 #: Extra columns whose names the operators use inside.
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, part int, sig long, shingles string, tokens string, text_hash string, sha string, score double"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, part int, sig long, shingles string, tokens string, text_hash string, sha string, score double, __id string, __hash string, __sha string"
 LABELS = "doc_id long, quality int, toxic int, fold int"
 BENCHMARK = "item_id long, text string, seeds string"
 
@@ -20,7 +22,7 @@ ROWS = [
 
 
 def make_docs(spark, rows):
-    return spark.createDataFrame([(i, t, None, "src", None, 1, 2, "s", "t", "h", "x", 0.5) for i, t in rows], DOCS)
+    return spark.createDataFrame([(i, t, None, "src", None, 1, 2, "s", "t", "h", "x", 0.5, "i", "j", "k") for i, t in rows], DOCS)
 
 
 def make_labels(spark, rows=((1, 1, 0, 1), (8, 0, 1, 1), (None, 1, 1, 1), (9, None, None, None), (8, 0, 1, 1))):
@@ -83,6 +85,19 @@ def test_awkward_rows(spark, name):
             assert used.get(r.sequence_id, 0) == r.offset
             used[r.sequence_id] = r.offset + r.length
         assert max(used.values()) <= 4096
+    by = {r.doc_id: r for r in found if "doc_id" in r and r.doc_id is not None}
+    if name == "drop_toxic":
+        assert found[0].asDict().keys() == {c.split()[0] for c in DOCS.split(", ")} and {1, 3, 4, 5, 7, 9, 10} <= set(by)
+    if name == "licenses":
+        assert found == []
+    if name in ("pii", "secrets"):
+        assert all(r.spans == "" for k, r in by.items() if k in (1, 3, 4, 5, 9)) and by[3].base_sha256 == hashlib.sha256(b"").hexdigest()
+    if name == "tokens":
+        assert (by[3].n_tokens, by[4].n_tokens, by[5].n_tokens) == (1, 1, 1) and by[1].n_tokens == by[10].n_tokens and by[6].n_tokens > 100_000
+        starts = sorted((r.start, r.n_tokens) for r in found)
+        assert all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:], strict=False)) and starts[0][0] == 0
+    if name == "quality":
+        assert all(0 <= r.expected_grade <= 1 for r in found) and by[3].expected_grade == by[4].expected_grade
     if name == "toxic":
         assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in found)
 

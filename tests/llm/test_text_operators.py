@@ -243,18 +243,33 @@ def plain_tiles(p, t, least):
 
 def test_tiles_against_plain():
     rng = random.Random(9)
-    for _ in range(60):
+    for _ in range(200):
         p = [rng.randrange(4) for _ in range(rng.randrange(1, 25))]
         t = [rng.randrange(4) for _ in range(rng.randrange(1, 60))]
-        got = decontamination.tile(np.array(p, "u8"), np.array(t, "u8"), 3)
-        covered_p = [i + x for i, _, k in got for x in range(k)]
-        covered_t = [j + x for _, j, k in got for x in range(k)]
-        assert len(set(covered_p)) == len(covered_p) and len(set(covered_t)) == len(covered_t)
-        assert all(p[i + x] == t[j + x] for i, j, k in got for x in range(k))
-        want = plain_tiles(p, t, 3)
-        assert max((k for *_, k in got), default=0) == max((k for *_, k in want), default=0)
-        # ties may be broken otherwise, which can change what is left a little
-        assert abs(len(covered_p) - sum(k for *_, k in want)) <= 4
+        assert decontamination.tile(np.array(p, "u8"), np.array(t, "u8"), 3) == plain_tiles(p, t, min(3, len(p)))
+
+
+def test_leaks_against_all_pairs(spark):
+    """The whole operator against tiling every document with every item."""
+    rng = random.Random(19)
+    vocabulary = [f"w{k}" for k in range(30)]
+    items = [[rng.choice(vocabulary) for _ in range(n)] for n in (3, 8, 12, 20, 30, 40, 40, 1)]
+    texts = [items[0], items[0] + ["more"], items[7], []]
+    for _ in range(60):
+        own = [rng.choice(vocabulary) for _ in range(rng.randrange(0, 40))]
+        for item in rng.sample(items, 2):
+            low = rng.randrange(len(item))
+            own[rng.randrange(len(own) + 1) : 0] = item[low : low + rng.randrange(1, 40)]
+        texts.append(own)
+    want = set()
+    for d, text in enumerate(texts):
+        for k, item in enumerate(items):
+            covered = sum(n for *_, n in plain_tiles(item, text, 5)) if len(item) >= 5 else len(item) * (item == text)
+            if covered >= 0.5 * len(item):
+                want.add((d, k, round(covered / len(item), 9)))
+    benchmark = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
+    found = decontamination.find_leaks(frame(spark, [" ".join(x) for x in texts]), benchmark).collect()
+    assert {(r.doc_id, r.item_id, round(r.coverage, 9)) for r in found} == want and len(found) == len(want)
 
 
 def test_reordered_and_changed_passages(spark):
@@ -301,6 +316,36 @@ def test_toxicity_learns_words_and_holds_out(spark):
     assert np.mean([r.predicted == toxic[r.doc_id] for r in rows]) > 0.97
 
 
+def test_toxicity_never_learns_from_held_out_labels(spark):
+    rng = random.Random(12)
+    texts = [" ".join(rng.choice(["red", "blue", "green", *(["gloop"] if k % 3 == 0 else [])]) for _ in range(25)) for k in range(300)]
+    docs = frame(spark, texts)
+    true = [(k, int(k % 3 == 0)) for k in range(300)]
+    turned = [(k, 1 - t if crc(k) == 0 else t) for k, t in true]
+    scores = [{r.doc_id: r.score for r in toxicity.score(docs, spark.createDataFrame(x, "doc_id long, toxic int")).collect()} for x in (true, turned)]
+    assert scores[0] == scores[1] and len(set(scores[0].values())) > 1
+
+
+def test_toxicity_lexicon_is_learned_on_training_rows_alone(spark):
+    """A word that only calibration rows hold is not learned."""
+    texts = ["calword here" if crc(k) == 4 else "trainword here" if crc(k) else "other words" for k in range(400)]
+    labels = spark.createDataFrame([(k, int(k % 2 == 0)) for k in range(400)], "doc_id long, toxic int")
+    texts = [t if k % 2 == 0 else "plain words only" for k, t in enumerate(texts)]
+    training = toxicity.training_labels(labels, 10_000)
+    words, _ = toxicity.learn_lexicon(frame(spark, texts), training.where("fold < 4"))
+    assert "trainword" in words and "calword" not in words
+
+
+def test_toxicity_features_against_plain():
+    learned, stems = {"gloop": 2.0}, {"snarf": 1.5}
+    text = "You IDIOT, gloop! th1s snarfling is ... id10t you"
+    got = dict(zip(toxicity.FEATURES, toxicity.features(text, learned, stems), strict=True))
+    words = ["you", "idiot", "gloop", "th", "s", "snarfling", "is", "id", "t", "you"]
+    assert got["insults"] == 1 / len(words) and got["learned"] == 2.0 / len(words) and got["stems"] == 1.5 / len(words)
+    assert got["aimed"] == 2 / len(words) and got["exclamations"] == 1 / len(text) and got["masked"] == 2 / len(words)
+    assert got["masked_hits"] == np.log1p(1) and got["punctuation"] == sum(c in ",!." for c in text) / len(text)
+
+
 def test_ordinal_grades(spark):
     rng = random.Random(11)
     kinds = [["aa", "bb"], ["bb", "cc"], ["cc", "dd"]]
@@ -334,3 +379,58 @@ def test_license_notices_that_share_a_line(spark):
     rows = licenses.find_licenses(frame(spark, [*texts, long, f"{long}released under the {long}", f"{mit} Licensed under CC BY-NC 4.0."])).collect()
     found = {(r.doc_id, r.family) for r in rows}
     assert found == {*enumerate(texts.values()), (8, "mit"), (8, "cc-by-nc")}, sorted(found)
+
+
+def test_grades_against_plain(spark):
+    """Scores from the fitted weights, one feature at a time."""
+    rng = random.Random(21)
+    texts = [" ".join(rng.choice(["Good", "bad", "42", "!!", "fine"]) for _ in range(rng.randrange(0, 30))) for _ in range(120)]
+    docs = frame(spark, texts)
+    model = quality.learn(docs, spark.createDataFrame([(k, min(2, t.count("Good") // 3)) for k, t in enumerate(texts)], "doc_id long, quality int"))
+    for r in quality.grade(docs, model).collect():
+        own = quality.hashed(texts[r.doc_id].encode()).tolist()
+        score = quality.SCALE * sum(float(model.weights[x]) for x in own) / max(len(own), 1)
+        tails = [1 / (1 + np.exp(c - score)) for c in model.cuts]
+        assert np.allclose(r.tail_probabilities, tails, atol=1e-5)
+        assert abs(r.expected_grade - sum(tails)) < 1e-4 and r.keep == (r.tail_probabilities[0] >= quality.KEEP)
+
+
+def test_grades_learn_from_bounded_features(spark):
+    texts = [f"{'good' if k % 2 else 'bad'} " + " ".join(f"x{k}y{j}" for j in range(40)) for k in range(80)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(80)], "doc_id long, quality int")
+    few, every = (quality.learn(frame(spark, texts), labels, max_features=n) for n in (3_000, 10**9))
+    assert 0 < np.count_nonzero(few.weights) < np.count_nonzero(every.weights) and few.grades == [0, 1]
+
+
+def test_license_notices_in_wrapped_lines(spark):
+    mit = "Permission is hereby granted, free of charge, to any person\nobtaining a copy of this software and associated\ndocumentation files (the Software), to deal in the Software without restriction."
+    apache = "Licensed under the\nApache License,\nVersion 2.0."
+    rows = licenses.find_licenses(frame(spark, [f"one line\n\n{mit}\n\nafter", f"before it\n{apache}", "Licensed under the\n\nApache trees, Version 2.0."])).collect()
+    assert {(r.doc_id, r.family) for r in rows} == {(0, "mit"), (1, "apache-2.0")}
+
+
+def test_license_recall_and_precision(spark):
+    """Variations of all templates with other seeds, between lines of noise."""
+    rng = random.Random(31)
+    texts, kinds, _ = licenses.variations(777, per_template=4)
+    families = list(licenses.TEMPLATES)
+    words = [f"word{k}" for k in range(500)]
+
+    def noise_line():
+        return " ".join(rng.choice(words) for _ in range(12)) + "."
+
+    docs = ["\n".join([noise_line(), t, noise_line()]) for t in texts] + ["\n".join(noise_line() for _ in range(5)) for _ in range(200)]
+    found = {(r.doc_id, r.family) for r in licenses.find_licenses(frame(spark, docs)).collect()}
+    want = {(k, families[kind]) for k, kind in enumerate(kinds)}
+    recall, precision = len(found & want) / len(want), len(found & want) / max(len(found), 1)
+    print("licences: recall", round(recall, 3), "precision", round(precision, 3))
+    assert recall >= 0.85 and precision >= 0.9
+
+
+def test_license_bound_dismisses_nothing_that_counts(spark, monkeypatch):
+    """With every candidate judged in full the result is the same."""
+    texts = ["She studied at MIT and works on software.", "Licensed under the MIT License. And more words follow here.", "x y z", "Released under the GPL. All rights reserved.", ""] + noise(5, 40)
+    model = licenses.train([])
+    own = {tuple(r) for r in licenses.find_licenses(frame(spark, texts), model).collect()}
+    monkeypatch.setattr(licenses.LicenseModel, "lead", lambda self: np.full(len(self.weights), 1e9))
+    assert own == {tuple(r) for r in licenses.find_licenses(frame(spark, texts), model).collect()} and own
