@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from functools import reduce
+from importlib.metadata import entry_points
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -124,3 +125,8 @@ def solve(diagnostics: Sequence[Diagnostic], catalogs: Mapping[str, DataFrame],
         raise ValueError("no diagnostic can be solved with these catalogues")
     every = reduce(DataFrame.unionByName, found)
     return every.dropDuplicates(["provider", "diagnostic", "diagnostic_version", "dataset_key"]).orderBy("provider", "diagnostic", "dataset_key")
+
+
+def installed_providers(group: str = "meridian.providers") -> dict[str, list[Diagnostic]]:
+    """The diagnostics of every installed package that registers a function for them under an entry point."""
+    return {e.name: list(e.load()()) for e in entry_points(group=group)}

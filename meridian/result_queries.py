@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from meridian.operators import bundles, gridded
 from meridian.operators.constraints import IgnoreFacets
 from meridian.operators.outliers import OutlierPolicy
-from meridian.plans import diagnostics, ledger, requirement, results
+from meridian.plans import diagnostics, ledger, regression, requirement, results
 from meridian.plans.requirement import DataRequirement, Diagnostic
 from meridian.queries import GRID, GROUPS, MEAN, PARTS, RUNS, executions, grid, groups, measurements, part_datasets, query, table
 
@@ -433,3 +433,44 @@ def standard_scores(spark, sf_dir):
     c = cells(spark, sf_dir).withColumn("area", F.lit(1.0))
     found = diagnostics.standard_scores(c.where("variable_id <> 'A'"), c.where("variable_id = 'A'"), ["variable_id"])
     return found.select("variable_id", *(F.round(n, 5).alias(n) for n in ("bias_score", "rmse_score", "season_score", "overall")))
+
+
+# -------------------------------------------------------- baselines and result files
+
+
+@query("""
+WITH c AS (SELECT *, p_partkey % 11 <> 0 AS managed, p_partkey % 7 <> 0 AS base, p_partkey % 13 <> 0 AS bundle_ok, p_partkey % 17 <> 0 AS inputs_ok, CASE WHEN p_size % 5 <> 0 THEN p_size % 3 END AS code, p_size % 2 + 1 AS d, p_partkey % 2 + 1 AS bd,
+  p_partkey % 3 AS v, p_size % 3 AS bv, p_size % 4 = 0 AS same, p_partkey % 5 < 3 AS native, p_size % 7 = 0 AS changed, p_partkey % 19 < 9 AS touched FROM part)
+SELECT p_partkey, CASE WHEN NOT managed AND base THEN 'fail' WHEN NOT managed THEN 'skip' WHEN NOT bundle_ok OR NOT inputs_ok THEN 'fail' WHEN code <> d THEN 'fail' WHEN NOT base THEN CASE WHEN native THEN 'replay' ELSE 'skip' END
+  WHEN v < bv OR d < bd THEN 'fail' WHEN v > bv THEN CASE WHEN native THEN 'replay' ELSE 'skip' END WHEN NOT same THEN 'fail' WHEN changed OR touched THEN CASE WHEN native THEN 'replay' ELSE 'skip' END ELSE 'skip' END AS action FROM c
+""")
+def regression_gate(spark, sf_dir):
+    k, n = F.col("p_partkey"), F.col("p_size")
+    bundle = F.create_map(F.lit("a.json"), F.lit("x"))
+    native = F.when(k % 5 < 3, F.create_map(F.lit("n.nc"), F.lit("y"))).otherwise(F.create_map().cast("map<string,string>"))
+    cases = table(spark, sf_dir, "part").select(
+        "p_partkey", (k % 11 != 0).alias("managed"), (k % 7 != 0).alias("base_managed"), (k % 13 != 0).alias("committed_ok"), (k % 17 != 0).alias("catalog_ok"), (k % 19 < 9).alias("extraction_changed"), F.when(n % 5 != 0, n % 3).alias("code_version"),
+        (n % 2 + 1).alias("diagnostic_version"), (k % 2 + 1).alias("base_diagnostic_version"), (k % 3).alias("case_version"), (n % 3).alias("base_case_version"), bundle.alias("committed"),
+        F.when(n % 4 == 0, bundle).otherwise(F.create_map(F.lit("a.json"), F.lit("z"))).alias("base_committed"), native.alias("native"), F.when(n % 7 == 0, F.create_map(F.lit("n.nc"), F.lit("w"))).otherwise(native).alias("base_native"),
+    )
+    return regression.gate(cases).select("p_partkey", "action")
+
+
+@query("SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN '/res/out/' || s_suppkey || '/f.png' WHEN 1 THEN '/res/f.png' WHEN 3 THEN '/res/x' END AS path FROM supplier")
+def artefact_paths(spark, sf_dir):
+    """Paths with dots, one that leads out, and one from the top that leads in again."""
+    k = F.col("s_suppkey")
+    fragment = F.when(k % 4 == 0, F.concat(F.lit("out/./"), k)).when(k % 4 == 1, "a/..").when(k % 4 == 2, "../res2").otherwise("/res/y/..")
+    return table(spark, sf_dir, "supplier").select("s_suppkey", regression.inside("/res", fragment, F.when(k % 4 == 3, "x").otherwise("f.png")).alias("path"))
+
+
+@query("""
+SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN 'The bias score for ' || s_name || ' over the Northern region.' WHEN 1 THEN 'The distribution of pr for the reference data' WHEN 2 THEN '' ELSE 'The RMSE over the xx region.' END AS caption,
+  CASE s_suppkey % 4 WHEN 0 THEN 'Bias score' WHEN 1 THEN 'Distribution|pr' WHEN 3 THEN 'RMSE' END AS statistic, CASE s_suppkey % 4 WHEN 0 THEN 'model' WHEN 1 THEN 'reference' WHEN 3 THEN 'model' END AS kind FROM supplier
+""")
+def figure_captions(spark, sf_dir):
+    k = F.col("s_suppkey") % 4
+    name = F.when(k == 0, F.concat("s_name", F.lit("_nh_biasscore.png"))).when(k == 1, "Reference_nan_distribution-pr.png").when(k == 2, "m_nh_other.png").otherwise("None_xx_rmse.png")
+    figures = table(spark, sf_dir, "supplier").select("s_suppkey", F.concat(F.lit("plots/"), name).alias("file"))
+    regions = spark.createDataFrame([("nh", "Northern")], "region string, name string")
+    return regression.captions(figures, regions).select("s_suppkey", "caption", "statistic", "kind")

@@ -98,6 +98,20 @@ def read_outputs(spark: SparkSession, path: str) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
+def write_bundle(results: DataFrame, path: str, json_structure: Sequence[str]) -> None:
+    """``diagnostic.json`` of nested results (one row, column results), as ``read_bundle`` reads it."""
+    order = F.to_json(F.struct(F.array(*map(F.lit, json_structure)).alias("json_structure")))
+    results.select(F.concat(F.lit('{"DIMENSIONS": '), order, F.lit(', "RESULTS": '), "results", F.lit("}"))).coalesce(1).write.mode("overwrite").text(path)  # one row
+
+
+def write_outputs(outputs: DataFrame, path: str) -> None:
+    """``output.json`` of an execution's registered files, as ``read_outputs`` reads it."""
+    fields = [c for c in outputs.columns if c not in ("output_type", "short_name", "execution_id")]
+    entries = outputs.groupBy("output_type").agg(F.map_from_entries(F.collect_list(F.struct("short_name", F.struct(*fields)))).alias("files"))  # the files of one execution
+    kind = F.when(F.col("output_type") == "plot", "plots").otherwise(F.col("output_type"))
+    entries.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(kind, "files"))))).write.mode("overwrite").text(path)
+
+
 def read_metric_tables(spark: SparkSession, path: str, key: Sequence[str] = ("source", "region", "analysis", "name")) -> DataFrame:
     """All CSV files of a folder in one; only ``NaN`` is missing, and of repeated rows the first file's stays."""
     df = spark.read.option("header", "true").csv(path)
