@@ -110,10 +110,17 @@ def drop_rows(docs: DataFrame, gone: DataFrame, rows: int = 500_000) -> DataFram
     ``gone`` is broadcast up to ``rows`` rows, beyond that the join is shuffled.
     """
     gone = materialise(gone.select("doc_id", TEXT_HASH).distinct(), "gone")
-    side = limited_broadcast(gone.select(F.col("doc_id").alias("__id"), F.col(TEXT_HASH).alias("__hash")), rows)
-    named = docs.withColumn("__text", F.xxhash64("text"))
-    on = (named["__text"] == side["__hash"]) & named["doc_id"].eqNullSafe(side["__id"])
-    return named.join(side, on, "left_anti").drop("__text")
+    own, id_, hash_ = free_names(docs, 3)
+    side = limited_broadcast(gone.select(F.col("doc_id").alias(id_), F.col(TEXT_HASH).alias(hash_)), rows)
+    named = docs.withColumn(own, F.xxhash64("text"))
+    on = (named[own] == side[hash_]) & named["doc_id"].eqNullSafe(side[id_])
+    return named.join(side, on, "left_anti").drop(own)
+
+
+def free_names(df: DataFrame, n: int) -> list[str]:
+    """Names that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    return [x for k in range(n + len(taken)) if (x := f"__own{k}") not in taken][:n]
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:

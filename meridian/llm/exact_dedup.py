@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.llm.common import documents, join_known, limited_broadcast, materialise, text_bytes
+from meridian.llm.common import documents, free_names, join_known, limited_broadcast, materialise, text_bytes
 
 #: White space that is not already one single space.
 UNEVEN = r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]"
@@ -179,17 +179,21 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     gone = found.where("not kept")
     copies = gone.where("not (doc_id <=> keep_id)").select(*key).distinct()
     repeated = gone.where("doc_id <=> keep_id").select(*key).distinct()
-    named = docs.withColumn("__sha", F.sha2(normalised(F.col("text")).cast("binary"), 256))
+    own, id_, sha_ = free_names(docs, 3)
+    named = docs.withColumn(own, F.sha2(normalised(F.col("text")).cast("binary"), 256))
+
+    def side_of(side: DataFrame) -> DataFrame:
+        return limited_broadcast(side.select(F.col("doc_id").alias(id_), F.col("text_sha256").alias(sha_)), 250_000)
 
     def on(side: DataFrame) -> F.Column:
-        return named["doc_id"].eqNullSafe(side["doc_id"]) & (named["__sha"] == side["text_sha256"])
+        return named["doc_id"].eqNullSafe(side[id_]) & (named[own] == side[sha_])
 
-    side = limited_broadcast(copies, 250_000)
+    side = side_of(copies)
     named = named.join(side, on(side), "left_anti")
     if not repeated.isEmpty():
-        side = limited_broadcast(repeated, 250_000)
-        named = named.join(side, on(side), "left_anti").unionByName(named.join(side, on(side), "left_semi").dropDuplicates(["doc_id", "__sha"]))
-    return named.drop("__sha")
+        side = side_of(repeated)
+        named = named.join(side, on(side), "left_anti").unionByName(named.join(side, on(side), "left_semi").dropDuplicates(["doc_id", own]))
+    return named.drop(own)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

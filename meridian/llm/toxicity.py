@@ -10,8 +10,8 @@ the rows with remainders 1 to 3, the calibration on those with remainder 4.
 
 Edge cases: a null text counts as empty and is scored like any other; a doc_id with
 several labels counts as toxic if one of them says so; null labels and null
-doc_ids teach nothing; where the training rows are all of one class or there are
-none, every score is the share of toxic ones (0 without rows); null and repeated
+doc_ids teach nothing; with fewer than 5 training rows of either class nothing can
+be told apart and every score is 0; null and repeated
 doc_ids are scored as rows of their own; an empty table gives no rows; further
 columns are ignored by ``score`` and kept by ``drop_toxic``.
 """
@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from meridian.llm.common import TEXT_HASH, documents, drop_rows, hash_sample, materialise, slices, with_text_hash
 
 MAX_LABELLED = 20_000
+#: Rows of a class that a leaf of the trees needs as well.
+LEAST_OF_CLASS = 5
 #: Letters of a word beginning; only longer words have one.
 STEM = 5
 #: A hit counts as aimed at somebody within so many words of a second-person word.
@@ -152,13 +154,13 @@ def score(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     rows = vectors.join(F.broadcast(training), "doc_id").select("features", F.col("toxic").cast("double").alias("label"), "fold")
     rows = materialise(rows.coalesce(4), "training-rows")
     seen = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    if len(seen) < 2:
-        scored = vectors.withColumn("score", F.lit(1.0 if 1.0 in seen else 0.0))
+    if min(seen.get(0.0, 0), seen.get(1.0, 0)) < LEAST_OF_CLASS:
+        scored = vectors.withColumn("score", F.lit(0.0))
     else:
         own, other = rows.where("fold < 4"), rows.where("fold = 4")
         enough = [d.groupBy("label").count().count() == 2 for d in (own, other)]
         own, other = (own, other) if all(enough) else (rows, rows)
-        trees = GBTClassifier(maxIter=20, maxDepth=3, stepSize=0.2, minInstancesPerNode=5, seed=17).fit(own)
+        trees = GBTClassifier(maxIter=20, maxDepth=3, stepSize=0.2, minInstancesPerNode=LEAST_OF_CLASS, seed=17).fit(own)
 
         def raw(df: DataFrame) -> DataFrame:
             return trees.transform(df).withColumn("raw", vector_to_array("probability")[1])
