@@ -36,9 +36,10 @@ from meridian.llm.shingles import ALPHANUMERIC, mix, words
 
 LEAST = 5
 THRESHOLD = 0.5
-#: The seed filter has 2**bits bits, 16 for each seed within these bounds (16 MB at most). Of more
-#: than 8 million seeds it lets more documents through; the join by seeds stays exact.
-FEWEST_BITS, MOST_BITS = 20, 27
+#: The seed filter has 2**bits bits, 256 for each seed within these bounds (1 to 16 MB): a document of
+#: hundreds of seeds passes by chance only if one of them does. Of more than half a million seeds it lets
+#: more documents through; the join by seeds stays exact.
+FEWEST_BITS, MOST_BITS = 23, 27
 #: Punctuation and spaces beyond ASCII.
 _MARKS = re.compile("[\u0080-¿×÷ -⁯　-〿﻿]+")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -271,7 +272,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, thresh
     items = materialise(benchmark.select("item_id", "text").mapInArrow(_seed_rows(least), ITEMS), "items")
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     n = items.agg(F.sum(F.size("seeds"))).first()[0] or 0
-    bits = min(max((16 * n).bit_length(), FEWEST_BITS), MOST_BITS)
+    bits = min(max((256 * n).bit_length(), FEWEST_BITS), MOST_BITS)
     packed = np.zeros((64, (1 << bits) // 512), "u1")
     for row in items.select("seeds").mapInArrow(_bits(bits), "slot int, bits binary").repartition(min(tasks, 64), "slot").mapInArrow(_or, "slot int, bits binary").collect():
         packed[row["slot"]] = np.frombuffer(row["bits"], "u1")  # 64 rows, 2**MOST_BITS bits at most
