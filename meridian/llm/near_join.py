@@ -382,7 +382,7 @@ def _compare(rows: pd.DataFrame) -> pd.DataFrame:
 
 def _written_sets(docs: DataFrame, thin: DataFrame, wanted: DataFrame, clashes: frozenset[int]) -> DataFrame:
     """The sets in ``wanted`` (sig) with their prefixes, from one document each; where doc_ids repeat maybe some more, or twice."""
-    ids = materialise(thin.join(wanted, "sig", "left_semi").groupBy("sig").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct(), "wanted")
+    ids = materialise(thin.groupBy("sig").agg(F.min("doc_id").alias("doc_id")).join(wanted, "sig", "left_semi").select("doc_id").distinct(), "wanted")
     texts = docs.join(limited_broadcast(ids, 1_000_000), "doc_id", "left_semi").select(text_bytes().alias("text"))
     return materialise(texts.mapInArrow(_sets(clashes), SETS), "sets")
 
