@@ -188,6 +188,25 @@ def numbered_rows(spark, sf_dir):
     return agg.numbered(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"), ["o_orderdate", "o_orderkey"], "n").select("o_orderkey", "n")
 
 
+@query("SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate), row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS n FROM orders")
+def numbered_whole_orders(spark, sf_dir):
+    """All columns, so that the ranges of the numbers and those of the rows would differ if they were dealt twice."""
+    return agg.numbered(table(spark, sf_dir, "orders"), ["o_orderdate", "o_orderkey"], "n").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag, l_extendedprice, row_number() OVER (ORDER BY l_partkey, l_orderkey, l_linenumber, l_suppkey, l_extendedprice, l_discount, l_tax, l_returnflag) - 1 AS n FROM lineitem")
+def numbered_whole_lines(spark, sf_dir):
+    rows = agg.numbered(table(spark, sf_dir, "lineitem"), ["l_partkey", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_discount", "l_tax", "l_returnflag"], "n")
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_extendedprice", "n")
+
+
+@query("SELECT o_orderkey, o_custkey, CAST(coalesce(sum(o_custkey % 7) OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before FROM orders")
+def totals_before(spark, sf_dir):
+    """Running totals inside three groups of a third of all rows each."""
+    rows = agg.running_total(table(spark, sf_dir, "orders"), ["o_orderdate", "o_orderkey"], F.col("o_custkey") % 7, ["o_orderstatus"])
+    return rows.select("o_orderkey", "o_custkey", "before")
+
+
 @query("SELECT o_custkey, max_by(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey FROM orders GROUP BY 1")
 def latest_by_aggregate(spark, sf_dir):
     return windows.latest_by_aggregate(table(spark, sf_dir, "orders"), ["o_custkey"], "o_orderdate", "o_orderkey").select("o_custkey", "o_orderkey")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meridian.operators.quantiles import exact_percentiles
+from meridian.sources.shared import written
 
 GIB = 1 << 30
 #: How measurements are ranked when equally many speak for several sources.
@@ -195,19 +196,32 @@ def unreachable_types(ingested: DataFrame, requested: DataFrame) -> DataFrame:
     return ingested.select("source_type").distinct().join(requested.select("source_type").distinct(), "source_type", "left_anti")
 
 
-def numbered(df: DataFrame, order: Sequence[str], name: str = "row_id") -> DataFrame:
-    """A running number in a total order.
+def running_total(df: DataFrame, order: Sequence[str], amount: Column | None = None, by: Sequence[str] = (), name: str = "before") -> DataFrame:
+    """The sum of ``amount`` (by default 1) over all rows before a row, in a total order within ``by``.
 
-    Rows are dealt to ranges of the order; each range is numbered on its own behind the
-    number of rows before it, so that only one count per range meets in one task. ``df``
-    must give the same rows each time it is read.
+    Rows are dealt to ranges of the order and written once with the number of their range,
+    so that the sums of whole ranges and the rows behind them are of the same division.
+    Each range is summed up on its own behind what the ranges before it hold; only one
+    sum per range (and group in it) meets others. Ties of the order must be equal rows.
     """
-    ranges = df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = ranges.groupBy("__part").agg(F.count("*").alias("n")).select("__part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"))
-    inside = Window.partitionBy("__part").orderBy(*order)
-    rows = ranges.withColumn("__n", F.row_number().over(inside)).join(F.broadcast(starts), "__part")  # one row per range
-    return rows.withColumn(name, F.col("__start") + F.col("__n") - 1).drop("__part", "__start", "__n")
+    by, order = list(by), list(order)
+    part, own, start = (f"__{name}_{x}" for x in ("part", "own", "start"))
+    ranges = written(df.withColumn(own, F.lit(1) if amount is None else amount).repartitionByRange(*by, *order).withColumn(part, F.spark_partition_id()), "ranges")
+    earlier = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))  # one row per range
+    starts = ranges.groupBy(*by, part).agg(F.sum(own).alias("__n"))
+    starts = starts.select(*(F.col(c).alias(f"__by_{c}") for c in by), F.col(part).alias("__p"), F.coalesce(F.sum("__n").over(earlier.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(start))
+    inside = Window.partitionBy(part, *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    starts = written(starts, "range-starts") if by else F.broadcast(starts)  # without groups one row per range; else the planner sees the size of a table
+    rows = ranges.withColumn(own, F.coalesce(F.sum(own).over(inside), F.lit(0)))
+    same = F.col(part) == F.col("__p")
+    for c in by:
+        same &= F.col(c).eqNullSafe(F.col(f"__by_{c}"))
+    return rows.join(starts, same).select(*df.columns, (F.col(start) + F.col(own)).alias(name))
+
+
+def numbered(df: DataFrame, order: Sequence[str], name: str = "row_id") -> DataFrame:
+    """A running number from 0 in a total order; see ``running_total``."""
+    return running_total(df, order, name=name)
 
 
 def queue_counts(submitted: DataFrame) -> DataFrame:

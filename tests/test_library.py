@@ -410,3 +410,25 @@ def test_doctor(spark):
     assert rows == {("duplicate-coverage", "warning", "1"), ("missing-reference", "error", "R"), ("unreachable-type", "info", "odd"), ("overlapping-registries", "error", "registry")}
     assert {r.severity: r.n for r in doctor.severity_counts(found).collect()} == {"warning": 2, "error": 2, "info": 1}
     assert doctor.run_checks({"files": f, "datasets": have, "required": need}, "error").count() == 2
+
+
+@pytest.mark.parametrize("partitions", ["4", "200"])
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_numbered_keeps_every_row_of_wide_tables(spark, partitions, adaptive):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    rows = spark.range(20_000).select((F.col("id") * 7919 % 20_011).alias("k"), F.col("id").cast("string").alias("text"), F.lit("x" * 40).alias("wide"), (F.col("id") % 3).alias("g"))
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        found = aggregates.numbered(rows, ["k"], "n").collect()
+        totals = aggregates.running_total(rows, ["k"], F.col("k"), ["g"]).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert [r["k"] for r in sorted(found, key=lambda r: r["n"])] == sorted(i * 7919 % 20_011 for i in range(20_000))
+    assert sorted(r["n"] for r in found) == list(range(20_000))
+    for g in range(3):
+        seen = 0
+        for r in sorted((r for r in totals if r["g"] == g), key=lambda r: r["k"]):
+            assert r["before"] == seen
+            seen += r["k"]
