@@ -49,6 +49,13 @@ def materialise(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a table of the shared folder that a later one has taken the place of."""
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def text_bytes(name: str = "text") -> F.Column:
     """A text column as UTF-8 bytes, null as empty."""
     return F.coalesce(F.col(name), F.lit("")).cast("binary")
