@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meridian.llm import centroids, decontamination, exact_dedup, licenses, near_join, packing, pii, quality, secret_scan, token_files, toxicity
+from meridian.llm import centroids, decontamination, exact_dedup, licenses, merkle, near_join, packing, pii, quality, secret_scan, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontamination.query,
@@ -19,11 +19,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": quality.query,
     "op9_secret_scan": secret_scan.query,
     "op10_best_fit_packing": packing.query,
+    "op11_merkle_manifest": merkle.query,
     "op13_centroid_clustering": centroids.query,
 }
 
 SQL: dict[str, str] = {
     "op2_exact_dedup": exact_dedup.SQL,
     "op4_ngram_jaccard_join": near_join.SQL,
+    "op11_merkle_manifest": merkle.SQL,
     "op13_centroid_clustering": centroids.SQL,
 }
