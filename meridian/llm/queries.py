@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meridian.llm import centroids, decontamination, exact_dedup, licenses, merkle, near_join, packing, pii, quality, secret_scan, token_files, toxicity
+from meridian.llm import centroids, decontamination, exact_dedup, language_id, licenses, merkle, near_join, packing, pii, quality, secret_scan, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontamination.query,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secret_scan": secret_scan.query,
     "op10_best_fit_packing": packing.query,
     "op11_merkle_manifest": merkle.query,
+    "op12_language_id": language_id.query,
     "op13_centroid_clustering": centroids.query,
 }
 
