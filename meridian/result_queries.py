@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from meridian.operators import bundles, gridded
 from meridian.operators.constraints import IgnoreFacets
 from meridian.operators.outliers import OutlierPolicy
-from meridian.plans import diagnostics, ledger, regression, requirement, results
+from meridian.plans import diagnostics, ledger, regression, requirement, results, runner
 from meridian.plans.requirement import DataRequirement, Diagnostic
 from meridian.queries import GRID, GROUPS, MEAN, PARTS, RUNS, executions, grid, groups, measurements, part_datasets, query, table
 
@@ -474,3 +474,48 @@ def figure_captions(spark, sf_dir):
     figures = table(spark, sf_dir, "supplier").select("s_suppkey", F.concat(F.lit("plots/"), name).alias("file"))
     regions = spark.createDataFrame([("nh", "Northern")], "region string, name string")
     return regression.captions(figures, regions).select("s_suppkey", "caption", "statistic", "kind")
+
+
+# ------------------------------------------------------------------------- running
+
+STARTED = """
+WITH p AS (SELECT *, split_part(p_name, ' ', 1) AS variable_id FROM part WHERE p_size > 10),
+q AS (SELECT p_brand AS source_id, l_returnflag AS statistic, sum(l_quantity) AS value FROM p JOIN lineitem ON l_partkey = p_partkey GROUP BY 1, 2),
+g AS (SELECT DISTINCT p_brand AS source_id FROM p),
+e AS (SELECT d, source_id, d = 'quantity' OR (d = 'strict' AND source_id <> 'Brand#13') AS successful, d = 'unreachable' AS dirty FROM g, (VALUES ('quantity'), ('strict'), ('unreachable')) t(d) WHERE d <> 'unreachable' OR source_id IN ('Brand#1', 'Brand#2'))
+"""
+
+
+def run_brands(spark, sf_dir):
+    """Three diagnostics over the brands of parts: one runs, one fails on a brand, one never reaches its data."""
+    models = part_datasets(spark, sf_dir).withColumn("instance_id", F.col("row_id").cast("string")).where("size > 10")
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("dataset_id"), "l_returnflag", "l_quantity")
+
+    def quantity(inputs, _):
+        rows = inputs["cmip6"].join(lines, "dataset_id").groupBy("execution_id", F.col("l_returnflag").alias("statistic")).agg(F.sum("l_quantity").alias("value"))
+        outputs = inputs["cmip6"].groupBy("execution_id").agg(F.lit("data").alias("output_type"), F.lit("sums").alias("short_name"), F.concat(F.lit("sums/"), F.min("source_id")).alias("filename"))
+        return runner.Findings(scalars=rows, outputs=outputs)
+
+    def strict(inputs, part):
+        wrong = F.when(F.col("source_id") == "Brand#13", F.raise_error(F.lit("no such brand")).cast("string")).otherwise(F.col("source_id"))
+        return quantity({"cmip6": inputs["cmip6"].withColumn("source_id", wrong)}, part)
+
+    def unreachable(inputs, _):
+        raise TimeoutError("storage does not answer")
+
+    def need(*brands):
+        return ((DataRequirement("cmip6", ({"source_id": brands},) if brands else (), ("source_id",)),),)
+
+    d = [Diagnostic("p", "quantity", need(), execute=quantity), Diagnostic("p", "strict", need(), execute=strict), Diagnostic("p", "unreachable", need("Brand#1", "Brand#2"), execute=unreachable)]
+    none = spark.createDataFrame([], "id long, provider string, diagnostic string, diagnostic_version int, dataset_key string, dirty boolean")
+    runs = spark.createDataFrame([], "id long, group_id long, dataset_hash string, successful boolean, created_at timestamp_ntz")
+    return runner.solve_and_run(d, {"cmip6": models}, none, runs, now(), ["statistic"])
+
+
+@query(STARTED + "SELECT d AS diagnostic, 'cmip6_' || e.source_id AS dataset_key, successful, dirty, statistic, value FROM e LEFT JOIN q ON e.source_id = q.source_id AND e.successful")
+def run_solved(spark, sf_dir):
+    """From the catalogue to values: every execution's state, its group's flag, and what it gave."""
+    done, marked, store = run_brands(spark, sf_dir)
+    groups_of = marked.select(F.col("id").alias("group_id"), "diagnostic", "dataset_key", "dirty")
+    rows = done.join(groups_of, "group_id").join(store.read("values"), F.col("id") == F.col("execution_id"), "left")
+    return rows.select("diagnostic", "dataset_key", "successful", "dirty", "statistic", "value")
