@@ -30,7 +30,7 @@ from meridian.plans import ledger
 from meridian.plans.ingest import output_rows, scalar_values, series_values
 from meridian.plans.requirement import Diagnostic, solve
 from meridian.plans.usage import job_usage
-from meridian.sources.shared import fresh_folder, written
+from meridian.sources.shared import complete_parts, fresh_folder, read_parts, written
 
 #: An execution may take so long. Fixed value.
 TIMEOUT_SECONDS = 6 * 3600
@@ -79,24 +79,13 @@ class Store:
 
     def units(self) -> list[str]:
         """The units that are complete."""
-        jvm = self.spark._jvm
-        marks = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/executions/unit=*/_SUCCESS")
-        found = marks.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).globStatus(marks)
-        return sorted(f.getPath().getParent().getName().partition("=")[2] for f in found or ())
+        return complete_parts(self.spark, f"{self.folder}/executions", "unit")
 
     def read(self, table: str) -> DataFrame:
         """All rows of complete units."""
-        paths = self._existing([f"{self.folder}/{table}/unit={u}" for u in self.units()])
-        if not paths:
-            return self.spark.createDataFrame([], self.schemas[table])
-        rows = self.spark.read.schema(self.schemas[table]).parquet(*paths)
+        rows = read_parts(self.spark, [f"{self.folder}/{table}/unit={u}" for u in self.units()], self.schemas[table])
         return rows.dropDuplicates(["hash"]) if table == "axes" else rows  # two units at once may both find an axis new
 
-    def _existing(self, paths: Sequence[str]) -> list[str]:
-        jvm = self.spark._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        return [p for p in paths if (x := jvm.org.apache.hadoop.fs.Path(p)).getFileSystem(conf).exists(x)]
-
 
 def members(wanted: DataFrame, catalogs: Mapping[str, DataFrame], slug: str = "instance_id") -> dict[str, DataFrame]:
     """The catalogue rows of some executions (id, slugs) by source type, each with its ``execution_id``."""

@@ -29,3 +29,17 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = fresh_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def complete_parts(spark: SparkSession, folder: str, key: str) -> list[str]:
+    """The values of ``key`` whose folder ``key=value`` holds a table that was written to its end."""
+    marks = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{key}=*/_SUCCESS")
+    found = marks.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(marks)
+    return sorted(f.getPath().getParent().getName().partition("=")[2] for f in found or ())
+
+
+def read_parts(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
+    """The rows of those tables that are there, none where none is."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    here = [p for p in paths if (x := jvm.org.apache.hadoop.fs.Path(p)).getFileSystem(conf).exists(x)]
+    return spark.read.schema(schema).parquet(*here) if here else spark.createDataFrame([], schema)
