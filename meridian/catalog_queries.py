@@ -521,3 +521,17 @@ def branch_times(spark, sf_dir):
 def kept_after_ignoring(spark, sf_dir):
     df = table(spark, sf_dir, "nation").select(F.col("n_regionkey").alias("gk"), F.col("n_nationkey").alias("row_id"), (F.col("n_nationkey") % 2).cast("string").alias("odd"), F.col("n_regionkey").cast("string").alias("region"))
     return constraints.IgnoreFacets({"region": ("1",), "odd": ("0",)}).apply(df, df).select("gk", "row_id")
+
+
+@query("""
+WITH c AS (SELECT c_custkey, c_nationkey, regexp_replace(regexp_replace(c_name || ' / ' || c_mktsegment, '[^A-Za-z0-9_-]+', '_', 'g'), '^_+|_+$', '', 'g') AS a, repeat('word_', CAST(c_custkey % 20 AS INTEGER)) AS w FROM customer),
+t AS (SELECT *, a || CASE WHEN rtrim(w, '_') <> '' THEN '_' || rtrim(w, '_') ELSE '' END AS words FROM c)
+SELECT c_custkey, CASE WHEN length(words) <= 64 THEN words ELSE regexp_replace(words[1:64], '_[^_]*$', '') END || '_g' || c_custkey || '_v' || (c_nationkey % 3 + 1) || '_' AS head, 8 AS digits FROM t
+""")
+def folder_names(spark, sf_dir):
+    """Names of groups' folders; the digest at their end is only counted."""
+    pair = lambda k, v: F.array(F.struct(F.lit(k).alias("k"), v.alias("v")))
+    selectors = F.create_map(F.lit("obs"), pair("word", F.expr("repeat('word_', cast(c_custkey % 20 as int))")), F.lit("cmip6"), pair("who", F.concat_ws(" / ", "c_name", "c_mktsegment")))
+    name = fn.folder_name(selectors, F.col("c_custkey"), F.col("c_nationkey") % 3 + 1)
+    rows = table(spark, sf_dir, "customer").select("c_custkey", name.alias("name"))
+    return rows.select("c_custkey", F.expr("left(name, length(name) - 8)").alias("head"), F.length(F.regexp_extract("name", "[0-9a-f]{8}$", 0)).alias("digits"))

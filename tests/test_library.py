@@ -80,9 +80,19 @@ def test_small_functions(spark):
     assert column(spark, "string", ["E1hrClimMon", "Odec", "IfxGre", "Ofx", "3hr", "AERhr"], fn.guessed_frequency) == ["mon", "mon", "mon", "fx", "3hr", "1hr"]
     assert column(spark, "string", ["mon", "IyrGre", "zzz", None], fn.known_frequency) == ["mon", "yr", None, None]
     assert column(spark, "string", ["kg / meter ** 2 / second", "W m-2", "1/day", "furlong", None], fn.canonical_units) == ["kg m-2 s-1", "W m-2", "1/day", "furlong", None]
-    one, other = ({"cmip6": [("source_id", v), ("member_id", "r1")]} for v in ("a b", "a-b"))
-    assert fn.short_key(one, 3, 1).startswith("r1_a-b_g3_v1_") and fn.short_key(one, 3, 1) != fn.short_key(other, 3, 1)
-    assert len(fn.short_key({"cmip6": [("x", "word_" * 60)]}, 3, 1)) <= 96 and fn.short_key({}, 3, 1).startswith("g3_v1_")
+
+
+def test_folder_names(spark):
+    pairs = "array<struct<k:string,v:string>>"
+    given = [
+        (3, 1, {"cmip6": [("source_id", "a b"), ("member_id", "r1")]}), (3, 1, {"cmip6": [("source_id", "a-b"), ("member_id", "r1")]}), (4, 2, {"b": [("x", "é//ü z_")], "a": [("y", "_"), ("x", "q")]}),
+        (5, 1, {"a": [("x", "word_" * 60)]}), (6, 1, {"a": [("x", "w" * 200)]}), (7, 1, {}), (7, 1, {"a": []}), (123456789012, 1, {"a": [("x", "k" * 40 + "_" + "m" * 22 + "_n")]}),
+    ]
+    df = spark.createDataFrame([(k, *g) for k, g in enumerate(given)], f"k int, g long, v int, s map<string,{pairs}>")
+    names = [r.n for r in df.select("k", fn.folder_name(F.col("s"), F.col("g"), F.col("v")).alias("n")).orderBy("k").collect()]
+    heads = [n[:-9] for n in names]
+    assert heads == ["r1_a_b_g3_v1", "r1_a-b_g3_v1", "q_z_g4_v2", "_".join(["word"] * 12) + "_g5_v1", "w" * 64 + "_g6_v1", "g7_v1", "g7_v1", "k" * 40 + "_g123456789012_v1"]
+    assert len(set(names)) == len(names) and all(len(n) <= 96 and n[-9] == "_" and int(n[-8:], 16) >= 0 for n in names)
 
 
 # -------------------------------------------------------------------- results
