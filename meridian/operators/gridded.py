@@ -127,21 +127,40 @@ def regressed_on(field: DataFrame, index: DataFrame, keys: Sequence[str]) -> Dat
 
 
 def scores(model: DataFrame, reference: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Bias, error and seasonal-cycle scores of a model against a reference, each from 0 to 1.
-
-    A cell's bias score is exp(-|bias| / the reference's spread), its error score
-    exp(-centred error / the same); cells count by area. The seasonal score falls with
-    the months between the two climatologies' maxima.
+    """Bias, error, seasonal, interannual and spatial scores of a model against a reference, each from 0 to 1.
+
+    Both are on one grid; bring others there with ``regrid.on_common_grid``. A cell's bias
+    score is exp(-|bias| / the reference's spread), its error score exp(-centred error /
+    the same); cells count by area. The seasonal score falls with the months between the
+    two climatologies' maxima. The interannual score is exp(-|relative error|) of the
+    spread of what is left without the climatology. The spatial score is Taylor's, of the
+    two fields of means: their correlation R and ratio of spreads s give
+    2 (1 + R) / (s + 1/s)^2. Without a common cell and time the scores are null.
     """
     other = reference.select("lat", "lon", "year", "month", F.col("value").alias("reference"))
     rows = model.join(other, ["lat", "lon", "year", "month"])
-    cell = rows.groupBy(*keys, "lat", "lon").agg(
-        F.avg("value").alias("m"), F.avg("reference").alias("r"), F.stddev_pop("reference").alias("spread"), F.avg(F.pow(F.col("value") - F.col("reference"), 2)).alias("square"), F.first("area", ignorenulls=True).alias("area")
-    )
-    cell = cell.where("spread > 0").withColumn("bias", F.col("m") - F.col("r"))
-    error = F.sqrt(F.greatest(F.col("square") - F.pow("bias", 2), F.lit(0.0)))
-    peaks = rows.groupBy(*keys, "lat", "lon", "month").agg(F.avg("value").alias("m"), F.avg("reference").alias("r"))
-    peaks = peaks.groupBy(*keys, "lat", "lon").agg((F.max_by("month", F.struct("m", "month")) - F.max_by("month", F.struct("r", "month"))).alias("shift"))
+    own = [*keys, "lat", "lon"]
+    weight = F.coalesce("area", cos_lat()) if "area" in model.columns else cos_lat()
+    cell = rows.groupBy(*own).agg(
+        F.avg("value").alias("m"), F.avg("reference").alias("r"), F.stddev_pop("reference").alias("spread"), F.avg(F.pow(F.col("value") - F.col("reference"), 2)).alias("square"),
+        *([F.first("area", ignorenulls=True).alias("area")] if "area" in model.columns else []),
+    ).withColumn("weight", weight)
+    months = rows.groupBy(*own, "month").agg(F.avg("value").alias("m"), F.avg("reference").alias("r"), F.count("*").alias("n"), F.sum(F.pow("value", 2)).alias("m2"), F.sum(F.pow("reference", 2)).alias("r2"))
+    left = {c: F.sqrt(F.greatest(F.sum(F.col(f"{c}2") - F.col("n") * F.pow(c, 2)) / F.sum("n"), F.lit(0.0))) for c in "mr"}  # around the climatology
+    year = months.groupBy(*own).agg((F.max_by("month", F.struct("m", "month")) - F.max_by("month", F.struct("r", "month"))).alias("shift"), left["m"].alias("m_left"), left["r"].alias("r_left"))
     apart = F.least(F.abs("shift"), 12 - F.abs("shift"))
-    cell = cell.join(peaks, [*keys, "lat", "lon"]).withColumns({"bias_score": F.exp(-F.abs("bias") / F.col("spread")), "rmse_score": F.exp(-error / F.col("spread")), "season_score": (1 + F.cos(2 * F.pi() * apart / 12)) / 2})
-    return cell.groupBy(*keys).agg(*(weighted_mean(F.col(c), F.coalesce("area", cos_lat())).alias(c) for c in ("bias", "bias_score", "rmse_score", "season_score")))
+    cell = cell.where("spread > 0").withColumn("bias", F.col("m") - F.col("r")).join(year, own)
+    error = F.sqrt(F.greatest(F.col("square") - F.pow("bias", 2), F.lit(0.0)))
+    cell = cell.withColumns({
+        "bias_score": F.exp(-F.abs("bias") / F.col("spread")), "rmse_score": F.exp(-error / F.col("spread")), "season_score": (1 + F.cos(2 * F.pi() * apart / 12)) / 2,
+        "interannual_score": F.when(F.col("r_left") > 1e-6 * F.col("spread"), F.exp(-F.abs(F.col("m_left") - F.col("r_left")) / F.col("r_left"))),
+    })
+    w = F.col("weight")
+    moments = {f"__{n}": F.sum(w * x) for n, x in (("w", F.lit(1.0)), ("m", F.col("m")), ("r", F.col("r")), ("mm", F.pow("m", 2)), ("rr", F.pow("r", 2)), ("mr", F.col("m") * F.col("r")))}
+    names = ("bias", "bias_score", "rmse_score", "season_score", "interannual_score")
+    found = cell.groupBy(*keys).agg(*(weighted_mean(F.col(c), w).alias(c) for c in names), *(v.alias(k) for k, v in moments.items()))
+    spread = {c: F.sqrt(F.greatest(F.col(f"__{c}{c}") / F.col("__w") - F.pow(F.col(f"__{c}") / F.col("__w"), 2), F.lit(0.0))) for c in "mr"}
+    joint = F.col("__mr") / F.col("__w") - F.col("__m") * F.col("__r") / F.pow("__w", F.lit(2))
+    ratio = F.when((spread["m"] > 0) & (spread["r"] > 0), spread["m"] / spread["r"])
+    taylor = 2 * (1 + joint / (spread["m"] * spread["r"])) / F.pow(ratio + 1 / ratio, F.lit(2))
+    return found.withColumn("spatial_score", F.when(ratio.isNotNull(), taylor)).select(*keys, *names, "spatial_score")

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.operators import bundles, gridded
+from meridian.operators import bundles, gridded, regrid
 from meridian.operators.constraints import IgnoreFacets
 from meridian.operators.outliers import OutlierPolicy
-from meridian.plans import diagnostics, ledger, regression, requirement, results, runner
+from meridian.plans import benchmarks, diagnostics, ledger, regression, requirement, results, runner
 from meridian.plans.requirement import DataRequirement, Diagnostic
 from meridian.queries import GRID, GROUPS, MEAN, PARTS, RUNS, executions, grid, groups, measurements, part_datasets, query, table
 
@@ -519,3 +519,58 @@ def run_solved(spark, sf_dir):
     groups_of = marked.select(F.col("id").alias("group_id"), "diagnostic", "dataset_key", "dirty")
     rows = done.join(groups_of, "group_id").join(store.read("values"), F.col("id") == F.col("execution_id"), "left")
     return rows.select("diagnostic", "dataset_key", "successful", "dirty", "statistic", "value")
+
+
+# ---------------------------------------------------------------------- other grids
+
+
+def coarse_cells(spark, sf_dir):
+    """Nations as a grid of five latitudes and five longitudes."""
+    n = F.col("n_nationkey")
+    return table(spark, sf_dir, "nation").select((n % 5 * 36 - 72).cast("double").alias("lat"), (F.floor(n / 5) * 72 + 36).cast("double").alias("lon"))
+
+
+#: Cells' borders, halfway to the neighbours; longitudes go round from 50 to 350 in steps of 50.
+REGRIDDED = f"""
+c AS MATERIALIZED {CELLS}, s AS (SELECT DISTINCT lat FROM c), t(lat) AS (SELECT DISTINCT n_nationkey % 5 * 36 - 72.0 FROM nation), u(lon) AS (SELECT DISTINCT n_nationkey // 5 * 72 + 36.0 FROM nation),
+b AS (SELECT lat, lag(lat) OVER (ORDER BY lat) AS p, lead(lat) OVER (ORDER BY lat) AS q FROM s), e AS (SELECT lat, greatest(lat - coalesce(lat - p, q - lat) / 2, -90) AS lo, least(lat + coalesce(q - lat, lat - p) / 2, 90) AS hi FROM b),
+y AS (SELECT e.lat, t.lat AS tlat, sin(radians(least(hi, t.lat + 18))) - sin(radians(greatest(lo, t.lat - 18))) AS w FROM e, t WHERE least(hi, t.lat + 18) > greatest(lo, t.lat - 18)),
+g(lon, lo, hi) AS (VALUES (50, 20, 75), (100, 75, 125), (150, 125, 175), (200, 175, 225), (250, 225, 275), (300, 275, 325), (350, 325, 360), (350, 0, 20)),
+x AS (SELECT g.lon, u.lon AS tlon, radians(sum(least(hi, u.lon + 36) - greatest(lo, u.lon - 36))) AS w FROM g, u WHERE least(hi, u.lon + 36) > greatest(lo, u.lon - 36) GROUP BY 1, 2),
+r AS MATERIALIZED (SELECT variable_id, year, month, tlat AS lat, tlon AS lon, sum(value * y.w * x.w) / sum(y.w * x.w) AS value, sum(y.w * x.w) AS area,
+  sum(y.w * x.w) / ((sin(radians(tlat + 18)) - sin(radians(tlat - 18))) * radians(72)) AS cover FROM c JOIN y ON c.lat = y.lat JOIN x ON c.lon = x.lon WHERE value IS NOT NULL GROUP BY 1, 2, 3, 4, 5)"""
+
+
+@query(f"WITH {REGRIDDED} SELECT variable_id, year, month, lat, lon, round(value, 3) AS value, round(area, 6) AS area, round(least(cover, 1), 5) AS cover FROM r")
+def regridded(spark, sf_dir):
+    """Cells of ten by fifty degrees as areas of cells of 36 by 72."""
+    rows = regrid.regrid(cells(spark, sf_dir), coarse_cells(spark, sf_dir), ["variable_id", "year", "month"])
+    return rows.select("variable_id", "year", "month", "lat", "lon", F.round("value", 3).alias("value"), F.round("area", 6).alias("area"), F.round("cover", 5).alias("cover"))
+
+
+@query(f"""WITH {REGRIDDED}, k AS (SELECT lat, min(hi) AS hi, min(lo) AS lo FROM e GROUP BY 1)
+SELECT variable_id, year, month, round(sum(value * (sin(radians(hi)) - sin(radians(lo))) * CASE lon WHEN 350 THEN radians(55) WHEN 50 THEN radians(55) ELSE radians(50) END) / 1000, 4) AS total FROM c JOIN k USING (lat) GROUP BY 1, 2, 3""")
+def conserved_sums(spark, sf_dir):
+    """Sums of value times area after regridding; the SQL has those of the cells before."""
+    rows = regrid.regrid(cells(spark, sf_dir), coarse_cells(spark, sf_dir), ["variable_id", "year", "month"])
+    return rows.groupBy("variable_id", "year", "month").agg(F.round(F.sum(F.col("value") * F.col("area")) / 1000, 4).alias("total"))
+
+
+@query(f"""
+WITH {REGRIDDED}, m AS (SELECT a.*, o.value AS ref FROM r a JOIN r o ON o.variable_id = 'A' AND a.lat = o.lat AND a.lon = o.lon AND a.year = o.year AND a.month = o.month WHERE a.variable_id <> 'A' AND a.cover >= 0.1 AND o.cover >= 0.1),
+k AS (SELECT variable_id, lat, lon, avg(value) AS mv, avg(ref) AS rv, avg(value) - avg(ref) AS bias, stddev_pop(ref) AS spread, avg(power(value - ref, 2)) AS square, first(area) AS a1 FROM m GROUP BY ALL HAVING stddev_pop(ref) > 0),
+p AS (SELECT variable_id, lat, lon, month, avg(value) AS mv, avg(ref) AS rv, count(*) AS n, sum(value * value) AS m2, sum(ref * ref) AS r2 FROM m GROUP BY ALL),
+q AS (SELECT variable_id, lat, lon, max_by(month, (mv, month)) - max_by(month, (rv, month)) AS shift, sqrt(greatest(sum(m2 - n * mv * mv) / sum(n), 0)) AS ml, sqrt(greatest(sum(r2 - n * rv * rv) / sum(n), 0)) AS rl FROM p GROUP BY ALL),
+z AS (SELECT k.*, cos(radians(k.lat)) AS w, exp(-abs(bias) / spread) AS b, exp(-sqrt(greatest(square - bias * bias, 0)) / spread) AS e, (1 + cos(2 * pi() * least(abs(shift), 12 - abs(shift)) / 12)) / 2 AS t, CASE WHEN rl > 1e-6 * spread THEN exp(-abs(ml - rl) / rl) END AS i
+  FROM k JOIN q ON k.variable_id = q.variable_id AND k.lat = q.lat AND k.lon = q.lon),
+f AS (SELECT variable_id, sum(w * b) / sum(w) AS b, sum(w * e) / sum(w) AS e, sum(w * t) / sum(w) AS t, sum(w * i) / sum(CASE WHEN i IS NOT NULL THEN w END) AS i, sqrt(sum(w * mv * mv) / sum(w) - power(sum(w * mv) / sum(w), 2)) AS sm, sqrt(sum(w * rv * rv) / sum(w) - power(sum(w * rv) / sum(w), 2)) AS sr,
+  sum(w * mv * rv) / sum(w) - sum(w * mv) / sum(w) * sum(w * rv) / sum(w) AS j FROM z GROUP BY 1)
+SELECT variable_id, round(b, 4) AS bias_score, round(e, 4) AS rmse_score, round(t, 4) AS season_score, round(i, 4) AS interannual_score, round(2 * (1 + j / (sm * sr)) / power(sm / sr + sr / sm, 2), 4) AS spatial_score,
+  round((b + 2 * e + t + coalesce(i, 0) + 2 * (1 + j / (sm * sr)) / power(sm / sr + sr / sm, 2)) / CASE WHEN i IS NULL THEN 5 ELSE 6 END, 4) AS overall FROM f
+""")
+def benchmark_scores(spark, sf_dir):
+    """Scores of two variables against a third after all have come to the coarse grid; cells count by the cosine of latitude."""
+    c = cells(spark, sf_dir)
+    found = benchmarks.benchmark_scores(c.where("variable_id <> 'A'"), c.where("variable_id = 'A'").drop("variable_id"), ["variable_id"], coarse_cells(spark, sf_dir), 0.1)
+    names = ("bias_score", "rmse_score", "season_score", "interannual_score", "spatial_score", "overall")
+    return found.select("variable_id", *(F.round(n, 4).alias(n) for n in names))
