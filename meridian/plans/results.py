@@ -13,6 +13,7 @@ from meridian.operators.bundles import series_points
 from meridian.operators.filters import contains_any, dimension_filter, ids_filter, measured, reference_filter, selector_matches, successful
 from meridian.operators.outliers import OutlierPolicy, detect
 from meridian.operators.windows import latest_per_group, page, ranked_latest
+from meridian.sources.shared import written
 
 
 @dataclass(frozen=True)
@@ -85,7 +86,7 @@ class Results:
         shown = found
         if policy.method != "off":
             shown = detect(found, policy)
-            shown = shown if include_unverified else shown.where(~F.col("is_outlier"))
+            shown = written(shown if include_unverified else shown.where(~F.col("is_outlier")), "screened")  # screened once for the page and the count
         return Page(page(shown, ["id"], offset, limit), shown.count(), facet_values(found, self.dimensions))
 
     def series_values(self, f: ValueFilter = ValueFilter(), references: bool | None = None, explode: bool = False, offset: int = 0, limit: int | None = None) -> Page:

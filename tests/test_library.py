@@ -442,3 +442,30 @@ def test_numbered_keeps_every_row_of_wide_tables(spark, partitions, adaptive):
         for r in sorted((r for r in totals if r["g"] == g), key=lambda r: r["k"]):
             assert r["before"] == seen
             seen += r["k"]
+
+
+@pytest.mark.parametrize("accuracy", [70, 10_000])
+def test_exact_percentiles_of_large_groups(spark, accuracy):
+    """Narrowed brackets give what sorting gives, with values that fill half a group, gaps, ties, infinities, nulls and tiny groups."""
+    import random
+
+    import numpy as np
+
+    from meridian.operators.quantiles import exact_percentiles
+
+    rng = random.Random(2)
+    made = {
+        "wide": [rng.gauss(0, 1e6) for _ in range(6000)], "heavy": [5.0] * 2500 + [rng.random() * 10 for _ in range(2500)], "two": [1.0] * 2000 + [2.0] * 2000, "steps": [float(k // 100) for k in range(4000)],
+        "far": [10.0 ** rng.uniform(-300, 300) for _ in range(3000)], "few": [3.0, 1.0], "one": [7.0], None: [float(k) for k in range(500)],
+    }
+    rows = [(g, x) for g, xs in made.items() for x in xs] + [("wide", None)] * 50 + [("empty", None)] * 3
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "g string, x double").repartition(5)
+    shares = {"p0": 0.0, "p05": 0.05, "p50": 0.5, "p731": 0.731, "p95": 0.95, "p100": 1.0}
+    found = {r["g"]: r for r in exact_percentiles(df, ["g"], {n: (F.col("x"), p) for n, p in shares.items()}, accuracy, 70).collect()}
+    assert set(found) == {*made, "empty"} and found["empty"]["p50"] is None
+    for g, xs in made.items():
+        for n, p in shares.items():
+            assert found[g][n] == pytest.approx(float(np.percentile(xs, 100 * p)), rel=1e-12), (g, n)
+    whole = exact_percentiles(df, [], {"m": (F.col("x"), 0.5)}, accuracy, 70).collect()
+    assert len(whole) == 1 and whole[0]["m"] == pytest.approx(float(np.percentile([x for _, x in rows if x is not None], 50)), rel=1e-12)
