@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.operators import bundles, gridded, regrid
+from meridian.operators import bundles, gridded, regions, regrid
 from meridian.operators.constraints import IgnoreFacets
 from meridian.operators.outliers import OutlierPolicy
 from meridian.plans import benchmarks, diagnostics, ledger, regression, requirement, results, runner
@@ -574,3 +574,71 @@ def benchmark_scores(spark, sf_dir):
     found = benchmarks.benchmark_scores(c.where("variable_id <> 'A'"), c.where("variable_id = 'A'").drop("variable_id"), ["variable_id"], coarse_cells(spark, sf_dir), 0.1)
     names = ("bias_score", "rmse_score", "season_score", "interannual_score", "spatial_score", "overall")
     return found.select("variable_id", *(F.round(n, 4).alias(n) for n in names))
+
+
+# ------------------------------------------------------------------ regions and modes
+
+
+def tiles(spark, sf_dir):
+    """Nations as 25 slanted tiles of the globe."""
+    n = F.col("n_nationkey")
+    low, west = (n % 5 * 36 - 90).cast("double"), F.floor(n / 5) * 72.0
+    point = lambda lat, lon: F.struct(lat.alias("lat"), lon.alias("lon"))
+    return table(spark, sf_dir, "nation").select(F.concat(F.lit("t"), n).alias("region"), F.array(point(low, west), point(low, west + 72), point(low + 36, west + 92), point(low + 36, west + 20)).alias("ring"))
+
+
+def _east_of(border: str) -> str:
+    """The area east of a border under lon = a + b * lat, from l to h."""
+    whole = lambda y: f"((a - ({border}) + b * ({y})) * sin({y}) + b * cos({y}))"
+    return f"({whole('h')} - {whole(f'least(greatest((({border}) - a) / b, l), h)')})"
+
+
+COVER = f"""
+c AS MATERIALIZED {CELLS}, k AS (SELECT DISTINCT lat, lon FROM c), la AS (SELECT DISTINCT lat FROM k), b1 AS (SELECT lat, lag(lat) OVER (ORDER BY lat) AS p, lead(lat) OVER (ORDER BY lat) AS q FROM la),
+e AS (SELECT lat, greatest(lat - coalesce(lat - p, q - lat) / 2, -90) AS south, least(lat + coalesce(q - lat, lat - p) / 2, 90) AS north FROM b1), g(lon, west, east) AS (VALUES (50, 20, 75), (100, 75, 125), (150, 125, 175), (200, 175, 225), (250, 225, 275), (300, 275, 325), (350, 325, 380)),
+cell AS (SELECT k.lat, k.lon, south, north, west, east FROM k JOIN e ON k.lat = e.lat JOIN g ON k.lon = g.lon),
+line AS (SELECT 't' || n_nationkey AS region, n_nationkey % 5 * 36 - 90 AS y1, n_nationkey % 5 * 36 - 54 AS y2, n_nationkey // 5 * 72 + x.d AS x1, x.s, 20 / radians(36) AS b FROM nation, (VALUES (72, 1), (0, -1)) x(d, s)),
+pair AS (SELECT region, lat, lon, west + t AS west, east + t AS east, s, b, x1 - b * radians(y1) AS a, radians(greatest(south, y1)) AS l, radians(least(north, y2)) AS h, (east - west) * (sin(radians(north)) - sin(radians(south))) AS size
+  FROM cell, line, (VALUES (-360), (0), (360)) turns(t) WHERE least(north, y2) > greatest(south, y1)),
+cover AS MATERIALIZED (SELECT region, lat, lon, sum(s * ({_east_of("west")} - {_east_of("east")}) / size) AS cover FROM pair GROUP BY ALL HAVING abs(sum(s * ({_east_of("west")} - {_east_of("east")}) / size)) > 1e-9),
+mean AS (SELECT variable_id, region, year, month, sum(CASE WHEN value IS NOT NULL THEN value * coalesce(area, cos(radians(lat))) * cover END) / sum(CASE WHEN value IS NOT NULL THEN coalesce(area, cos(radians(lat))) * cover END) AS value FROM c JOIN cover USING (lat, lon) GROUP BY ALL)"""
+
+
+def covered(spark, sf_dir):
+    c = cells(spark, sf_dir)
+    grid_of = regions.grid_cells(c)
+    return c, grid_of, regions.region_cover(grid_of, tiles(spark, sf_dir))
+
+
+@query(f"WITH {COVER} SELECT region, lat, lon, round(cover, 6) AS cover FROM cover UNION ALL SELECT 'ocean', lat, lon, round(1 - sum(CASE WHEN region IN ('t3', 't17') THEN 0 ELSE cover END), 6) FROM cover GROUP BY lat, lon HAVING 1 - sum(CASE WHEN region IN ('t3', 't17') THEN 0 ELSE cover END) > 1e-9")
+def region_shares(spark, sf_dir):
+    """The share of every cell in every tile, and what is left of a cell without two of them."""
+    _, grid_of, cover = covered(spark, sf_dir)
+    rest = regions.with_rest(cover.where("region not in ('t3', 't17')"), grid_of).where("region = 'ocean'")
+    return cover.unionByName(rest).select("region", "lat", "lon", F.round("cover", 6).alias("cover"))
+
+
+@query(f"WITH {COVER}, y AS (SELECT variable_id, region, year, avg(value) AS value FROM mean GROUP BY ALL) SELECT variable_id, region, round(regr_slope(value, year), 3) AS slope, count(*) AS n FROM y GROUP BY 1, 2")
+def region_trends(spark, sf_dir):
+    c, _, cover = covered(spark, sf_dir)
+    return regions.regional_trends(c, cover, ["variable_id"]).select("variable_id", "region", F.round("slope", 3).alias("slope"), "n")
+
+
+@query(f"WITH {COVER} SELECT variable_id, region, month, round(avg(value), 3) AS value FROM mean GROUP BY ALL")
+def region_cycles(spark, sf_dir):
+    c, _, cover = covered(spark, sf_dir)
+    return regions.regional_cycle(c, cover, ["variable_id"]).select("variable_id", "region", "month", F.round("value", 3).alias("value"))
+
+
+@query(f"WITH {COVER}, y AS (SELECT variable_id, region, year, avg(value) AS value FROM mean GROUP BY ALL), b AS (SELECT variable_id, region, avg(value) AS base FROM y WHERE year BETWEEN 1993 AND 1995 GROUP BY ALL) SELECT variable_id, region, year, round(value - base, 3) AS anomaly FROM y JOIN b USING (variable_id, region)")
+def region_anomalies(spark, sf_dir):
+    c, _, cover = covered(spark, sf_dir)
+    return regions.regional_anomalies(c, cover, ["variable_id"], 1993, 1995).select("variable_id", "region", "year", F.round("anomaly", 3).alias("anomaly"))
+
+
+@query(f"WITH {COVER}, m AS (SELECT lat, lon, least(sum(cover), 1) AS fraction FROM cover WHERE region IN ('t1', 't2', 't6', 't7') GROUP BY ALL HAVING least(sum(cover), 1) >= 0.5) SELECT variable_id, year, count(*) AS n, round(sum(value), 2) AS total FROM c JOIN m USING (lat, lon) GROUP BY 1, 2")
+def region_mask(spark, sf_dir):
+    """Cells of which four tiles hold at least half."""
+    c, _, cover = covered(spark, sf_dir)
+    kept = gridded.masked(c, regions.mask(cover, ["t1", "t2", "t6", "t7"]), 0.5)
+    return kept.groupBy("variable_id", "year").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
