@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.operators import bundles, gridded, regions, regrid
+from meridian.operators import bundles, gridded, levels, modes, regions, regrid
 from meridian.operators.constraints import IgnoreFacets
 from meridian.operators.outliers import OutlierPolicy
-from meridian.plans import benchmarks, diagnostics, ledger, regression, requirement, results, runner
+from meridian.plans import annual_cycle, benchmarks, diagnostics, ledger, regression, requirement, results, runner
 from meridian.plans.requirement import DataRequirement, Diagnostic
 from meridian.queries import GRID, GROUPS, MEAN, PARTS, RUNS, executions, grid, groups, measurements, part_datasets, query, table
 
@@ -642,3 +642,61 @@ def region_mask(spark, sf_dir):
     c, _, cover = covered(spark, sf_dir)
     kept = gridded.masked(c, regions.mask(cover, ["t1", "t2", "t6", "t7"]), 0.5)
     return kept.groupBy("variable_id", "year").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
+
+
+@query("""
+WITH c AS (SELECT l_suppkey, year(l_shipdate) AS year, l_linenumber * 15000.0 AS p, CASE WHEN max(l_quantity) < 48 THEN max(l_extendedprice) END AS v FROM lineitem GROUP BY ALL), t(lev) AS (VALUES (20000.0), (45000.0), (97000.0)),
+s AS (SELECT l_suppkey, year, lev, max(p) FILTER (p <= lev) AS p0, min(p) FILTER (p >= lev) AS p1, arg_max(coalesce(v, 'NaN'::DOUBLE), p) FILTER (p <= lev) AS v0, arg_min(coalesce(v, 'NaN'::DOUBLE), p) FILTER (p >= lev) AS v1 FROM c, t GROUP BY ALL)
+SELECT l_suppkey, CAST(year AS INTEGER) AS year, CAST(lev AS DOUBLE) AS lev, round(CASE WHEN p0 = p1 THEN CASE WHEN NOT isnan(v0) THEN v0 END WHEN NOT isnan(v0) AND NOT isnan(v1) THEN v0 + (ln(lev) - ln(p0)) / (ln(p1) - ln(p0)) * (v1 - v0) END, 3) AS value FROM s
+""")
+def level_values(spark, sf_dir):
+    """Suppliers' lines as columns of air; a line with a large quantity lacks its value."""
+    rows = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", F.year("l_shipdate").alias("year"), (F.col("l_linenumber") * 15000.0).alias("lev")).agg(F.when(F.max("l_quantity") < 48, F.max("l_extendedprice")).alias("value"))
+    found = levels.at_levels(rows, ["l_suppkey", "year"], [20000.0, 45000.0, 97000.0])
+    return found.select("l_suppkey", "year", "lev", F.round("value", 3).alias("value"))
+
+
+@query(f"""
+WITH c AS {CELLS}, k AS (SELECT variable_id, lat, lon, month, avg(value) AS v FROM c GROUP BY ALL), d AS (SELECT *, CASE month WHEN 2 THEN 28.25 WHEN 4 THEN 30 WHEN 6 THEN 30 WHEN 9 THEN 30 WHEN 11 THEN 30 ELSE 31 END AS days FROM k WHERE v IS NOT NULL),
+q(season, first, last, months) AS (VALUES ('DJF', 12, 2, 3), ('MAM', 3, 5, 3), ('JJA', 6, 8, 3), ('SON', 9, 11, 3), ('AC', 1, 12, 12)),
+s AS (SELECT variable_id, lat, lon, season, sum(v * days) / sum(days) AS v FROM d JOIN q ON CASE WHEN first <= last THEN month BETWEEN first AND last ELSE month >= first OR month <= last END GROUP BY variable_id, lat, lon, season, months HAVING count(*) = months),
+r(region, low, high) AS (VALUES ('global', -90, 90.1), ('NHEX', 30, 90.1), ('SHEX', -90, -30), ('TROPICS', -30, 30)),
+p AS (SELECT a.variable_id, region, season, cos(radians(lat)) AS w, a.v AS m, b.v AS o FROM s a JOIN s b USING (lat, lon, season) JOIN r ON lat >= low AND lat < high WHERE a.variable_id <> 'A' AND b.variable_id = 'A'),
+f AS (SELECT variable_id, region, season, sum((m - o) * w) / sum(w) AS bias, sum(abs(m - o) * w) / sum(w) AS mae, sqrt(sum((m - o) * (m - o) * w) / sum(w)) AS rms, sum(m * w) / sum(w) AS a, sum(o * w) / sum(w) AS b, sum(m * m * w) / sum(w) AS mm, sum(o * o * w) / sum(w) AS oo, sum(m * o * w) / sum(w) AS mo FROM p GROUP BY ALL)
+SELECT variable_id, region, season, round(bias, 3) AS bias_xy, round(mae, 3) AS mae_xy, round(rms, 3) AS rms_xy, round(sqrt(rms * rms - bias * bias), 2) AS rmsc_xy, round((mo - a * b) / (sqrt(mm - a * a) * sqrt(oo - b * b)), 4) AS cor_xy FROM f
+""")
+def annual_cycle_statistics(spark, sf_dir):
+    """Seasonal statistics of two variables against a third by bands of latitude."""
+    clim = cells(spark, sf_dir).groupBy("variable_id", "lat", "lon", "month").agg(F.avg("value").alias("value")).withColumn("level", F.lit(0.0))
+    found = annual_cycle.statistics(clim.where("variable_id <> 'A'"), clim.where("variable_id = 'A'").drop("variable_id"), ["variable_id"])
+    digits = {"bias_xy": 3, "mae_xy": 3, "rms_xy": 3, "rmsc_xy": 2, "cor_xy": 4}
+    return found.groupBy("variable_id", "region", "season").agg(*(F.round(F.max(F.when(F.col("statistic") == n, F.col("value"))), k).alias(n) for n, k in digits.items()))
+
+
+def yearly_field(spark, sf_dir):
+    """Each cell's yearly means minus the mean of its years, time being the year."""
+    y = cells(spark, sf_dir).where("value is not null").groupBy("variable_id", "lat", "lon", F.col("year").alias("time")).agg(F.avg("value").alias("v"))
+    usual = y.groupBy("variable_id", "lat", "lon").agg(F.avg("v").alias("u"))
+    return y.join(usual, ["variable_id", "lat", "lon"]).select("variable_id", "lat", "lon", "time", (F.col("v") - F.col("u")).alias("value"))
+
+
+FIELD = f"c AS {CELLS}, y AS (SELECT variable_id, lat, lon, year AS time, avg(value) AS v FROM c WHERE value IS NOT NULL GROUP BY ALL), a AS (SELECT *, v - avg(v) OVER (PARTITION BY variable_id, lat, lon) AS value, count(*) OVER (PARTITION BY variable_id, lat, lon) AS n FROM y)"
+
+
+@query(f"WITH {FIELD}, t AS (SELECT variable_id, count(DISTINCT time) AS times FROM y GROUP BY 1) SELECT variable_id, CAST(times AS INTEGER) AS modes, round(sum(value * value * cos(radians(lat))) / 1e6, 3) AS variance, 1.0::DOUBLE AS share FROM a JOIN t USING (variable_id) WHERE n = times GROUP BY 1, 2")
+def mode_variance(spark, sf_dir):
+    """All modes of a field: their variances, spread over the cells again, sum to the field's, and their shares to one."""
+    df = yearly_field(spark, sf_dir)
+    patterns, series = modes.modes(df, ["variable_id"], modes.MAX_TIMES)
+    shares = series.select("variable_id", "mode", "share").distinct().groupBy("variable_id").agg(F.count("*").cast("int").alias("modes"), F.round(F.sum("share"), 9).alias("share"))
+    times = df.groupBy("variable_id").agg(F.count_distinct("time").alias("times"))
+    total = patterns.groupBy("variable_id").agg(F.sum(F.col("value") * F.col("value") * F.cos(F.radians("lat"))).alias("v")).join(times, "variable_id")
+    return total.join(shares, "variable_id").select("variable_id", "modes", F.round(F.col("v") * F.col("times") / 1e6, 3).alias("variance"), "share")
+
+
+@query(f"WITH {FIELD}, e AS (SELECT lat, lon, avg(v) AS e FROM y WHERE variable_id = 'A' GROUP BY ALL) SELECT variable_id, time, round(sum(cos(radians(lat)) * value * e) / sum(cos(radians(lat)) * e * e), 8) AS value FROM a JOIN e USING (lat, lon) GROUP BY ALL")
+def mode_projection(spark, sf_dir):
+    """How strongly each year shows the mean field of one variable."""
+    c = cells(spark, sf_dir).where("value is not null and variable_id = 'A'")
+    pattern = c.groupBy("lat", "lon", "year").agg(F.avg("value").alias("v")).groupBy("lat", "lon").agg(F.avg("v").alias("value")).withColumn("mode", F.lit(1))
+    return modes.projected(yearly_field(spark, sf_dir), pattern, ["variable_id"]).select("variable_id", "time", F.round("value", 8).alias("value"))
