@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.operators import bundles, gridded, levels, modes, regions, regrid
+from meridian.operators import bundles, documents, gridded, levels, modes, regions, regrid
 from meridian.operators.constraints import IgnoreFacets
 from meridian.operators.outliers import OutlierPolicy
 from meridian.plans import annual_cycle, benchmarks, diagnostics, ledger, regression, requirement, results, runner
@@ -700,3 +700,39 @@ def mode_projection(spark, sf_dir):
     c = cells(spark, sf_dir).where("value is not null and variable_id = 'A'")
     pattern = c.groupBy("lat", "lon", "year").agg(F.avg("value").alias("v")).groupBy("lat", "lon").agg(F.avg("v").alias("value")).withColumn("mode", F.lit(1))
     return modes.projected(yearly_field(spark, sf_dir), pattern, ["variable_id"]).select("variable_id", "time", F.round("value", 8).alias("value"))
+
+
+# -------------------------------------------------------------------- whole documents
+
+
+def order_documents(spark, sf_dir, actual: bool):
+    """Orders as nested documents; the actual ones lack, add, retype or shift something by their key."""
+    k, price = F.col("o_orderkey"), F.col("o_totalprice")
+    shifted = F.when(k % 7 == 0, price * (1 + 2e-6)).when(k % 11 == 0, price + 100).otherwise(price) if actual else price
+    member = lambda name, value: F.concat(F.lit(f'"{name}": '), value)
+    lists = F.when((k % 5 == 0) & F.lit(actual), "[1, [2]]").otherwise("[1, [2, 3]]")
+    custkey = F.when((k % 3 == 0) & F.lit(actual), F.concat(F.lit('"'), "o_custkey", F.lit('"'))).otherwise(F.col("o_custkey").cast("string"))
+    extra = F.when((k % 13 == 0) & F.lit(actual), ', "more": {"x": null}').otherwise("")
+    doc = F.concat(F.lit('{"order": {'), member("customer", custkey), F.lit(", "), member("price", F.format_string("%.4e", shifted)), F.lit('}, "parts": '), lists, extra, F.lit("}"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", doc.alias("doc"))
+
+
+@query("""
+WITH o AS (SELECT o_orderkey AS k, o_totalprice AS p FROM orders)
+SELECT k AS o_orderkey, 'order.customer' AS path, 'retyped' AS difference FROM o WHERE k % 3 = 0
+UNION ALL SELECT k, 'order.price', 'differs' FROM o WHERE k % 11 = 0 AND k % 7 <> 0 AND 100 > 1e-4 * (p + 100) * 1.01
+UNION ALL SELECT k, 'parts[1][1]', 'missing' FROM o WHERE k % 5 = 0 UNION ALL SELECT k, 'more.x', 'extra' FROM o WHERE k % 13 = 0
+""")
+def documents_compared(spark, sf_dir):
+    """Nested documents path by path: retyped, beyond the tolerance, missing and extra."""
+    found = documents.compare_documents(order_documents(spark, sf_dir, False), order_documents(spark, sf_dir, True), ["o_orderkey"], "doc", rtol=1e-4)
+    near = found.where("difference = 'differs'").join(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey").where("100 <= 1e-4 * (o_totalprice + 100) * 1.01")
+    return found.join(near.select("o_orderkey", "path"), ["o_orderkey", "path"], "left_anti").select("o_orderkey", "path", "difference")
+
+
+@query("SELECT o_orderkey, list_transform([o_totalprice / 7, o_totalprice * 1234.567], lambda x: CAST(printf('%.6e', x) AS DOUBLE)) AS numbers, CAST(o_custkey AS BIGINT) AS whole FROM orders")
+def rounded_documents(spark, sf_dir):
+    """Every number of a document with a fraction in seven figures, whole ones as they are."""
+    doc = F.to_json(F.struct(F.array(F.struct((F.col("o_totalprice") / 7).alias("x")), F.struct((F.col("o_totalprice") * 1234.567).alias("x"))).alias("a"), F.col("o_custkey").cast("long").alias("whole"), F.lit(None).cast("string").alias("none")), {"ignoreNullFields": "false"})
+    found = table(spark, sf_dir, "orders").select("o_orderkey", F.from_json(documents.without_nulls(documents.rounded(doc)), "a array<struct<x:double>>, whole long").alias("d"))
+    return found.select("o_orderkey", F.transform("d.a", lambda v: v["x"]).alias("numbers"), "d.whole")
