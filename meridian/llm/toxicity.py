@@ -6,7 +6,9 @@ words, rates of capitals, punctuation, exclamation and obfuscated words. The lea
 lexicon, the trees and the calibration are fitted on at most ``max_labelled``
 labelled rows, those with the smallest hashes of their doc_id; rows whose
 crc32(doc_id as text) mod 5 is 0 are never among them. Lexicon and trees are fitted on
-the rows with remainders 1 to 3, the calibration on those with remainder 4.
+the rows with remainders 1 to 3, the calibration on those with remainder 4. Where either
+part lacks a label the trees are fitted on both and their own probability is the score,
+not calibrated.
 
 Edge cases: a null text counts as empty and is scored like any other; a doc_id with
 several labels counts as toxic if one of them says so; null labels and null
@@ -158,15 +160,17 @@ def score(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
         scored = vectors.withColumn("score", F.lit(0.0))
     else:
         own, other = rows.where("fold < 4"), rows.where("fold = 4")
-        enough = [d.groupBy("label").count().count() == 2 for d in (own, other)]
-        own, other = (own, other) if all(enough) else (rows, rows)
-        trees = GBTClassifier(maxIter=20, maxDepth=3, stepSize=0.2, minInstancesPerNode=LEAST_OF_CLASS, seed=17).fit(own)
+        both = all(d.groupBy("label").count().count() == 2 for d in (own, other))
+        trees = GBTClassifier(maxIter=20, maxDepth=3, stepSize=0.2, minInstancesPerNode=LEAST_OF_CLASS, seed=17).fit(own if both else rows)
 
         def raw(df: DataFrame) -> DataFrame:
             return trees.transform(df).withColumn("raw", vector_to_array("probability")[1])
 
-        steps = IsotonicRegression(featuresCol="raw", predictionCol="score").fit(raw(other).select("label", "raw"))
-        scored = steps.transform(raw(vectors))
+        if both:
+            steps = IsotonicRegression(featuresCol="raw", predictionCol="score").fit(raw(other).select("label", "raw"))
+            scored = steps.transform(raw(vectors))
+        else:  # no rows that the trees have not seen hold both labels: nothing to calibrate on
+            scored = raw(vectors).withColumn("score", F.col("raw"))
     scored = scored.withColumn("score", F.least(F.greatest("score", F.lit(0.0)), F.lit(1.0)))
     held_out = F.coalesce(fold() == 0, F.lit(False))
     return scored.select("doc_id", TEXT_HASH, held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

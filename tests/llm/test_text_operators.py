@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import zlib
 import re
 import zlib
 
@@ -427,10 +428,63 @@ def test_license_recall_and_precision(spark):
     assert recall >= 0.85 and precision >= 0.9
 
 
-def test_license_bound_dismisses_nothing_that_counts(spark, monkeypatch):
-    """With every candidate judged in full the result is the same."""
-    texts = ["She studied at MIT and works on software.", "Licensed under the MIT License. And more words follow here.", "x y z", "Released under the GPL. All rights reserved.", ""] + noise(5, 40)
+class JudgedInFull(licenses.LicenseModel):
+    """Every span counts as a candidate. The model goes to the workers as it is, so that they use this one."""
+
+    def lead(self):
+        return np.full(len(self.weights), 1e9)
+
+
+LICENSED = [
+    "She studied at MIT and works on software.", "Licensed under the MIT License. And more words follow here.", "x y z", "Released under the GPL. All rights reserved.", "", "   \n\n  ",
+    "First line of some text.\nThis work is licensed under the Apache License, Version 2.0.\nAnother line.\n\nDistributed under the GNU General Public License, version 3.",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation\nfiles, to deal in the Software without restriction. Word word word.",
+]
+
+
+def judged_one_by_one(model, texts):
+    """Every span on its own, in the order of lines, sentences and runs."""
+    found = []
+    for d, text in enumerate(texts):
+        lines = licenses.paragraphs(text)
+        whole = licenses.blocks(list(lines), text)
+        firsts = [b[0] for b in whole]
+        spans = [(k, a, b, licenses.LEAST_SIMILARITY) for k, (a, b) in enumerate(lines)]
+        spans += [(k, a, b, licenses.LEAST_SIMILARITY) for k, *block in whole for a, b in licenses.sentences(text, *block) if (a, b) not in set(lines)]
+        keys = [w for w in licenses._KEYS if w in text.lower()]
+        spans += [(k, a, b, licenses.RUN_SIMILARITY) for k, *block in whole if keys for a, b in licenses.runs(text, *block, keys)]
+        taken = []
+        for k, a, b, least in spans:
+            (p,) = model.probabilities(model.logits(*licenses.numbers([text[a:b]]), 1))
+            family = licenses.FAMILIES[int(p.argmax())]
+            if family == licenses.UNKNOWN or p.max() < licenses.LEAST_PROBABILITY:
+                continue
+            share, block = licenses.similarity(text[a:b], family), max(f for f in firsts if f <= k)
+            if share >= least and all(b <= y or z <= a for x, f, y, z in taken if (x, f) == (block, family)):
+                taken.append((block, family, a, b))
+                found.append((d, k, a, b, family, round(float(p.max()), 9), round(share, 9)))
+    return sorted(found)
+
+
+def test_licenses_equal_a_plain_version_and_the_bound_dismisses_nothing(spark):
+    """Span by span in plain Python; and with every span judged in full by the workers."""
+    import dataclasses
+
+    texts = LICENSED + noise(5, 40)
     model = licenses.train([])
-    own = {tuple(r) for r in licenses.find_licenses(frame(spark, texts), model).collect()}
-    monkeypatch.setattr(licenses.LicenseModel, "lead", lambda self: np.full(len(self.weights), 1e9))
-    assert own == {tuple(r) for r in licenses.find_licenses(frame(spark, texts), model).collect()} and own
+    full = JudgedInFull(**{f.name: getattr(model, f.name) for f in dataclasses.fields(model)})
+    own, every = (sorted((*tuple(r)[:5], round(r["probability"], 9), round(r["similarity"], 9)) for r in licenses.find_licenses(frame(spark, texts), m).collect()) for m in (model, full))
+    assert own == every == judged_one_by_one(model, texts) and len(own) >= 3
+
+
+def test_toxicity_without_rows_to_calibrate_on_is_not_calibrated_on_training_rows(spark):
+    """With all toxic labels in one part the score is the trees' own probability."""
+    rng = random.Random(6)
+    ids = [i for i in range(900) if zlib.crc32(str(i).encode()) % 5 != 0]
+    part = {i: zlib.crc32(str(i).encode()) % 5 for i in ids}
+    bad = {i for i in ids if part[i] < 4 and rng.random() < 0.4}
+    texts = ["you stupid idiot " * 3 if k in bad else "a calm and quiet note about rivers " * 3 for k in range(900)]
+    labels = spark.createDataFrame([(i, int(i in bad)) for i in ids], "doc_id long, toxic int")
+    rows = toxicity.score(frame(spark, texts), labels).collect()
+    scores = {round(r.score, 6) for r in rows}
+    assert all(r.predicted == int(r.doc_id in bad) for r in rows if r.doc_id in part) and 0.0 not in scores and 1.0 not in scores
