@@ -300,13 +300,14 @@ def required_references(spark, sf_dir):
 
 
 @query("""
-SELECT * FROM (SELECT 'error' AS severity, count(*) AS n FROM (SELECT DISTINCT s_nationkey FROM supplier WHERE s_suppkey % 2 = 0 AND s_nationkey NOT IN (SELECT c_nationkey FROM customer WHERE c_custkey % 200 = 1))
-UNION ALL SELECT 'info', count(DISTINCT c_mktsegment) FROM customer WHERE c_custkey % 200 = 1 AND c_mktsegment <> 'need') WHERE n > 0
+SELECT * FROM (SELECT 'error' AS severity, count(*) AS n FROM (SELECT DISTINCT s_nationkey FROM supplier WHERE s_nationkey NOT IN (SELECT c_nationkey - c_nationkey % 2 FROM customer))
+UNION ALL SELECT 'info', count(DISTINCT c_mktsegment) FROM customer) WHERE n > 0
 """)
 def findings_by_severity(spark, sf_dir):
-    have = table(spark, sf_dir, "customer").where("c_custkey % 200 = 1").select(F.lit("need").alias("source_type"), F.col("c_nationkey").alias("source_id"), "c_mktsegment")
+    """References of nations with an odd number are missing; no requirement asks for segments."""
+    have = table(spark, sf_dir, "customer").select(F.lit("need").alias("source_type"), (F.col("c_nationkey") - F.col("c_nationkey") % 2).alias("source_id"), "c_mktsegment")
     have = have.select("source_type", "source_id").unionByName(have.select(F.col("c_mktsegment").alias("source_type"), "source_id"))
-    need = table(spark, sf_dir, "supplier").where("s_suppkey % 2 = 0").select(F.lit("need").alias("source_type"), F.col("s_nationkey").alias("source_id")).distinct()
+    need = table(spark, sf_dir, "supplier").select(F.lit("need").alias("source_type"), F.col("s_nationkey").alias("source_id")).distinct()
     return doctor.severity_counts(doctor.run_checks({"datasets": have, "required": need}, names=["missing-reference", "unreachable-type"]))
 
 
@@ -323,10 +324,15 @@ def covered_twice(spark, sf_dir):
     return doctor.run_checks({"files": files}, names=["duplicate-coverage"]).select("check", "subject", "message")
 
 
-@query("SELECT 'missing-reference' AS \"check\", 'error' AS severity, 'required' AS subject, 'the check could not run' AS message")
+@query(f"""
+SELECT 'duplicate-coverage' AS "check", CAST(user_id AS VARCHAR) AS subject, 'covered twice: ' || row_id AS message FROM (SELECT *, max(end_ord + 7200) OVER (PARTITION BY user_id ORDER BY start_ord, CAST(row_id AS VARCHAR) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS until FROM {EVENTS}) WHERE start_ord <= until
+UNION ALL SELECT 'missing-reference', 'required', 'the check could not run' UNION ALL SELECT 'overlapping-registries', 'registry', 'the check could not run'
+""")
 def failing_check(spark, sf_dir):
-    """A check without its tables is itself a finding."""
-    return doctor.run_checks({"datasets": table(spark, sf_dir, "region")}, "error", names=["missing-reference"])
+    """Checks without their tables are findings, beside those of a check that has them."""
+    files = event_rows(spark, sf_dir).select(F.col("user_id").alias("dataset_id"), F.col("row_id").cast("string").alias("path"), "start_ord", (F.col("end_ord") + 7200).alias("end_ord"))
+    found = doctor.run_checks({"files": files, "datasets": files}, names=["duplicate-coverage", "missing-reference", "overlapping-registries"])
+    return found.select("check", "subject", "message")
 
 
 # -------------------------------------------------------------- catalogue changes
@@ -473,10 +479,10 @@ def number_helpers(spark, sf_dir):
     )
 
 
-@query("SELECT o_orderkey, o_totalprice AS x FROM orders WHERE o_totalprice BETWEEN 1000 AND 99999")
+@query("SELECT o_orderkey, CAST(printf('%.6e', o_totalprice / 7) AS DOUBLE) AS x FROM orders")
 def seven_figures(spark, sf_dir):
-    """Seven figures of a price hold all its cents."""
-    return table(spark, sf_dir, "orders").where("o_totalprice between 1000 and 99999").select("o_orderkey", fn.seven_figures(F.col("o_totalprice")).alias("x"))
+    """A seventh of a price has more figures than stay."""
+    return table(spark, sf_dir, "orders").select("o_orderkey", fn.seven_figures(F.col("o_totalprice") / 7).alias("x"))
 
 
 # ----------------------------------------------------------------------- calendars
@@ -535,3 +541,17 @@ def folder_names(spark, sf_dir):
     name = fn.folder_name(selectors, F.col("c_custkey"), F.col("c_nationkey") % 3 + 1)
     rows = table(spark, sf_dir, "customer").select("c_custkey", name.alias("name"))
     return rows.select("c_custkey", F.expr("left(name, length(name) - 8)").alias("head"), F.length(F.regexp_extract("name", "[0-9a-f]{8}$", 0)).alias("digits"))
+
+
+@query("""
+SELECT c_custkey, strftime(DATE '1870-01-01' + INTERVAL (c_custkey) DAY, '%Y-%m-%d %H:%M:%S') AS child_start,
+  strftime(DATE '1870-01-01' + INTERVAL (c_custkey) DAY + (DATE '1850-01-01' + INTERVAL 36500 DAY - (DATE '1860-03-01' + INTERVAL (c_custkey % 100) HOUR)), '%Y-%m-%d %H:%M:%S') AS parent_start FROM customer
+""")
+def branch_times_of_two_units(spark, sf_dir):
+    """Children count hours from 1860, parents days from 1850."""
+    k = F.col("c_custkey")
+    start = F.date_format(F.date_add(F.lit("1870-01-01").cast("date"), k.cast("int")), "yyyy-MM-dd")
+    children = table(spark, sf_dir, "customer").select("c_custkey", F.lit(36500.0).alias("branch_time_in_parent"), (k % 100).cast("double").alias("branch_time_in_child"), F.lit("hours since 1860-03-01").alias("time_units"), F.lit("standard").alias("calendar"), start.alias("start_time"))
+    parents = table(spark, sf_dir, "customer").select("c_custkey", F.lit("days since 1850-01-01").alias("time_units"), F.lit("standard").alias("calendar"))
+    rows = diagnostics.branch_aligned(children, parents, ["c_custkey"])
+    return rows.select("c_custkey", cal.time_text(F.col("child_start")).alias("child_start"), cal.time_text(F.col("parent_start")).alias("parent_start"))

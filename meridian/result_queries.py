@@ -62,9 +62,9 @@ def scalar_values_screened(spark, sf_dir):
     return shown.groupBy("statistic").agg(F.count("*").alias("n"))
 
 
-@query(f"SELECT execution_id, statistic, 'm' AS metric, 'model' AS kind, value, NOT (value > 50000) AS small FROM {SCALARS} WHERE execution_id < 300")
+@query(f"SELECT execution_id, statistic, 'm' AS metric, 'model' AS kind, value, NOT (value > 50000) AS small FROM {SCALARS}")
 def values_handed_out(spark, sf_dir):
-    df = reader(spark, sf_dir).select("scalar", results.ValueFilter(promoted_only=False, include_retracted=True)).where("execution_id < 300")
+    df = reader(spark, sf_dir).select("scalar", results.ValueFilter(promoted_only=False, include_retracted=True))
     return results.values_frame(df, ["statistic", "metric"]).select("execution_id", "statistic", "metric", "kind", "value", (~(F.col("value") > 50000)).alias("small"))
 
 
@@ -164,14 +164,15 @@ def execution_links(spark, sf_dir):
 
 @query(f"""
 WITH gone AS (SELECT group_id FROM {GROUPS} WHERE provider = 'BUILDING'), r AS (SELECT id FROM {RUNS} WHERE group_id IN (SELECT * FROM gone))
-SELECT 'groups' AS name, count(*) AS n FROM {GROUPS} WHERE group_id NOT IN (SELECT * FROM gone) UNION ALL SELECT 'executions', count(*) FROM {RUNS} WHERE group_id NOT IN (SELECT * FROM gone)
-UNION ALL SELECT 'values', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT * FROM r)
+SELECT 'groups' AS name, group_id AS id, 0 AS part FROM {GROUPS} WHERE group_id NOT IN (SELECT * FROM gone) UNION ALL SELECT 'executions', id, 0 FROM {RUNS} WHERE group_id NOT IN (SELECT * FROM gone)
+UNION ALL SELECT 'values', l_orderkey, l_partkey FROM lineitem WHERE l_orderkey NOT IN (SELECT * FROM r)
 """)
 def deleted_groups(spark, sf_dir):
-    values = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "execution_id")
+    """What is left of groups, executions and values without one provider's groups."""
+    values = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("execution_id"), F.col("l_orderkey").alias("id"), F.col("l_partkey").alias("part"))
     left = ledger.delete_groups(groups(spark, sf_dir), {"values": values}, executions(spark, sf_dir), F.col("provider") == "BUILDING")
-    counts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name, df in left.items()]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    rows = [df.select(F.lit(name).alias("name"), "id", (F.col("part") if name == "values" else F.lit(0)).cast("long").alias("part")) for name, df in left.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
 @query("SELECT o_orderkey AS id, CASE WHEN o_orderkey % 4 = 0 AND o_orderkey % 8 <> 0 THEN o_totalprice ELSE 1.0 END AS wall_seconds FROM orders")
@@ -190,16 +191,20 @@ def candidates(spark, sf_dir) -> DataFrame:
 
 
 @query(f"""
-WITH l AS (SELECT * FROM {RUNS} QUALIFY row_number() OVER (PARTITION BY group_id ORDER BY created_at DESC, id DESC) = 1), e AS (SELECT * FROM {GROUPS} WHERE group_id % 2 = 0)
-SELECT 'groups' AS name, (SELECT count(*) FROM {GROUPS}) + count(*) AS n FROM e
-UNION ALL SELECT 'started', 2 * count(*) FROM e
-UNION ALL SELECT 'all', (SELECT count(*) FROM {RUNS}) + 2 * count(*) FROM e
+WITH e AS (SELECT provider, diagnostic, diagnostic_version, dataset_key, dirty FROM {GROUPS} WHERE group_id % 2 = 0)
+SELECT *, 'new' AS dataset_hash, 1 AS runs FROM e UNION ALL SELECT * REPLACE (dataset_key || '-x' AS dataset_key, true AS dirty), 'new', 1 FROM e
+UNION ALL SELECT provider, diagnostic, diagnostic_version, dataset_key, dirty, 'old', (SELECT count(*) FROM {RUNS} r WHERE r.group_id = g.group_id) FROM {GROUPS} g
 """)
 def solved_ledger(spark, sf_dir):
+    """After a solve: what was started, by the key of its group, and beside it how many executions each old group had before."""
     every, runs = ledger.solved(candidates(spark, sf_dir), groups(spark, sf_dir), executions(spark, sf_dir), now())
-    parts = {"groups": every, "started": runs.where("dataset_hash = 'new' and successful is null"), "all": runs.join(every.select(F.col("id").alias("group_id")).unionByName(runs.select("group_id")).distinct(), "group_id")}
-    counts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name, df in parts.items()]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    key = ["provider", "diagnostic", "diagnostic_version", "dataset_key", "dirty"]
+    of = every.select(F.col("id").alias("group_id"), *key)
+    new = F.col("dataset_hash") == "new"
+    started = runs.where(new).where("successful is null").join(of, "group_id").select(*key, "dataset_hash").withColumn("runs", F.lit(1).cast("long"))
+    before = runs.where(~new).groupBy("group_id").agg(F.count("*").alias("runs"))
+    old = of.where(~F.col("dataset_key").endswith("-x")).join(before, "group_id", "left").select(*key, F.lit("old").alias("dataset_hash"), F.coalesce("runs", F.lit(0)).alias("runs"))
+    return started.unionByName(old)
 
 
 FIRSTS = f"""(SELECT f.id, f.group_id FROM (SELECT * FROM {RUNS} QUALIFY row_number() OVER (PARTITION BY group_id ORDER BY created_at, id) = 1) f
@@ -217,14 +222,15 @@ def reconstructed_executions(spark, sf_dir):
 
 @query(f"""
 WITH whole AS (SELECT l_orderkey FROM lineitem JOIN {RUNS} r ON r.id = l_orderkey GROUP BY 1 HAVING bool_and(l_linenumber <> 7))
-SELECT 'executions' AS name, (SELECT count(*) FROM {RUNS}) + count(*) AS n FROM whole UNION ALL SELECT 'values', count(*) FROM lineitem WHERE l_orderkey IN (SELECT * FROM whole)
+SELECT group_id, r.id = l_orderkey AS known, l_quantity, l_partkey FROM lineitem JOIN {RUNS} r ON r.id = l_orderkey WHERE l_orderkey IN (SELECT * FROM whole)
 """)
 def reingested_results(spark, sf_dir):
-    """New executions for the runs whose results were read whole, and nothing of the others."""
+    """The values that were read whole, each under a new, successful execution of its group; nothing of the others."""
     runs = executions(spark, sf_dir)
-    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("execution_id"), (F.col("l_linenumber") != 7).alias("whole"), "l_quantity").join(runs.select(F.col("id").alias("execution_id")), "execution_id", "left_semi")
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("execution_id"), (F.col("l_linenumber") != 7).alias("whole"), "l_quantity", "l_partkey").join(runs.select(F.col("id").alias("execution_id")), "execution_id", "left_semi")
     every, values = ledger.reingested(runs, rows, now())
-    return every.agg(F.count("*").alias("n")).select(F.lit("executions").alias("name"), "n").unionByName(values.agg(F.count("*").alias("n")).select(F.lit("values").alias("name"), "n"))
+    made = every.join(runs.select("id"), "id", "left_anti").where(F.col("successful") & (F.col("created_at") == now())).select(F.col("id").alias("execution_id"), "group_id")
+    return values.join(made, "execution_id").select("group_id", F.lit(True).alias("known"), "l_quantity", "l_partkey")
 
 
 # ------------------------------------------------------------------------- solving
@@ -414,12 +420,12 @@ def cloud_effects(spark, sf_dir):
 @query(f"""
 WITH c AS {CELLS}, b AS (SELECT variable_id, year, month, {MEAN} AS value FROM (SELECT variable_id, year, month, value, coalesce(area, cos(radians(lat))) AS area FROM c WHERE lat BETWEEN -5 AND 5 AND lon BETWEEN 190 AND 240) GROUP BY ALL),
 u AS (SELECT variable_id, month, avg(value) AS usual FROM b GROUP BY ALL), i AS (SELECT b.variable_id, b.year, b.month, value - usual AS x FROM b JOIN u ON b.variable_id = u.variable_id AND b.month = u.month)
-SELECT c.variable_id, c.lat, count(*) AS n, round(regr_slope(value, x), 3) AS slope FROM c JOIN i ON c.variable_id = i.variable_id AND c.year = i.year AND c.month = i.month WHERE lon = 100 GROUP BY ALL
+SELECT c.variable_id, c.lat, c.lon, count(*) AS n, round(regr_slope(value, x), 3) AS slope FROM c JOIN i ON c.variable_id = i.variable_id AND c.year = i.year AND c.month = i.month GROUP BY ALL
 """)
 def enso_teleconnection(spark, sf_dir):
     c = cells(spark, sf_dir)
-    found = diagnostics.enso_teleconnection(c, c.where("lon = 100"), ["variable_id"])
-    return found.select("variable_id", "lat", "n", F.round("slope", 3).alias("slope"))
+    found = diagnostics.enso_teleconnection(c, c, ["variable_id"])
+    return found.select("variable_id", "lat", "lon", "n", F.round("slope", 3).alias("slope"))
 
 
 @query(f"""
