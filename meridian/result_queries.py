@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.operators import bundles, documents, gridded, levels, modes, regions, regrid
+from meridian.operators import bundles, documents, enso, gridded, levels, modes, regions, regrid
 from meridian.operators.constraints import IgnoreFacets
 from meridian.operators.outliers import OutlierPolicy
 from meridian.plans import annual_cycle, benchmarks, diagnostics, ledger, regression, requirement, results, runner
@@ -742,3 +742,69 @@ def rounded_documents(spark, sf_dir):
     doc = F.to_json(F.struct(F.array(F.struct((F.col("o_totalprice") / 7).alias("x")), F.struct((F.col("o_totalprice") * 1234.567).alias("x"))).alias("a"), F.col("o_custkey").cast("long").alias("whole"), F.lit(None).cast("string").alias("none")), {"ignoreNullFields": "false"})
     found = table(spark, sf_dir, "orders").select("o_orderkey", F.from_json(documents.without_nulls(documents.rounded(doc)), "a array<struct<x:double>>, whole long").alias("d"))
     return found.select("o_orderkey", F.transform("d.a", lambda v: v["x"]).alias("numbers"), "d.whole")
+
+
+# ------------------------------------------------------------------------ life cycles
+
+
+def order_index(spark, sf_dir):
+    """Orders' mean price by priority and month as an index; every seventeenth month of a priority is missing."""
+    o = table(spark, sf_dir, "orders")
+    t = enso.month_number(F.year("o_orderdate"), F.month("o_orderdate")).cast("long")
+    rows = o.groupBy(F.col("o_orderpriority").alias("k"), t.alias("time")).agg(F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("s"), F.count("*").alias("n"))
+    return rows.where((F.col("time") + F.length("k")) % 17 != 0).select("k", "time", ((F.col("s") / F.col("n") / 100 - 200000) / 20000 + F.sin(F.col("time") / 5)).alias("value"))
+
+
+INDEX = """i AS MATERIALIZED (SELECT k, time, (s / n / 100 - 200000) / 20000 + sin(time / 5) AS value FROM (SELECT o_orderpriority AS k, CAST(year(o_orderdate) * 12 + month(o_orderdate) - 1 AS BIGINT) AS time, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) AS s, count(*) AS n FROM orders GROUP BY 1, 2) WHERE (time + length(k)) % 17 <> 0)"""
+INDEX_EVENTS = f"""{INDEX}, b AS (SELECT *, CASE WHEN value >= 0.5 THEN 'warm' ELSE 'cold' END AS kind FROM i WHERE abs(value) >= 0.5), r AS (SELECT *, time - row_number() OVER (PARTITION BY k, kind ORDER BY time) AS run FROM b),
+e AS (SELECT k, kind, min(time) AS start, max(time) AS "end", count(*) AS months, arg_max(time, (abs(value), -time)) AS peak_time, arg_max(value, (abs(value), -time)) AS peak FROM r GROUP BY k, kind, run HAVING count(*) >= 5)"""
+
+
+@query(f'WITH {INDEX_EVENTS} SELECT k, kind, start, "end", months, peak_time, round(peak, 6) AS peak FROM e')
+def index_events(spark, sf_dir):
+    """Runs of consecutive months, broken by missing ones."""
+    return enso.events(order_index(spark, sf_dir), ["k"]).withColumn("peak", F.round("peak", 6))
+
+
+@query(f"WITH {INDEX_EVENTS} SELECT e.k, kind, CAST(lag AS INTEGER) AS lag, round(avg(value), 6) AS value, count(*) AS n FROM e, range(-12, 13) l(lag), i WHERE i.k = e.k AND i.time = peak_time + lag GROUP BY 1, 2, 3")
+def index_composites(spark, sf_dir):
+    """The mean course of events around their peaks."""
+    df = order_index(spark, sf_dir)
+    return enso.composites(df, enso.events(df, ["k"]), ["k"]).withColumn("value", F.round("value", 6))
+
+
+@query(f"WITH {INDEX}, d AS (SELECT i.k, time, value - (mv + coalesce(slope, 0) * (time - mt)) AS value FROM i JOIN (SELECT k, regr_slope(value, time) AS slope, avg(time) AS mt, avg(value) AS mv FROM i GROUP BY 1) f ON i.k = f.k), w AS (SELECT k, time, avg(value) OVER x AS value, count(*) OVER x AS n FROM d WINDOW x AS (PARTITION BY k ORDER BY time RANGE BETWEEN 2 PRECEDING AND 2 FOLLOWING)) SELECT k, time, round(value, 6) AS value FROM w WHERE n = 5")
+def index_smoothed(spark, sf_dir):
+    """Detrended, then means of five months where all five are there."""
+    return enso.smoothed(enso.detrended(order_index(spark, sf_dir), ["k"]), ["k"]).withColumn("value", F.round("value", 6))
+
+
+def _metrics_sql(name: str, source: str, key: str) -> str:
+    """The metrics of an index table (k, time, value) and its events."""
+    return f"""{name}_p AS (SELECT a.k, stddev_pop(a.value) AS amplitude, avg(power(a.value - m.m, 3)) / power(stddev_pop(a.value), 3) AS asymmetry, stddev_pop(CASE WHEN a.time % 12 IN (10, 11, 0) THEN a.value END) / stddev_pop(CASE WHEN a.time % 12 IN (2, 3, 4) THEN a.value END) AS seasonality, corr(a.value, b.value) AS persistence
+  FROM {source} a JOIN (SELECT k, avg(value) AS m FROM {source} GROUP BY 1) m ON m.k = a.k LEFT JOIN {source} b ON b.k = a.k AND b.time = a.time - 1 GROUP BY 1),
+{name}_m AS (SELECT p.*, coalesce(w, 0) AS warm_events, coalesce(c, 0) AS cold_events, duration FROM {name}_p p LEFT JOIN (SELECT k, count(*) FILTER (kind = 'warm') AS w, count(*) FILTER (kind = 'cold') AS c, avg(months) AS duration FROM e WHERE {key} GROUP BY 1) x ON p.k = x.k),
+{name} AS (SELECT k, metric, value FROM (SELECT k, amplitude, asymmetry, seasonality, persistence, CAST(warm_events AS DOUBLE) AS warm_events, CAST(cold_events AS DOUBLE) AS cold_events, CAST(duration AS DOUBLE) AS duration FROM {name}_m) UNPIVOT INCLUDE NULLS (value FOR metric IN (amplitude, asymmetry, seasonality, persistence, warm_events, cold_events, duration)))"""
+
+
+@query(f"""WITH {INDEX_EVENTS}, im AS (SELECT * FROM i WHERE k <> '1-URGENT'), ir AS (SELECT * FROM i WHERE k = '1-URGENT'), {_metrics_sql("mm", "im", "k <> '1-URGENT'")}, {_metrics_sql("rr", "ir", "k = '1-URGENT'")},
+c AS (SELECT e.k, lag, avg(value) AS v FROM e, range(-12, 13) l(lag), i WHERE kind = 'warm' AND i.k = e.k AND i.time = peak_time + lag GROUP BY 1, 2)
+SELECT mm.k, metric, round(mm.value, 5) AS model, round(rr.value, 5) AS reference, round(CASE WHEN rr.value <> 0 THEN 100 * (mm.value - rr.value) / abs(rr.value) END, 3) AS error FROM mm JOIN rr USING (metric)
+UNION ALL SELECT a.k, 'lifecycle', NULL, NULL, round(sqrt(avg(power(a.v - b.v, 2))), 3) FROM c a JOIN c b ON a.lag = b.lag AND b.k = '1-URGENT' WHERE a.k <> '1-URGENT' GROUP BY 1""")
+def index_metric_matrix(spark, sf_dir):
+    """Four priorities' indices against that of the most urgent one."""
+    df = order_index(spark, sf_dir)
+    found = enso.metric_matrix(df.where("k <> '1-URGENT'"), df.where("k = '1-URGENT'").drop("k"), ["k"])
+    return found.select("k", "metric", F.round("model", 5).alias("model"), F.round("reference", 5).alias("reference"), F.round("error", 3).alias("error"))
+
+
+@query(f"""WITH c AS {CELLS}, z AS (SELECT variable_id, lon, sum(value * cos(radians(lat))) / sum(CASE WHEN value IS NOT NULL THEN cos(radians(lat)) END) AS value FROM c WHERE lat BETWEEN -5 AND 5 AND lon BETWEEN 150 AND 270 GROUP BY ALL), m AS (SELECT variable_id, lat, avg(value) AS value FROM c WHERE lat BETWEEN -15 AND 15 AND lon BETWEEN 150 AND 270 GROUP BY ALL)
+SELECT 'lon' AS axis, a.variable_id, round(sqrt(avg(power(a.value - b.value, 2))), 3) AS error FROM z a JOIN z b ON a.lon = b.lon AND b.variable_id = 'A' GROUP BY 2 UNION ALL SELECT 'lat', a.variable_id, round(sqrt(avg(power(a.value - b.value, 2))), 3) FROM m a JOIN m b ON a.lat = b.lat AND b.variable_id = 'A' GROUP BY 2""")
+def profile_errors(spark, sf_dir):
+    """Zonal and meridional profiles of the equatorial Pacific against those of one variable."""
+    c = cells(spark, sf_dir)
+    found = []
+    for axis, profile in (("lon", enso.zonal_profile(c, ["variable_id"])), ("lat", enso.meridional_profile(c, ["variable_id"]))):
+        error = enso.profile_error(profile, profile.where("variable_id = 'A'").drop("variable_id"), ["variable_id"], axis)
+        found.append(error.select(F.lit(axis).alias("axis"), "variable_id", F.round("value", 3).alias("error")))
+    return found[0].unionByName(found[1])
