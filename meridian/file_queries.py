@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meridian.functions import calendars as cal
-from meridian.queries import query, table
-from meridian.sources import netcdf, paths
+from meridian.functions.catalog import null_to_nan
+from meridian.operators import bundles
+from meridian.plans import regression
+from meridian.queries import part_datasets, query, table
+from meridian.sources import catalogs, files, netcdf, paths
 from meridian.sources.folders import file_system
 from meridian.sources.shared import fresh_folder
 from meridian.streaming.folders import Catalog, ingest_folders
@@ -81,3 +84,112 @@ def headers_of_files(spark, sf_dir):
     rows = valid.withColumns({c: cal.time_text(F.col(c)) for c in ("start_time", "end_time")}).unionByName(left_out, allowMissingColumns=True)
     key = F.regexp_extract("path", r"s(\d+)\.nc", 1).cast("long").alias("s_suppkey")
     return rows.select(key, "source_id", "start_time", "end_time", "vertical_levels", "init_year", "long_name", "units", "invalid_asset")
+
+
+def file_names(spark, sf_dir) -> DataFrame:
+    """A file for each supplier, in a folder of its nation or one below; every sixth is no result."""
+    k, n = F.col("s_suppkey"), F.col("s_nationkey")
+    name = F.concat(F.lit("n"), n, F.when(k % 4 == 0, "/deep/er").otherwise(""), F.lit("/f"), k, F.when(k % 6 == 0, ".txt").otherwise(".nc"))
+    return table(spark, sf_dir, "supplier").select(name.alias("name"), F.col("s_name").cast("binary").alias("content"))
+
+
+def _number_in_name(path: str) -> dict:
+    """The number in a file's name; those that nine divides count as unreadable."""
+    k = int(path.rpartition("/f")[2].partition(".")[0])
+    if k % 9 == 0:
+        raise ValueError("nine")
+    return {"k": k}
+
+
+@query("""
+SELECT s_suppkey AS k, s_suppkey % 4 <> 0 AS shallow, CASE WHEN s_suppkey % 9 = 0 THEN 'ValueError: nine' END AS invalid_asset FROM supplier WHERE s_suppkey % 6 <> 0
+""")
+def discovered_files(spark, sf_dir):
+    """Files found by pattern and depth, read by a function of one's own; those on which it fails stand beside with their error."""
+    root = fresh_folder(spark, "found")
+    write_files(file_names(spark, sf_dir), root)
+    found = files.discover(spark, [root])
+    shallow = files.discover(spark, [root], depth=1).withColumn("shallow", F.lit(True))
+    valid, left_out = files.split_invalid(files.parse(found, _number_in_name, "k long"))
+    named = left_out.withColumn("k", F.regexp_extract("path", r"/f(\d+)\.nc", 1).cast("long"))
+    rows = valid.unionByName(named, allowMissingColumns=True).join(shallow, "path", "left")
+    return rows.select("k", F.coalesce("shallow", F.lit(False)).alias("shallow"), "invalid_asset")
+
+
+@query("SELECT 'f' || s_suppkey || CASE WHEN s_suppkey % 6 = 0 THEN '.txt' ELSE '.nc' END AS name, sha256(s_name) AS sha256 FROM supplier WHERE s_suppkey % 4 = 1")
+def file_digests(spark, sf_dir):
+    """The digests of named files of a folder; names that are not there give nothing."""
+    root = fresh_folder(spark, "baseline")
+    rows = file_names(spark, sf_dir).withColumn("name", F.element_at(F.split("name", "/"), -1))
+    write_files(rows, root)
+    last = table(spark, sf_dir, "supplier").agg(F.max("s_suppkey")).first()[0]
+    wanted = [f"f{k}{'.txt' if k % 6 == 0 else '.nc'}" for k in range(1, last + 1, 4)]
+    return regression.digests(spark, root, [*wanted, "absent.nc"])
+
+
+@query("SELECT l_returnflag, l_linestatus, sum(l_quantity) AS value FROM lineitem GROUP BY 1, 2")
+def bundle_written_and_read(spark, sf_dir):
+    """A result file as it is written, read back and opened."""
+    path = fresh_folder(spark, "bundle")
+    flat = table(spark, sf_dir, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(F.sum("l_quantity").alias("value"))
+    dims = ["l_returnflag", "l_linestatus"]
+    catalogs.write_bundle(bundles.nest(flat, dims), path, dims)
+    read = catalogs.read_bundle(spark, path)
+    order = read.first()["json_structure"]  # the names of the dimensions
+    return bundles.flatten(read.select("results"), "results", order).select("l_returnflag", "l_linestatus", "value")
+
+
+@query("SELECT CASE WHEN n_nationkey % 3 = 0 THEN 'plot' WHEN n_nationkey % 3 = 1 THEN 'data' ELSE 'html' END AS output_type, n_name AS short_name, 'out/' || n_nationkey AS filename, n_name || ' of ' || n_regionkey AS long_name FROM nation")
+def outputs_written_and_read(spark, sf_dir):
+    """The registered files of an execution, written and read back."""
+    path = fresh_folder(spark, "outputs")
+    k = F.col("n_nationkey")
+    rows = table(spark, sf_dir, "nation").select(
+        F.when(k % 3 == 0, "plot").when(k % 3 == 1, "data").otherwise("html").alias("output_type"), F.col("n_name").alias("short_name"), F.concat(F.lit("out/"), k).alias("filename"), F.concat("n_name", F.lit(" of "), "n_regionkey").alias("long_name"),
+    )
+    catalogs.write_outputs(rows, path)
+    return catalogs.read_outputs(spark, path).select("output_type", "short_name", "filename", "long_name")
+
+
+@query("SELECT vec_id, CASE WHEN vec_id % 3 = 0 THEN 'reference' ELSE 'model' END AS kind, list_transform(embedding, lambda x: round(CAST(x AS DOUBLE), 5)) AS values FROM embeddings")
+def series_written_and_read(spark, sf_dir):
+    """Whole embeddings as series, written and read back."""
+    path = fresh_folder(spark, "series")
+    e = table(spark, sf_dir, "embeddings")
+    rows = e.select(
+        F.create_map(F.lit("vec"), F.col("vec_id").cast("string")).alias("dimensions"), F.col("embedding").cast("array<double>").alias("values"), F.transform(F.sequence(F.lit(1), F.size("embedding")), lambda k: k.cast("string")).alias("index"),
+        F.lit("k").alias("index_name"), F.when(F.col("vec_id") % 3 == 0, "reference").otherwise("model").alias("kind"),
+    )
+    catalogs.write_series(rows, path)
+    found = spark.read.schema(catalogs.SERIES).json(path)
+    found = found.withColumns({"values": null_to_nan(F.col("values")), "kind": F.coalesce("kind", F.lit("model"))})
+    return found.select(F.col("dimensions")["vec"].cast("long").alias("vec_id"), "kind", F.transform("values", lambda v: F.round(v, 5)).alias("values"))
+
+
+@query("SELECT p_brand AS source, p_type AS region, 'x' AS analysis, CAST(p_size AS VARCHAR) AS name, CAST(min(p_partkey) AS VARCHAR) AS value FROM part GROUP BY 1, 2, 4")
+def metric_tables_read(spark, sf_dir):
+    """Metric tables of several CSV files in one, each key once: the first of its rows in the first file."""
+    path = fresh_folder(spark, "tables")
+    rows = table(spark, sf_dir, "part").select(F.col("p_brand").alias("source"), F.col("p_type").alias("region"), F.lit("x").alias("analysis"), F.col("p_size").alias("name"), F.col("p_partkey").alias("value"))
+    rows.repartitionByRange(4, "value").sortWithinPartitions("value").write.option("header", "true").csv(path)
+    return catalogs.read_metric_tables(spark, path)
+
+
+@query("SELECT o_orderpriority, n, 2 AS left_out FROM (SELECT o_orderpriority, count(*) AS n FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer) GROUP BY 1 ORDER BY 1 LIMIT 3)")
+def sql_over_tables(spark, sf_dir):
+    """A query of one's own over named tables: its first rows, and how many were left out."""
+    tables = {"o": table(spark, sf_dir, "orders"), "c": table(spark, sf_dir, "customer")}
+    rows, left_out = catalogs.run_sql(spark, "SELECT o_orderpriority, count(*) AS n FROM o JOIN c ON o_custkey = c_custkey GROUP BY 1 ORDER BY 1", tables, 3)
+    return rows.withColumn("left_out", F.lit(left_out))
+
+
+@query("""
+SELECT p_partkey AS dataset_id, p_brand AS source_id, '2000-01-' || lpad(CAST(p_size % 28 + 1 AS VARCHAR), 2, '0') || ' 00:00:00' AS start_time FROM part QUALIFY p_size = max(p_size) OVER (PARTITION BY p_brand)
+""")
+def catalogs_written_and_read(spark, sf_dir):
+    """A catalogue written with its times as texts, and read as the latest versions of each source."""
+    folder = fresh_folder(spark, "catalogs")
+    rows = part_datasets(spark, sf_dir).select("dataset_id", "source_id", "version", F.concat(F.lit("2000-01-"), F.lpad((F.col("size") % 28 + 1).cast("string"), 2, "0")).alias("start_time"), F.lit("2001-12-31").alias("end_time"), F.lit("standard").alias("calendar"))
+    catalogs.write_catalog(catalogs.with_times(rows), f"{folder}/cmip6.parquet")
+    found = catalogs.read_catalogs(spark, folder, ["cmip6"], {"cmip6": ["source_id"]})["cmip6"]
+    return found.select("dataset_id", "source_id", cal.time_text(F.col("start_time")).alias("start_time"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
@@ -22,7 +23,8 @@ def discover(spark: SparkSession, paths: Sequence[str], pattern: str = "*.nc", d
     for root in paths:
         df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root).select("path")
         if depth is not None:
-            below = F.substring_index(F.col("path"), root.rstrip("/").rpartition(":")[2].replace("//", "/"), -1)
+            inside = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/", root.rstrip("/"))  # file:///a is found as file:/a
+            below = F.substring_index(F.col("path"), inside, -1)
             df = df.where(F.size(F.split(F.ltrim(below, F.lit("/")), "/")) - 1 <= depth)
         found.append(df)
     return reduce(DataFrame.unionByName, found).distinct()
