@@ -9,7 +9,7 @@ from meridian.functions import calendars as cal
 from meridian.functions import catalog as fn
 from meridian.operators import aggregates as agg
 from meridian.operators import constraints, filters, quantiles, windows
-from meridian.plans import diagnostics, doctor, ingest, upsert
+from meridian.plans import branches, diagnostics, doctor, ingest, upsert
 from meridian.queries import EVENTS, PARTS, event_rows, part_datasets, query, table
 from meridian.sources import catalogs, paths
 
@@ -53,6 +53,22 @@ def cmip7_paths(spark, sf_dir):
     return paths.cmip7_from_path(df).select("c_custkey", "source_id", "region", "branding_suffix", "start_time", "invalid_asset", "instance_id")
 
 
+@query("""
+SELECT c_custkey, CASE WHEN ok THEN 'S' || c_nationkey END AS source_id, CASE WHEN ok THEN 'CMIP' END AS activity_id, CASE WHEN ok THEN 'I' || c_nationkey % 3 END AS institution_id, CASE WHEN ok THEN c_mktsegment END AS experiment_id, CASE WHEN ok THEN 'tavg-h2m-hxy-u' END AS branding_suffix,
+  CASE WHEN ok AND c_custkey % 5 <> 0 THEN '2001-01-01' END AS start_time, CASE WHEN ok AND c_custkey % 5 <> 0 THEN '2004-12-30' END AS end_time, 'v20250101' AS version,
+  CASE WHEN c_custkey % 6 = 0 THEN 'not eight or nine name parts' WHEN c_custkey % 7 = 0 THEN 'no folder of the source below activity and institution' END AS invalid_asset,
+  CASE WHEN ok THEN concat_ws('.', 'CMIP7', 'CMIP', 'I' || c_nationkey % 3, 'S' || c_nationkey, c_mktsegment, 'r1i1p1f1', 'glb', 'mon', 'tas', 'tavg-h2m-hxy-u', 'gn', 'v20250101') END AS instance_id FROM (SELECT *, c_custkey % 6 <> 0 AND c_custkey % 7 <> 0 AS ok FROM customer)
+""")
+def cmip7_file_names(spark, sf_dir):
+    """Names of eight parts and of nine; every sixth of seven, every seventh in a folder of another source."""
+    k, n = F.col("c_custkey"), F.col("c_nationkey")
+    source = F.concat(F.lit("S"), n)
+    folder = F.concat(F.lit("/data/MIP-DRS7/CMIP7/CMIP/I"), n % 3, F.lit("/"), F.when(k % 7 == 0, "other").otherwise(source), F.lit("/x/r1i1p1f1/glb/mon/tas/tavg-h2m-hxy-u/gn/v20250101/"))
+    name = F.concat_ws("_", F.lit("tas"), F.lit("tavg-h2m-hxy-u"), F.lit("mon"), F.when(k % 6 != 0, "glb"), F.lit("gn"), source, "c_mktsegment", F.lit("r1i1p1f1"), F.when((k % 5 != 0) & (k % 6 != 0), "200101-200412"))
+    rows = paths.cmip7_from_name(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", F.concat(folder, name, F.lit(".nc")).alias("path")))
+    return rows.select("c_custkey", "source_id", "activity_id", "institution_id", "experiment_id", "branding_suffix", "start_time", "end_time", "version", "invalid_asset", "instance_id")
+
+
 @query("""
 SELECT s_suppkey, CASE kind WHEN 0 THEN 'OBS6' WHEN 1 THEN 'native6' WHEN 2 THEN 'obs4MIPs' END AS project, CASE WHEN kind < 2 THEN 'Tier2' END AS tier, CASE WHEN kind < 3 THEN s_name END AS source_id,
   CASE kind WHEN 0 THEN '1.0' WHEN 1 THEN 'v5' WHEN 2 THEN 'v20' END AS version, CASE WHEN kind = 0 THEN 'Amon' END AS table_id, CASE WHEN kind < 3 THEN 'tas' END AS variable_id, CASE WHEN kind = 3 THEN 'no known layout' END AS invalid_asset
@@ -555,3 +571,42 @@ def branch_times_of_two_units(spark, sf_dir):
     parents = table(spark, sf_dir, "customer").select("c_custkey", F.lit("days since 1850-01-01").alias("time_units"), F.lit("standard").alias("calendar"))
     rows = diagnostics.branch_aligned(children, parents, ["c_custkey"])
     return rows.select("c_custkey", cal.time_text(F.col("child_start")).alias("child_start"), cal.time_text(F.col("parent_start")).alias("parent_start"))
+
+
+def _runs(spark, sf_dir):
+    """Nations as runs: closed orders are the run's yearly means, others its parent's; both in units of 10,000."""
+    o = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("k")), "o_custkey")
+    yearly = lambda rows, x: rows.groupBy("k", F.year("o_orderdate").alias("year")).agg((F.avg(x) / 10000).alias("value"))
+    closed = F.col("o_orderkey") % 2 == 0
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k"))
+    children = n.select("k", (F.col("k") % 2 * 365).cast("double").alias("branch_time_in_parent"), F.lit(0.0).alias("branch_time_in_child"), F.lit("days since 1992-01-01").alias("time_units"), F.lit("noleap").alias("calendar"), F.concat((1992 + F.col("k") % 3).cast("string"), F.lit("-01-01")).alias("start_time"))
+    parents = n.select("k", F.lit("days since 1992-01-01").alias("time_units"), F.lit("noleap").alias("calendar"))
+    price, number = F.col("o_totalprice"), (F.col("o_custkey") % 1000) * 10
+    return children, parents, (yearly(o.where(closed), price), yearly(o.where(~closed), price)), (yearly(o.where(closed), number), yearly(o.where(~closed), number))
+
+
+RUNS_OF_NATIONS = """
+o AS (SELECT c_nationkey AS k, CAST(year(o_orderdate) AS INTEGER) AS year, o_orderkey % 2 = 0 AS run, o_totalprice / 10000 AS p, o_custkey % 1000 * 10 / 10000 AS q FROM orders JOIN customer ON c_custkey = o_custkey),
+y AS (SELECT k, year, run, avg(p) AS p, avg(q) AS q FROM o GROUP BY ALL), w AS (SELECT n_nationkey AS k, 1992 + n_nationkey % 3 AS a, 1992 + n_nationkey % 3 + n_nationkey % 2 AS b FROM nation),
+c AS (SELECT y.k, year - a AS year, p, q FROM y JOIN w ON y.k = w.k WHERE run AND year BETWEEN a AND a + 3), m AS (SELECT y.k, year - b AS year, p, q FROM y JOIN w ON y.k = w.k WHERE NOT run AND year BETWEEN b AND b + 3),
+d AS (SELECT k, year, c.p - m.p AS n, c.q - m.q AS t FROM c JOIN m USING (k, year))"""
+
+
+@query(f"WITH {RUNS_OF_NATIONS}, f AS (SELECT k, CASE WHEN count(*) > 1 THEN regr_slope(n, t) END AS s, CASE WHEN count(*) > 1 THEN regr_intercept(n, t) END AS i FROM d GROUP BY 1) SELECT k, round(s, 5) AS lambda, round(-i / s / 2, 5) AS ecs FROM f")
+def sensitivity_of_runs(spark, sf_dir):
+    """From branch times to windows of four years, and to the regression of one departure on the other."""
+    children, parents, radiation, temperature = _runs(spark, sf_dir)
+    windows = branches.branch_windows(children, parents, ["k"], 4, 0, 4)
+    found = branches.sensitivity(radiation, temperature, windows, ["k"])
+    return found.select("k", F.round("lambda", 5).alias("lambda"), F.round("ecs", 5).alias("ecs"))
+
+
+@query(f"""WITH {RUNS_OF_NATIONS}, l AS (SELECT k, regr_slope(p, year) AS s, regr_intercept(p, year) AS i FROM m GROUP BY 1), r AS (SELECT c.k, avg(p - s * year - i) AS tcr FROM c JOIN l USING (k) WHERE year BETWEEN 1 AND 2 GROUP BY 1),
+e AS (SELECT k, year, sum(q) OVER (PARTITION BY k ORDER BY year) AS total FROM c), x AS (SELECT d.k, arg_max(n / total, year) AS tcre FROM d JOIN e USING (k, year) GROUP BY 1), z AS (SELECT k, avg(p) AS after FROM c WHERE year BETWEEN 1 AND 2 GROUP BY 1), b AS (SELECT k, avg(p) AS base FROM m GROUP BY 1)
+SELECT k, round(tcr, 5) AS tcr, round(tcre, 5) AS tcre, round(after - base, 5) AS zec FROM r JOIN x USING (k) JOIN z USING (k) JOIN b USING (k)""")
+def responses_of_runs(spark, sf_dir):
+    """Transient response, response to emissions and commitment of runs in the windows of their branches."""
+    children, parents, (run, control), (emissions, _) = _runs(spark, sf_dir)
+    windows = branches.branch_windows(children, parents, ["k"], 4, 0, 4)
+    found = branches.transient(run, control, windows, ["k"], (1, 2)).join(branches.per_emissions(run, control, emissions, windows, ["k"]), "k").join(branches.commitment(run, control, windows, ["k"], (1, 2)), "k")
+    return found.select("k", *(F.round(c, 5).alias(c) for c in ("tcr", "tcre", "zec")))

@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meridian.functions import calendars
 from meridian.operators import bundles, documents, enso, gridded, levels, modes, regions, regrid
-from meridian.operators.constraints import IgnoreFacets
+from meridian.operators.constraints import ByGroup, IgnoreFacets
+from meridian.operators.filters import facet_filter, parse_facets
 from meridian.operators.outliers import OutlierPolicy
-from meridian.plans import annual_cycle, benchmarks, diagnostics, ledger, regression, requirement, results, runner
+from meridian.plans import annual_cycle, benchmarks, diagnostics, doctor, ledger, regression, requirement, results, runner
 from meridian.plans.requirement import DataRequirement, Diagnostic
 from meridian.queries import GRID, GROUPS, MEAN, PARTS, RUNS, executions, grid, groups, measurements, part_datasets, query, table
+from meridian.streaming.ingest import changed_groups
 
 NOW = "2001-01-01"
 
@@ -669,7 +672,7 @@ s AS (SELECT variable_id, lat, lon, season, sum(v * days) / sum(days) AS v FROM
 r(region, low, high) AS (VALUES ('global', -90, 90.1), ('NHEX', 30, 90.1), ('SHEX', -90, -30), ('TROPICS', -30, 30)),
 p AS (SELECT a.variable_id, region, season, cos(radians(lat)) AS w, a.v AS m, b.v AS o FROM s a JOIN s b USING (lat, lon, season) JOIN r ON lat >= low AND lat < high WHERE a.variable_id <> 'A' AND b.variable_id = 'A'),
 f AS (SELECT variable_id, region, season, sum((m - o) * w) / sum(w) AS bias, sum(abs(m - o) * w) / sum(w) AS mae, sqrt(sum((m - o) * (m - o) * w) / sum(w)) AS rms, sum(m * w) / sum(w) AS a, sum(o * w) / sum(w) AS b, sum(m * m * w) / sum(w) AS mm, sum(o * o * w) / sum(w) AS oo, sum(m * o * w) / sum(w) AS mo FROM p GROUP BY ALL)
-SELECT variable_id, region, season, round(bias, 3) AS bias_xy, round(mae, 3) AS mae_xy, round(rms, 3) AS rms_xy, round(sqrt(rms * rms - bias * bias), 2) AS rmsc_xy, round((mo - a * b) / (sqrt(mm - a * a) * sqrt(oo - b * b)), 4) AS cor_xy FROM f
+SELECT variable_id, region, season, round(bias, 3) AS bias_xy, round(mae, 3) AS mae_xy, round(rms, 3) AS rms_xy, round(sqrt(greatest(rms * rms - bias * bias, 0)), 2) AS rmsc_xy, round(CASE WHEN mm - a * a > 1e-12 * mm AND oo - b * b > 1e-12 * oo THEN (mo - a * b) / (sqrt(mm - a * a) * sqrt(oo - b * b)) END, 4) AS cor_xy FROM f
 """)
 def annual_cycle_statistics(spark, sf_dir):
     """Seasonal statistics of two variables against a third by bands of latitude."""
@@ -808,3 +811,60 @@ def profile_errors(spark, sf_dir):
         error = enso.profile_error(profile, profile.where("variable_id = 'A'").drop("variable_id"), ["variable_id"], axis)
         found.append(error.select(F.lit(axis).alias("axis"), "variable_id", F.round("value", 3).alias("error")))
     return found[0].unionByName(found[1])
+
+
+# ---------------------------------------------------------------- smaller features
+
+
+@query(f"WITH y AS (SELECT variable_id, year, avg(value) AS value FROM (SELECT variable_id, year, month, {MEAN} AS value FROM {GRID} GROUP BY 1, 2, 3) GROUP BY 1, 2), r AS (SELECT year, avg(value) AS value FROM (SELECT year, month, sum(value * cos(radians(lat))) / sum(CASE WHEN value IS NOT NULL THEN cos(radians(lat)) END) AS value FROM {GRID} WHERE variable_id = 'A' GROUP BY 1, 2) GROUP BY 1) SELECT variable_id, year, round(y.value - r.value, 4) AS bias, round(avg(y.value - r.value) OVER (PARTITION BY variable_id), 4) AS mean_bias, round(sqrt(avg(power(y.value - r.value, 2)) OVER (PARTITION BY variable_id)), 4) AS rmse FROM y JOIN r USING (year) WHERE variable_id <> 'A'")
+def sea_surface_bias(spark, sf_dir):
+    """Yearly biases of models weighted by area against a reference weighted by the cosine of latitude, and their statistics."""
+    g = grid(spark, sf_dir)
+    rows, stats = diagnostics.sst_bias(g.where("variable_id <> 'A'"), g.where("variable_id = 'A'"), ["variable_id"])
+    return rows.join(stats, "variable_id").select("variable_id", "year", *(F.round(c, 4).alias(c) for c in ("bias", "mean_bias", "rmse")))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_returnflag IN ('A', 'R') AND l_linestatus = 'F'")
+def facets_of_arguments(spark, sf_dir):
+    """Facets as arguments of a command line; a repeated one collects values."""
+    facets = parse_facets(["l_returnflag=A", "l_linestatus = F", "l_returnflag=R"])
+    return facet_filter(table(spark, sf_dir, "lineitem"), [facets]).select("l_orderkey", "l_linenumber", "l_partkey")
+
+
+@query("SELECT l_suppkey AS gk, l_orderkey, l_linenumber, l_partkey FROM lineitem QUALIFY l_extendedprice >= median(l_extendedprice) OVER (PARTITION BY l_suppkey)")
+def constraint_of_ones_own(spark, sf_dir):
+    """A constraint in pandas, called for each group: lines of at least the group's median price."""
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("gk"), "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    kept = ByGroup(lambda g: g[g["l_extendedprice"] >= g["l_extendedprice"].median()]).apply(rows, rows)
+    return kept.drop("l_extendedprice")
+
+
+@query("SELECT CAST(o_custkey AS VARCHAR) AS dataset_key, md5(string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey)) AS dataset_hash FROM orders GROUP BY o_custkey HAVING bool_or(o_orderstatus = 'O')")
+def groups_with_new_data(spark, sf_dir):
+    """Customers whose orders have changed since those still open were not there: other orders, or their first."""
+    o = table(spark, sf_dir, "orders")
+    keyed = lambda df: df.groupBy(F.col("o_custkey").cast("string").alias("dataset_key")).agg(F.md5(F.array_join(F.transform(F.sort_array(F.collect_list("o_orderkey")), lambda k: k.cast("string")), ",").cast("binary")).alias("dataset_hash"))
+    return changed_groups(keyed(o.where("o_orderstatus <> 'O'")), keyed(o))
+
+
+@query("SELECT o_orderkey, strftime(CAST(o_orderdate AS DATE), '%Y%m%d') || 'T000000' AS compact, strftime(CAST(o_orderdate AS DATE), '%Y%m%dT120000') AS basic FROM orders")
+def compact_times(spark, sf_dir):
+    """Times as analysis windows are written."""
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    time = calendars.parse_time(day, F.lit("standard"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", calendars.compact_text(time).alias("compact"), calendars.iso_basic(F.concat(day, F.lit("T12:00:00"))).alias("basic"))
+
+
+def short_names(tables):
+    """A check of one's own: parts whose names have few letters."""
+    return doctor.findings(tables["parts"].where(F.length("p_name") < 10), "short-names", "warning", F.col("p_partkey"), F.concat(F.lit("only "), F.length("p_name")))
+
+
+@query("SELECT 'short-names' AS \"check\", 'warning' AS severity, CAST(p_partkey AS VARCHAR) AS subject, 'only ' || length(p_name) AS message FROM part WHERE length(p_name) < 10")
+def check_of_ones_own(spark, sf_dir):
+    """A check that is registered for this run."""
+    doctor.check("short-names")(short_names)
+    try:
+        return doctor.run_checks({"parts": table(spark, sf_dir, "part")}, names=["short-names"])
+    finally:
+        doctor.CHECKS.pop("short-names")

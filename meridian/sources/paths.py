@@ -69,6 +69,33 @@ def cmip7_from_path(df: DataFrame) -> DataFrame:
     return rows.withColumn("instance_id", instance_id("CMIP7", *CMIP7_FOLDERS, "version"))
 
 
+#: Fixed value: the parts of a CMIP7 file's name, perhaps with a time range behind them.
+CMIP7_NAME = ("variable_id", "branding_suffix", "frequency", "region", "grid_label", "source_id", "experiment_id", "variant_label")
+
+
+def cmip7_from_name(df: DataFrame) -> DataFrame:
+    """Facets of CMIP7 files from the eight parts of their names, or nine with a time range; others are invalid.
+
+    Activity and institution are the two folders above the one of the source, which must be
+    there; the version is that of the folders.
+    """
+    path = F.col("path")
+    folders = F.slice(_folders(path), F.lit(1), F.greatest(F.size(_folders(path)) - 1, F.lit(0)))
+    parts = F.split(F.regexp_replace(file_name(path), r"\.nc$", ""), "_")
+    named = F.size(parts).isin(8, 9)
+    source = F.when(named, F.get(parts, CMIP7_NAME.index("source_id")))
+    at = F.coalesce(F.array_position(folders, source), F.lit(0)).cast("int")
+    valid = named & (at >= 3)
+    times = parse_date_range(F.get(parts, 8))
+    found = {n: F.when(valid, F.get(parts, k)) for k, n in enumerate(CMIP7_NAME)}
+    rows = df.withColumns(found | {
+        "activity_id": F.when(valid, F.get(folders, at - 3)), "institution_id": F.when(valid, F.get(folders, at - 2)), "version": version_from_path(F.array_join(folders, "/")),
+        "time_range": F.when(valid, F.get(parts, 8)), "start_time": F.when(valid, times["start_time"]), "end_time": F.when(valid, times["end_time"]), "mip_era": F.lit("CMIP7"), "finalised": F.lit(False),
+        "invalid_asset": F.when(~named, F.lit("not eight or nine name parts")).when(~valid, F.lit("no folder of the source below activity and institution")),
+    })
+    return rows.withColumn("instance_id", instance_id("CMIP7", *CMIP7_FOLDERS, "version"))
+
+
 def reference_from_path(df: DataFrame) -> DataFrame:
     """Reference data in one of three layouts, found by the rightmost anchor folder: OBS, native6 or obs4MIPs."""
     folders = _folders(F.col("path"))
