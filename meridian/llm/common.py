@@ -36,19 +36,34 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/meridian/{label}-{uuid.uuid4().hex}"
 
 
+#: With this Spark removes the shuffle files of a query when it ends; else they stay until the driver collects garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage there: whatever reads the result survives the loss of any
-    executor, and two readers see the same rows.
+    executor, and two readers see the same rows. Shuffle files go once it is written.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    writer.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        writer.parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard_tables(*tables: DataFrame) -> None:
+    """Remove tables that ``materialise`` wrote and that nothing reads any more."""
+    for df in tables:
+        discard(df.sparkSession, df.inputFiles()[0].rpartition("/")[0])
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a table of the shared folder that a later one has taken the place of."""
     jvm = spark._jvm

@@ -35,12 +35,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.llm.common import TEXT_HASH, documents, drop_rows, join_known, limited_broadcast, materialise, slices, text_bytes
+from meridian.llm.common import TEXT_HASH, discard_tables, documents, drop_rows, join_known, limited_broadcast, materialise, slices, text_bytes
 from meridian.llm.components import connected_components
 from meridian.llm.shingles import mix, shingle_sets, signature
 
-#: Shingle counters. What is sent to tasks is one byte for each.
-SKETCH_BITS = 22
+#: Shingle counters: 2^22 to 2^25, one for some 160 bytes of text. What is sent to tasks is one byte for each.
+SKETCH_BITS, MOST_SKETCH_BITS = 22, 25
+BYTES_OF_COUNTER = 160
 #: A token of more documents than this gives hubs and blocks instead of pairs.
 MANY = 32
 HUBS = 4
@@ -74,17 +75,30 @@ def name(s: np.ndarray, clashes: frozenset[int]) -> int:
     return two if one in clashes else one
 
 
-def _summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def sketch_bits(size: int) -> int:
+    """Bits of a counter's number for ``size`` bytes of text; with fewer, frequent and rare shingles share counters and the first order says little."""
+    return min(max(SKETCH_BITS, (size // BYTES_OF_COUNTER).bit_length()), MOST_SKETCH_BITS)
+
+
+def _summarise(bits: int):
     """Per document its set's size and signature; per task its counts of shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _summaries(batches, bits)
+
+    return run
+
+
+def _summaries(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     import zstandard
     from pyspark import TaskContext
 
-    counts = np.zeros(1 << SKETCH_BITS, "u4")
+    counts = np.zeros(1 << bits, "u4")
     for batch in slices(batches):
         sets = shingle_sets(batch.column(1).to_pylist())
         sigs = [signature(s) for s in sets]
         n = len(sets)
-        slot, times = np.unique(_slot(np.concatenate(sets)), return_counts=True)
+        slot, times = np.unique(_slot(np.concatenate(sets), bits), return_counts=True)
         counts[slot] += times.astype("u4")
         yield pa.RecordBatch.from_pydict({
             "doc_id": batch.column(0).cast(pa.int64()), TEXT_HASH: batch.column(2), "n": pa.array([len(s) for s in sets], pa.int64()), "sig": pa.array([s[0] for s in sigs], pa.int64()),
@@ -119,14 +133,16 @@ def _sum_counts(as_levels: bool):
     return add
 
 
-def _shingle_levels(counts: DataFrame, tasks: int) -> np.ndarray:
+def _shingle_levels(counts: DataFrame, tasks: int, bits: int) -> np.ndarray:
     """The level of every counter; a slot's counts are summed in groups of tasks first, then over the groups."""
     kinds = "slot int, counts binary"
     partly = counts.repartition(tasks, "slot", F.pmod("part", F.lit(64))).select("slot", "counts").mapInArrow(_sum_counts(False), kinds)
-    summed = materialise(partly, "counts").repartition(min(tasks, 64), "slot").mapInArrow(_sum_counts(True), kinds)
-    levels = np.zeros((64, (1 << SKETCH_BITS) // 64), "u1")
+    partly = materialise(partly, "counts")
+    summed = partly.repartition(min(tasks, 64), "slot").mapInArrow(_sum_counts(True), kinds)
+    levels = np.zeros((64, (1 << bits) // 64), "u1")
     for row in summed.collect():  # 64 rows of fixed size
         levels[row["slot"]] = np.frombuffer(row["counts"], "u1")
+    discard_tables(partly)
     return levels.reshape(-1)
 
 
@@ -135,13 +151,17 @@ def _levels(counts: np.ndarray) -> np.ndarray:
     return (2 * np.log2(np.maximum(counts, 1))).astype("u1")
 
 
-def _slot(tokens: np.ndarray) -> np.ndarray:
-    return (tokens >> np.uint64(64 - SKETCH_BITS)).astype("i8")
+def _slot(tokens: np.ndarray, bits: int) -> np.ndarray:
+    return (tokens >> np.uint64(64 - bits)).astype("i8")
+
+
+def _level(tokens: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    return levels[_slot(tokens, len(levels).bit_length() - 1)]
 
 
 def _rank(tokens: np.ndarray, levels: np.ndarray) -> np.ndarray:
     """The places of ``tokens`` in the first order: by the logarithm of their count, then scattered."""
-    return np.argsort((levels[_slot(tokens)].astype("u8") << np.uint64(58)) | (mix(tokens, 10) >> np.uint64(6)), kind="stable")
+    return np.argsort((_level(tokens, levels).astype("u8") << np.uint64(58)) | (mix(tokens, 10) >> np.uint64(6)), kind="stable")
 
 
 def _index(levels: np.ndarray, buckets: int, clashes: frozenset[int]):
@@ -162,7 +182,7 @@ def _index(levels: np.ndarray, buckets: int, clashes: frozenset[int]):
             sig = np.array([h[1] for h in held], "i8")
             n = np.array([h[2] for h in held], "i4")
             bucket = ((mix(tokens, 20) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype("i8")
-            level = levels[_slot(tokens)]
+            level = _level(tokens, levels)
             hot = np.flatnonzero(level > _levels(np.array(HOT)))
             salts = np.ceil(2.0 ** ((level[hot] + 1) / 2) / HOT).astype("u8")
             salt = mix(sig.view("u8")[doc[hot]], 21) % salts
@@ -384,7 +404,9 @@ def _written_sets(docs: DataFrame, thin: DataFrame, wanted: DataFrame, clashes:
     """The sets in ``wanted`` (sig) with their prefixes, from one document each; where doc_ids repeat maybe some more, or twice."""
     ids = materialise(thin.groupBy("sig").agg(F.min("doc_id").alias("doc_id")).join(wanted, "sig", "left_semi").select("doc_id").distinct(), "wanted")
     texts = docs.join(limited_broadcast(ids, 1_000_000), "doc_id", "left_semi").select(text_bytes().alias("text"))
-    return materialise(texts.mapInArrow(_sets(clashes), SETS), "sets")
+    sets = materialise(texts.mapInArrow(_sets(clashes), SETS), "sets")
+    discard_tables(ids)
+    return sets
 
 
 #: Pairs of one hub that are compared in one place.
@@ -480,10 +502,11 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select("doc_id", "text")
-    both = docs.select("doc_id", text_bytes().alias("text"), F.xxhash64("text").alias(TEXT_HASH)).mapInArrow(_summarise, THIN)
+    bits = sketch_bits(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    both = docs.select("doc_id", text_bytes().alias("text"), F.xxhash64("text").alias(TEXT_HASH)).mapInArrow(_summarise(bits), THIN)
     both = materialise(both, "sets-summary")
     thin = both.where("slot is null").select("doc_id", TEXT_HASH, "n", "sig", "sig2")
-    levels = _shingle_levels(both.where("slot is not null").select("slot", "part", "counts"), tasks)
+    levels = _shingle_levels(both.where("slot is not null").select("slot", "part", "counts"), tasks, bits)
 
     # 64 bits name a set; the few that two sets share give way to the other 64
     named = thin.where("n > 0 and doc_id is not null")
@@ -506,9 +529,11 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     links = similar(meeting(directed(pairs.where("star")), sets), sets)
     roots = materialise(connected_components(links), "roots")
     rest = materialise(_between(pairs.where("not star"), roots), "rest")
+    discard_tables(pairs)
     if not rest.isEmpty():
         links = links.unionByName(similar(meeting(directed(rest), sets), sets))
         roots = materialise(connected_components(links), "roots")
+    discard_tables(sets, rest)
     members = found.where("token is not null").select("token", "n", F.col("a").alias("sig"))
     if not members.isEmpty():
         more = _blocks(docs, thin, members, roots, clashes)

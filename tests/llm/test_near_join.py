@@ -166,3 +166,17 @@ def test_one_row_of_a_repeated_id(spark):
     rows = [(3, " ".join(near)), (7, " ".join(near[:-1] + ["else"])), (7, "quite another text of some words"), (8, " ".join(near))]
     kept = near_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(map(tuple, kept)) == sorted([rows[0], rows[2]])
+
+
+def test_sketch_grows_with_the_text():
+    assert [near_join.sketch_bits(n) for n in (0, 5 * 10**8, 2 * 10**9, 10**12)] == [22, 22, 24, 25]
+
+
+def test_tables_go_when_nothing_reads_them(spark):
+    import glob
+
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file://") + "/meridian"
+    before = set(glob.glob(f"{folder}/*"))
+    run(spark, corpus(random.Random(5)))
+    left = {p.rpartition("/")[2].rpartition("-")[0] for p in set(glob.glob(f"{folder}/*")) - before}
+    assert not left & {"counts", "candidates", "rest", "wanted"}
