@@ -189,19 +189,21 @@ def parse_date_range(text: Column) -> Column:
     """``start-end`` of a file name as a struct of two texts; both ends need the same length.
 
     Years, months, days and minutes are known; hours and minutes are dropped, and a
-    bare month ends on its 30th.
+    bare month ends on its 30th. An odd number of digits begins with a year of five.
     """
     halves = F.split(text, "-")
     low, high = F.get(halves, 0), F.get(halves, 1)
 
     def text_of(x: Column, end: bool) -> Column:
-        y, mo, d = F.substring(x, 1, 4), F.substring(x, 5, 2), F.substring(x, 7, 2)
+        width = F.length(x) % 2 + 4
+        rest = F.length(x) - width
+        y, mo, d = x.substr(F.lit(1), width), x.substr(width + 1, F.lit(2)), x.substr(width + 3, F.lit(2))
         return (
             F.when(F.length(x) == 4, F.concat(y, F.lit("-12-30" if end else "-01-01"))).when(F.length(x) == 6, F.concat_ws("-", y, mo, F.lit("30" if end else "01")))
             .when(F.length(x).isin(8, 12), F.concat_ws("-", y, mo, d))
         )
 
-    good = (F.size(halves) == 2) & (F.length(low) == F.length(high)) & low.rlike(r"^\d+$") & high.rlike(r"^\d+$") & F.length(low).isin(4, 6, 8, 12)
+    good = (F.size(halves) == 2) & (F.length(low) == F.length(high)) & low.rlike(r"^\d+$") & high.rlike(r"^\d+$") & F.length(low).isin(4, 5, 6, 7, 8, 9, 12, 13)
     return F.struct(F.when(good, text_of(low, False)).alias("start_time"), F.when(good, text_of(high, True)).alias("end_time"))
 
 

@@ -469,3 +469,15 @@ def test_exact_percentiles_of_large_groups(spark, accuracy):
             assert found[g][n] == pytest.approx(float(np.percentile(xs, 100 * p)), rel=1e-12), (g, n)
     whole = exact_percentiles(df, [], {"m": (F.col("x"), 0.5)}, accuracy, 70).collect()
     assert len(whole) == 1 and whole[0]["m"] == pytest.approx(float(np.percentile([x for _, x in rows if x is not None], 50)), rel=1e-12)
+
+
+def test_date_ranges_of_long_years(spark):
+    got = column(spark, "string", ["12000-12001", "1200001-1200112", "120000105-120010203", "1200001050600-1200102030600"], cal.parse_date_range)
+    assert [tuple(x) for x in got] == [("12000-01-01", "12001-12-30"), ("12000-01-01", "12001-12-30"), ("12000-01-05", "12001-02-03"), ("12000-01-05", "12001-02-03")]
+
+
+def test_rounding_keeps_the_sign_of_zero(spark):
+    from meridian.functions.catalog import rounded
+
+    got = column(spark, "double", [-0.000001, 0.000001, -0.0, -0.015625, 1.5, float("inf"), None], lambda x: rounded(x, 4))
+    assert [repr(x) for x in got] == ["-0.0", "0.0", "-0.0", "-0.0156", "1.5", "inf", "None"]
