@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meridian.functions import calendars as cal
-from meridian.functions.catalog import null_to_nan
+from meridian.functions.catalog import null_to_nan, rounded
 from meridian.operators import bundles
 from meridian.plans import regression
 from meridian.queries import part_datasets, query, table
@@ -163,7 +163,7 @@ def series_written_and_read(spark, sf_dir):
     catalogs.write_series(rows, path)
     found = spark.read.schema(catalogs.SERIES).json(path)
     found = found.withColumns({"values": null_to_nan(F.col("values")), "kind": F.coalesce("kind", F.lit("model"))})
-    return found.select(F.col("dimensions")["vec"].cast("long").alias("vec_id"), "kind", F.transform("values", lambda v: F.round(v, 5)).alias("values"))
+    return found.select(F.col("dimensions")["vec"].cast("long").alias("vec_id"), "kind", F.transform("values", lambda v: rounded(v, 5)).alias("values"))
 
 
 @query("SELECT p_brand AS source, p_type AS region, 'x' AS analysis, CAST(p_size AS VARCHAR) AS name, CAST(min(p_partkey) AS VARCHAR) AS value FROM part GROUP BY 1, 2, 4")
