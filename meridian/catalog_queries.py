@@ -10,7 +10,7 @@ from meridian.functions import catalog as fn
 from meridian.operators import aggregates as agg
 from meridian.operators import constraints, filters, quantiles, windows
 from meridian.plans import branches, diagnostics, doctor, ingest, upsert
-from meridian.queries import EVENTS, PARTS, event_rows, part_datasets, query, table
+from meridian.queries import EVENTS, PARTS, event_rows, part_datasets, query, spread, table
 from meridian.sources import catalogs, paths
 
 # ------------------------------------------------------------- paths and headers
@@ -463,7 +463,7 @@ def table_frequencies(spark, sf_dir):
 @query("SELECT p_partkey, CASE p_size % 5 WHEN 0 THEN 'kg m-2 s-1' WHEN 1 THEN 'K' WHEN 2 THEN 'months since 1980' WHEN 3 THEN 'W m-2' ELSE NULL END AS units, CASE p_size % 5 WHEN 0 THEN 'kg / meter 2 / second' WHEN 1 THEN 'kelvin' WHEN 2 THEN 'months since 1980' WHEN 3 THEN 'W m-2' END AS clean FROM part")
 def unit_texts(spark, sf_dir):
     u = F.element_at(F.array(F.lit("kg / meter ** 2 / second"), F.lit("kelvin"), F.lit("months since 1980"), F.lit("W m-2"), F.lit(None).cast("string")), (F.col("p_size") % 5 + 1).cast("int"))
-    return table(spark, sf_dir, "part").select("p_partkey", fn.canonical_units(u).alias("units"), fn.clean_units(u).alias("clean"))
+    return spread(table(spark, sf_dir, "part").select("p_partkey", "p_size"), "p_partkey").select("p_partkey", fn.canonical_units(u).alias("units"), fn.clean_units(u).alias("clean"))
 
 
 @query("""

@@ -38,6 +38,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """``df`` dealt out by a key: a small file is one row group or few, and costly work on its rows would keep that many cores busy."""
+    spark = df.sparkSession
+    return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), key)
+
+
 # ------------------------------------------------------------ stand-in tables
 
 
