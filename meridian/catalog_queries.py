@@ -533,8 +533,8 @@ def branch_times(spark, sf_dir):
     """Parents count days from 1850, children too; the parent is 36,500 days further on."""
     k = F.col("c_custkey")
     start = F.date_format(F.date_add(F.lit("1850-01-01").cast("date"), k.cast("int")), "yyyy-MM-dd")
-    children = table(spark, sf_dir, "customer").select("c_custkey", F.lit(36500.0).alias("branch_time_in_parent"), (k % 10).cast("double").alias("branch_time_in_child"), F.lit("days since 1850-01-01").alias("time_units"), F.lit("standard").alias("calendar"), F.when(k % 3 != 0, start).alias("start_time"))
-    parents = table(spark, sf_dir, "customer").select("c_custkey", F.lit("days since 1850-01-01").alias("time_units"), F.lit("standard").alias("calendar"))
+    children = spread(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey").select("c_custkey", F.lit(36500.0).alias("branch_time_in_parent"), (k % 10).cast("double").alias("branch_time_in_child"), F.lit("days since 1850-01-01").alias("time_units"), F.lit("standard").alias("calendar"), F.when(k % 3 != 0, start).alias("start_time"))
+    parents = spread(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey").select("c_custkey", F.lit("days since 1850-01-01").alias("time_units"), F.lit("standard").alias("calendar"))
     rows = diagnostics.branch_aligned(children, parents, ["c_custkey"])
     return rows.select("c_custkey", cal.time_text(F.col("child_start")).alias("child_start"), cal.time_text(F.col("parent_start")).alias("parent_start"))
 
@@ -567,8 +567,8 @@ def branch_times_of_two_units(spark, sf_dir):
     """Children count hours from 1860, parents days from 1850."""
     k = F.col("c_custkey")
     start = F.date_format(F.date_add(F.lit("1870-01-01").cast("date"), k.cast("int")), "yyyy-MM-dd")
-    children = table(spark, sf_dir, "customer").select("c_custkey", F.lit(36500.0).alias("branch_time_in_parent"), (k % 100).cast("double").alias("branch_time_in_child"), F.lit("hours since 1860-03-01").alias("time_units"), F.lit("standard").alias("calendar"), start.alias("start_time"))
-    parents = table(spark, sf_dir, "customer").select("c_custkey", F.lit("days since 1850-01-01").alias("time_units"), F.lit("standard").alias("calendar"))
+    children = spread(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey").select("c_custkey", F.lit(36500.0).alias("branch_time_in_parent"), (k % 100).cast("double").alias("branch_time_in_child"), F.lit("hours since 1860-03-01").alias("time_units"), F.lit("standard").alias("calendar"), start.alias("start_time"))
+    parents = spread(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey").select("c_custkey", F.lit("days since 1850-01-01").alias("time_units"), F.lit("standard").alias("calendar"))
     rows = diagnostics.branch_aligned(children, parents, ["c_custkey"])
     return rows.select("c_custkey", cal.time_text(F.col("child_start")).alias("child_start"), cal.time_text(F.col("parent_start")).alias("parent_start"))
 
