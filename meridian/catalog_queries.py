@@ -104,7 +104,7 @@ def headers(spark, sf_dir, attributes) -> DataFrame:
     k = F.col("c_custkey")
     given = {n: F.lit(f"{n}-x") for n in attributes} | {"source_id": F.when(k % 4 != 0, F.col("c_mktsegment")), "activity_id": F.when(k % 7 == 0, "other").otherwise("obs4MIPs"), "sub_experiment_id": F.when(k % 2 == 0, "s1960").otherwise("none")}
     header = F.map_filter(F.create_map(*(x for n, v in given.items() for x in (F.lit(n), v))), lambda _, v: v.isNotNull())
-    return table(spark, sf_dir, "customer").select(
+    return spread(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), "c_custkey").select(
         "c_custkey", F.concat(F.lit("/d/v7/f"), k, F.lit(".nc")).alias("path"), F.when(k % 9 != 0, header).alias("header"), F.when(k % 5 != 0, F.array(F.lit(0.5), F.lit(364.5))).alias("times"), F.lit("days since 2001-01-01").alias("time_units"),
         F.lit("noleap").alias("calendar"), F.when(k % 3 == 0, F.create_map(F.lit("plev"), F.lit(19), F.lit("x"), F.lit(4))).otherwise(F.create_map(F.lit("x"), F.lit(4))).alias("dimensions"),
     )

@@ -8,7 +8,7 @@ calendar is taken as proleptic Gregorian.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -129,12 +129,23 @@ def from_ordinal(seconds: Column, calendar: Column) -> Column:
     return let(seconds, dated)
 
 
-def decode_time(value: Column, units: Column, calendar: Column) -> Column:
-    """A number with ``<unit> since <time>`` units as a time of the calendar."""
+def _decoded(values: Sequence[Column], units: Column, calendar: Column) -> Column:
+    """Numbers with ``<unit> since <time>`` units as an array of times; what the units say is worked out once for all."""
     unit = F.lower(F.regexp_extract(units, r"^\s*(\w+?)s?\s+since", 1))
     seconds = F.when(unit == "day", 86400).when(unit.isin("hour", "hr"), 3600).when(unit.isin("minute", "min"), 60).when(unit.isin("second", "sec"), 1)
     base = parse_time(F.regexp_extract(units, r"since\s+([0-9-]+(?:[ T][0-9:.]+)?)", 1), calendar)
-    return from_ordinal(ordinal(base, calendar) + F.round(value * seconds).cast("long"), calendar)
+    at = F.struct(ordinal(base, calendar).alias("base"), seconds.alias("unit"))
+    return let(at, lambda x: F.array(*(from_ordinal(x["base"] + F.round(v * x["unit"]).cast("long"), calendar) for v in values)))
+
+
+def decode_time(value: Column, units: Column, calendar: Column) -> Column:
+    """A number with ``<unit> since <time>`` units as a time of the calendar."""
+    return F.get(_decoded([value], units, calendar), F.lit(0))
+
+
+def decode_pair(first: Column, last: Column, units: Column, calendar: Column) -> Column:
+    """Two such numbers as an array of two times."""
+    return _decoded([first, last], units, calendar)
 
 
 def _text(time: Column, form: str) -> Column:
@@ -199,8 +210,8 @@ def parse_date_range(text: Column) -> Column:
         rest = F.length(x) - width
         y, mo, d = x.substr(F.lit(1), width), x.substr(width + 1, F.lit(2)), x.substr(width + 3, F.lit(2))
         return (
-            F.when(F.length(x) == 4, F.concat(y, F.lit("-12-30" if end else "-01-01"))).when(F.length(x) == 6, F.concat_ws("-", y, mo, F.lit("30" if end else "01")))
-            .when(F.length(x).isin(8, 12), F.concat_ws("-", y, mo, d))
+            F.when(rest == 0, F.concat(y, F.lit("-12-30" if end else "-01-01"))).when(rest == 2, F.concat_ws("-", y, mo, F.lit("30" if end else "01")))
+            .when(rest.isin(4, 8), F.concat_ws("-", y, mo, d))
         )
 
     good = (F.size(halves) == 2) & (F.length(low) == F.length(high)) & low.rlike(r"^\d+$") & high.rlike(r"^\d+$") & F.length(low).isin(4, 5, 6, 7, 8, 9, 12, 13)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meridian.functions.calendars import decode_time, parse_date_range
+from meridian.functions.calendars import decode_pair, let, parse_date_range
 from meridian.functions.catalog import instance_id, known_frequency, table_frequency, version_from_path
 
 #: The order of folders in each layout, outermost first.
@@ -170,17 +172,24 @@ OBS_ID = ("activity_id", "institution_id", "source_id", "frequency", "variable_i
 VERTICAL = ("lev", "plev", "olevel", "height", "depth", "level", "altitude")
 
 
+def _absent(names: tuple[str, ...], counts: Callable[[Column], Column]) -> Column:
+    """Those of ``names`` for which a header has no value that counts; one pass over the header, null without one."""
+    return F.array_except(F.array(*map(F.lit, names)), F.map_keys(F.map_filter("header", lambda _, v: counts(v))))
+
+
 def _from_header(df: DataFrame, names: tuple[str, ...], lacking: Column) -> DataFrame:
     """The attributes ``names`` of headers that are there and lack nothing; what else a file says of its times and levels."""
+    # columns of their own, so that they are worked out once for all attributes
+    df = df.withColumns({"__lacking": lacking, "__bounds": time_bounds(F.col("times"), F.col("time_units"), F.col("calendar"))})
+    lacking, bounds = F.col("__lacking"), F.col("__bounds")
     valid = F.col("header").isNotNull() & (F.size(lacking) == 0)
     folder = F.array_join(F.slice(_folders(F.col("path")), F.lit(1), F.greatest(F.size(_folders(F.col("path"))) - 1, F.lit(0))), "/")
-    bounds = time_bounds(F.col("times"), F.col("time_units"), F.col("calendar"))
     rows = df.withColumns({n: F.when(valid, F.try_element_at("header", F.lit(n))) for n in names})
     return rows.withColumns({
         "version": version_from_path(folder), "start_time": F.when(valid, bounds["start_time"]), "end_time": F.when(valid, bounds["end_time"]),
         "vertical_levels": F.when(valid, vertical_levels(F.col("dimensions"))), "finalised": valid,
         "invalid_asset": F.when(F.col("header").isNull(), F.lit("no header")).when(~valid, F.concat(F.lit("missing attributes: "), F.array_join(lacking, ", "))),
-    }).drop("header", "times", "dimensions")
+    }).drop("header", "times", "dimensions", "__lacking", "__bounds")
 
 
 def cmip6_from_header(df: DataFrame) -> DataFrame:
@@ -197,14 +206,14 @@ def cmip6_from_header(df: DataFrame) -> DataFrame:
 
 def cmip7_from_header(df: DataFrame) -> DataFrame:
     """The same for CMIP7, where a header must have all of ``CMIP7_ATTRIBUTES``, none of them empty."""
-    lacking = F.filter(F.array(*map(F.lit, CMIP7_ATTRIBUTES)), lambda n: F.coalesce(F.try_element_at("header", n), F.lit("")) == "")
+    lacking = _absent(CMIP7_ATTRIBUTES, lambda v: F.coalesce(v, F.lit("")) != "")
     return _from_header(df, CMIP7_ATTRIBUTES + CMIP7_OPTIONAL, lacking).withColumn("instance_id", instance_id("CMIP7", *CMIP7_FOLDERS, "version"))
 
 
 def observations_from_header(df: DataFrame) -> DataFrame:
     """Observations: the activity must be one of ``OBS_ACTIVITIES`` and no attribute absent; the version is the parent folder, with a v before it."""
     activity = F.coalesce(F.try_element_at("header", F.lit("activity_id")), F.lit(""))
-    absent = F.filter(F.array(*map(F.lit, OBS_ATTRIBUTES)), lambda n: F.try_element_at("header", n).isNull())
+    absent = _absent(OBS_ATTRIBUTES, lambda v: v.isNotNull())
     lacking = F.when(activity.isin(*OBS_ACTIVITIES), absent).otherwise(F.array(F.lit("an activity of observations")))
     parent = F.element_at(_folders(F.col("path")), -2)
     rows = _from_header(df, OBS_ATTRIBUTES, lacking)
@@ -219,4 +228,7 @@ def vertical_levels(sizes: Column) -> Column:
 
 def time_bounds(values: Column, units: Column, calendar: Column) -> Column:
     """The first and the last of a file's times, as a struct; nulls where it has none."""
-    return F.struct(decode_time(F.get(values, 0), units, calendar).alias("start_time"), decode_time(F.try_element_at(values, F.lit(-1)), units, calendar).alias("end_time"))
+    def of(both: Column) -> Column:
+        return F.struct(F.get(both, 0).alias("start_time"), F.get(both, 1).alias("end_time"))
+
+    return let(decode_pair(F.get(values, 0), F.try_element_at(values, F.lit(-1)), units, calendar), of)
