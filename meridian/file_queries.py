@@ -12,7 +12,7 @@ from meridian.functions import calendars as cal
 from meridian.functions.catalog import null_to_nan, rounded
 from meridian.operators import bundles
 from meridian.plans import regression
-from meridian.queries import part_datasets, query, table
+from meridian.queries import part_datasets, query, spread, table
 from meridian.sources import catalogs, files, netcdf, paths
 from meridian.sources.folders import file_system
 from meridian.sources.shared import fresh_folder
@@ -189,7 +189,7 @@ SELECT p_partkey AS dataset_id, p_brand AS source_id, '2000-01-' || lpad(CAST(p_
 def catalogs_written_and_read(spark, sf_dir):
     """A catalogue written with its times as texts, and read as the latest versions of each source."""
     folder = fresh_folder(spark, "catalogs")
-    rows = part_datasets(spark, sf_dir).select("dataset_id", "source_id", "version", F.concat(F.lit("2000-01-"), F.lpad((F.col("size") % 28 + 1).cast("string"), 2, "0")).alias("start_time"), F.lit("2001-12-31").alias("end_time"), F.lit("standard").alias("calendar"))
+    rows = spread(part_datasets(spark, sf_dir), "dataset_id").select("dataset_id", "source_id", "version", F.concat(F.lit("2000-01-"), F.lpad((F.col("size") % 28 + 1).cast("string"), 2, "0")).alias("start_time"), F.lit("2001-12-31").alias("end_time"), F.lit("standard").alias("calendar"))
     catalogs.write_catalog(catalogs.with_times(rows), f"{folder}/cmip6.parquet")
     found = catalogs.read_catalogs(spark, folder, ["cmip6"], {"cmip6": ["source_id"]})["cmip6"]
     return found.select("dataset_id", "source_id", cal.time_text(F.col("start_time")).alias("start_time"))
