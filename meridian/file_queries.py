@@ -23,9 +23,12 @@ def write_files(files: DataFrame, root: str) -> int:
     """Writes each row (name, content) as a file below ``root``, and gives their number."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, base = file_system(root)
+        made: set[str] = set()
         for batch in batches:
             for name, content in zip(batch["name"], batch["content"], strict=True):
-                fs.create_dir(f"{base}/{name}".rpartition("/")[0], recursive=True)
+                if (folder := f"{base}/{name}".rpartition("/")[0]) not in made:
+                    fs.create_dir(folder, recursive=True)
+                    made.add(folder)
                 with fs.open_output_stream(f"{base}/{name}") as f:
                     f.write(content)
             yield pd.DataFrame({"n": [len(batch)]})
@@ -66,7 +69,7 @@ def header_files(spark, sf_dir) -> DataFrame:
                 rows.append((f"v20200101/s{key:07d}.nc", b"\x89HDF" + data if key % 11 == 0 else data[:200] if key % 10 == 0 else data))
             yield pd.DataFrame(rows, columns=["name", "content"])
 
-    return table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_name").mapInPandas(run, "name string, content binary")
+    return spread(table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_name"), "s_suppkey").mapInPandas(run, "name string, content binary")
 
 
 @query("""
