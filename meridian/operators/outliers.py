@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meridian.operators.quantiles import exact_percentiles
+from meridian.operators.quantiles import BROADCAST_GROUPS, exact_percentiles
+from meridian.sources.shared import written
 
 #: Fixed value: the source whose values are never outliers for being far off.
 REFERENCE = "Reference"
@@ -47,6 +48,7 @@ def detect(df: DataFrame, policy: OutlierPolicy = OutlierPolicy()) -> DataFrame:
     group: of its sources' means where there are sources, else of its values. Too few
     of them, or no spread, set no bounds. Values that are not finite are outliers in
     any case. Rows with a null in a policy key belong to no group and are no outliers.
+    The bounds are worked out when this is called, for which ``df`` is read several times.
     """
     verified = F.when(F.col("is_outlier"), "unverified").otherwise("verified").alias("verification_status")
     if policy.method == "off":
@@ -58,6 +60,7 @@ def detect(df: DataFrame, policy: OutlierPolicy = OutlierPolicy()) -> DataFrame:
         usable = usable.where(F.col(k).isNotNull())
     if sourced:
         points = usable.where(F.col("source_id").isNotNull() & (F.col("source_id") != REFERENCE)).groupBy(*keys, "source_id").agg(F.avg("value").alias("x"))
+        points = written(points, "source-means")
     else:
         points = usable.withColumn("x", F.col("value"))
     x = F.col("x")
@@ -66,7 +69,9 @@ def detect(df: DataFrame, policy: OutlierPolicy = OutlierPolicy()) -> DataFrame:
     bounds = quartiles.join(sizes, keys) if keys else quartiles.join(F.broadcast(sizes), F.lit(True))  # one row
     spread = (F.col("q3") - F.col("q1")) * policy.factor
     bounds = bounds.where((F.col("points") >= policy.min_n) & (F.col("q3") > F.col("q1"))).select(*keys, (F.col("q1") - spread).alias("lower"), (F.col("q3") + spread).alias("upper"))
-    joined = df.join(bounds, keys, "left") if keys else df.join(F.broadcast(bounds), F.lit(True), "left")  # one row
+    bounds = written(bounds, "outlier-bounds")
+    few = bounds.count() <= BROADCAST_GROUPS  # rows stay where they are unless the groups are many
+    joined = df.join(F.broadcast(bounds) if few else bounds, keys, "left") if keys else df.join(F.broadcast(bounds), F.lit(True), "left")  # one row
     beyond = F.coalesce((F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper")), F.lit(False))
     if sourced:
         beyond &= ~F.col("source_id").eqNullSafe(F.lit(REFERENCE))

@@ -85,8 +85,9 @@ class Results:
         found = self.select("scalar", f)
         shown = found
         if policy.method != "off":
+            found = written(found, "found")  # screening reads them many times; their joins and shuffles are done once
             shown = detect(found, policy)
-            shown = written(shown if include_unverified else shown.where(~F.col("is_outlier")), "screened")  # screened once for the page and the count
+            shown = shown if include_unverified else shown.where(~F.col("is_outlier"))
         return Page(page(shown, ["id"], offset, limit), shown.count(), facet_values(found, self.dimensions))
 
     def series_values(self, f: ValueFilter = ValueFilter(), references: bool | None = None, explode: bool = False, offset: int = 0, limit: int | None = None) -> Page:
