@@ -14,8 +14,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meridian.operators.windows import latest_per_group, oldest_per_group, one_per
+from meridian.sources.shared import written
 
 STALE_SECONDS = 6 * 3600
+#: Rows of results that one task joins with their executions, some tens of MB.
+TASK_ROWS = 500_000
 
 
 def latest_executions(executions: DataFrame, before: Column | None = None, after: Column | None = None) -> DataFrame:
@@ -119,14 +122,19 @@ def reingested(executions: DataFrame, results: DataFrame, now: Column) -> tuple[
     """Executions and results after results were built again, each under a new execution of its group.
 
     ``results``: execution_id (of the run built from), whole (all of its parts were read),
-    and the values' columns. Where a part is missing nothing of the run is taken; whether
-    its group is dirty does not change.
+    and the values' columns. Where a part is missing, or the run is not known, nothing of it
+    is taken; whether its group is dirty does not change. Which runs are taken is worked out
+    when this is called, so that no task sorts for that and for the values at once; values are
+    dealt by execution over tasks of some ``TASK_ROWS``, more tasks the more there are.
     """
     good = results.groupBy("execution_id").agg(F.min("whole").alias("whole")).where("whole").drop("whole")
+    good = written(good.join(executions.select(F.col("id").alias("execution_id")), "execution_id", "left_semi"), "whole-runs")
     runs = executions.join(good, executions["id"] == good["execution_id"]).drop("execution_id")
     new_id = F.xxhash64("id", now)
     made = runs.withColumns({"id": new_id, "created_at": now, "successful": F.lit(True)}).select(*executions.columns)
-    taken = results.join(good, "execution_id", "left_semi").withColumn("execution_id", F.xxhash64("execution_id", now)).drop("whole")
+    tasks = max(int(results.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-results.count() // TASK_ROWS))
+    taken = results.repartition(tasks, "execution_id").join(good, "execution_id", "left_semi").withColumn("execution_id", F.xxhash64("execution_id", now)).drop("whole")
+    taken = taken.repartition(tasks, "execution_id")  # as the joins with their executions need them
     return executions.unionByName(made), taken
 
 

@@ -230,7 +230,7 @@ SELECT group_id, r.id = l_orderkey AS known, l_quantity, l_partkey FROM lineitem
 def reingested_results(spark, sf_dir):
     """The values that were read whole, each under a new, successful execution of its group; nothing of the others."""
     runs = executions(spark, sf_dir)
-    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("execution_id"), (F.col("l_linenumber") != 7).alias("whole"), "l_quantity", "l_partkey").join(runs.select(F.col("id").alias("execution_id")), "execution_id", "left_semi")
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("execution_id"), (F.col("l_linenumber") != 7).alias("whole"), "l_quantity", "l_partkey")
     every, values = ledger.reingested(runs, rows, now())
     made = every.join(runs.select("id"), "id", "left_anti").where(F.col("successful") & (F.col("created_at") == now())).select(F.col("id").alias("execution_id"), "group_id")
     return values.join(made, "execution_id").select("group_id", F.lit(True).alias("known"), "l_quantity", "l_partkey")
