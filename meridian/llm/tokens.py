@@ -1,21 +1,25 @@
-"""Tokenizing whole texts with a public tokenizer, one word at a time.
+"""Tokenizing whole texts with a public tokenizer, one pre-token at a time.
 
-The tokenizer of ``word_bpe_49k.json`` never joins across white space, so a
-text's ids are the ids of its white-space separated chunks in order. Each Python
-worker keeps the ids of the chunks it has met; only new chunks reach the
-``tokenizers`` library.
+The tokenizer of ``word_bpe_49k.json`` lower-cases a text and cuts it into words, digits
+and runs of marks, whose ids it joins. In texts of ASCII and Latin letters one pattern
+finds these pieces; other texts go by their white-space separated chunks, across which
+the tokenizer never joins either. Each Python worker keeps the ids of what it has met;
+only new pieces and chunks reach the ``tokenizers`` library.
 """
 
 from __future__ import annotations
 
 import re
-
-import numpy as np
-
-#: A plain Latin word, then ASCII punctuation or symbols: at most two pre-tokens.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)?([!-/:-@\[-`{-~]*)")
+import struct
+
+#: White space, printable ASCII and Latin letters: normalising such a text only lower-cases it.
+_LATIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
+#: The tokenizer's own pre-tokens in such a text.
+_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+")
+#: How the names of special tokens begin, which are cut out before anything else.
+_SPECIAL = "<|"
 _WORKER: dict[tuple[str, int], "WordTokenizer"] = {}
-#: Chunks whose ids a worker keeps, some 20 MB: a worker outlives its task, and later stages share its memory.
+#: Pieces and chunks whose ids a worker keeps, some 20 MB: a worker outlives its task, and later stages share its memory.
 MAX_WORDS = 100_000
 
 
@@ -32,10 +36,19 @@ def _byte_chars() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(0x100 + i) for i, b in enumerate(rest)}
 
 
+_PACK = [struct.Struct(f"<{n}I") for n in range(33)]
+
+
+def _pieces(text: str) -> list[str] | None:
+    """The pre-tokens of a Latin text; None for others."""
+    return _PIECES.findall(text.lower()) if _LATIN.fullmatch(text) and _SPECIAL not in text else None
+
+
 class WordTokenizer(dict):
-    """Maps a chunk (bytes without ASCII white space) to its ids as little-endian uint32 bytes.
+    """Maps a piece (text), or a chunk (bytes without ASCII white space), to its ids as little-endian uint32 bytes.
 
-    ``max_words`` bounds the memory: beyond it the collection starts afresh.
+    ``max_words`` bounds the memory: at half of it the collection starts afresh beside the
+    one before, from which it takes what is met again.
     """
 
     def __init__(self, path: str, max_words: int = MAX_WORDS):
@@ -46,6 +59,7 @@ class WordTokenizer(dict):
         self.model = self.tokenizer.model
         self.alphabet = _byte_chars()
         self.max_words = max_words
+        self.before: dict[str | bytes, bytes] = {}
 
     @classmethod
     def of_worker(cls, path: str, max_words: int = MAX_WORDS) -> "WordTokenizer":
@@ -54,25 +68,30 @@ class WordTokenizer(dict):
             _WORKER[key] = cls(path, max_words)
         return _WORKER[key]
 
-    def __missing__(self, chunk: bytes) -> bytes:
-        text = chunk.decode()
-        plain = _PLAIN.fullmatch(text)
-        if plain:
-            word, marks = plain[1] or "", plain[2]
-            stem = word.lower().encode()
-            if stem and stem != chunk:
-                ids = self[stem] + (self[marks.encode()] if marks else b"")
-            else:  # one pre-token: the model can take it as it is
-                chars = chunk.decode("latin-1").translate(self.alphabet)
-                ids = np.array([t.id for t in self.model.tokenize(chars)], "<u4").tobytes()
-        else:
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(chunk) <= 64:
-            if len(self) >= self.max_words:
+    def __missing__(self, part: str | bytes) -> bytes:
+        ids = self.before.get(part)
+        if ids is None:
+            ids = self._new(part)
+        if len(part) <= 64:
+            if 2 * len(self) >= self.max_words:
+                self.before = dict(self)
                 self.clear()
-            self[chunk] = ids
+            self[part] = ids
         return ids
 
+    def _new(self, part: str | bytes) -> bytes:
+        if type(part) is str:  # one pre-token: the model can take it as it is
+            chars = part if part.isascii() else part.encode().decode("latin-1").translate(self.alphabet)
+            found = [t.id for t in self.model.tokenize(chars)]
+        else:
+            text = part.decode()
+            pieces = _pieces(text)
+            if pieces is not None:
+                return b"".join(map(self.__getitem__, pieces))
+            found = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return _PACK[len(found)].pack(*found) if len(found) < len(_PACK) else struct.pack(f"<{len(found)}I", *found)
+
     def encode(self, text: bytes) -> bytes:
         """The ids of a whole text, as little-endian uint32 bytes."""
-        return b"".join(map(self.__getitem__, text.split()))
+        pieces = _pieces(text.decode())
+        return b"".join(map(self.__getitem__, text.split() if pieces is None else pieces))
